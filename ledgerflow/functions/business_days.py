@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerflow.functions.scalars import column
+from ledgerflow.session import materialize
 
 # A calendar row is two small columns, so this many rows (about 270 years) stay far below any broadcast limit.
 MAX_CALENDAR_DAYS = 100_000
@@ -79,7 +80,9 @@ def business_calendar(spark: SparkSession, start: date, end: date, holidays: Dat
         business = business & F.col("_closed").isNull()
     marked = dates.select("cal_date", business.alias("is_business"))
     running = Window.orderBy("cal_date").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return marked.withColumn("biz_index", F.sum(F.col("is_business").cast("int")).over(running).cast("int"))
+    calendar = marked.withColumn("biz_index", F.sum(F.col("is_business").cast("int")).over(running).cast("int"))
+    # Written once where holidays come from a table, as every use of a calendar reads it more than once.
+    return calendar if holidays is None else materialize(calendar, "calendar")
 
 
 def business_days_in_range(

@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-_CONTAINER = r"^\s*[\[{]"
+
+def _is_container(text: Column) -> Column:
+    """Whether JSON text is an object or array; extracted values start with their bracket."""
+    return F.substring(text, 1, 1).isin("{", "[")
 
 
 def json_path(dotted: str | None) -> str:
@@ -24,7 +27,7 @@ def json_value(doc: Column, path: str) -> Column:
     """
     text = F.get_json_object(doc, path)
     is_text = F.schema_of_variant(F.try_variant_get(F.try_parse_json(doc), path, "variant")) == "STRING"
-    return F.when(text.rlike(_CONTAINER) & ~F.coalesce(is_text, F.lit(False)), None).otherwise(text)
+    return F.when(_is_container(text) & ~F.coalesce(is_text, F.lit(False)), None).otherwise(text)
 
 
 def json_query(doc: Column, path: str) -> Column:
@@ -38,18 +41,28 @@ def json_array(doc: Column, dotted: str | None, strict: bool = True) -> Column:
     return F.try_variant_get(parsed, json_path(dotted), "array<variant>")
 
 
-def json_fields(doc: Column, names: list[str]) -> dict[str, Column]:
-    """Several top-level scalars of one document with a single parse.
+def with_json_fields(df: DataFrame, doc: str, names: dict[str, str]) -> DataFrame:
+    """Add scalars of a document column as text columns: ``names`` maps JSON fields to column names.
 
-    The struct parse returns nested values as JSON text; only those rare values take the slower exact path.
+    Top-level fields come from one parse of the document, as a generator that runs once per row. It returns nested
+    values as JSON text; only those rare values take the slower exact path. Dotted fields are read by path.
     """
-    fields = ", ".join(f"`{n}` string" for n in names)
-    parsed = F.from_json(doc, fields)
-    values = {}
-    for name in names:
-        text = parsed.getField(name)
-        values[name] = F.when(text.rlike(_CONTAINER), json_value(doc, json_path_of_key(name))).otherwise(text)
-    return values
+    flat = {f: c for f, c in names.items() if "." not in f}
+    kept = [F.col(f"`{c}`") for c in df.columns]
+    parsed = df
+    if flat:
+        raw = [f"_json_{c}" for c in flat.values()]
+        parsed = df.select(*kept, F.json_tuple(F.col(f"`{doc}`"), *flat).alias(*raw))
+    values = []
+    for field, name in names.items():
+        if field in flat:
+            text = F.col(f"`_json_{name}`")
+            exact = json_value(F.col(f"`{doc}`"), json_path_of_key(field))
+            value = F.when(_is_container(text), exact).otherwise(text)
+        else:
+            value = json_value(F.col(f"`{doc}`"), json_path(field))
+        values.append(value.alias(name))
+    return parsed.select(*kept, *values)
 
 
 def json_path_of_key(name: str) -> str:
@@ -59,9 +72,9 @@ def json_path_of_key(name: str) -> str:
 
 def register_json_functions(spark: SparkSession) -> None:
     """Define ``JSON_VALUE`` and ``JSON_QUERY`` for SQL text; both are expressions that the optimizer inlines."""
-    spark.sql(r"""
+    spark.sql("""
         CREATE OR REPLACE TEMPORARY FUNCTION json_value(doc STRING, path STRING) RETURNS STRING RETURN
-        CASE WHEN get_json_object(doc, path) RLIKE '^\\s*[\\[{]' AND NOT coalesce(
+        CASE WHEN substring(get_json_object(doc, path), 1, 1) IN ('{', '[') AND NOT coalesce(
             schema_of_variant(try_variant_get(try_parse_json(doc), path, 'variant')) = 'STRING', false)
         THEN NULL ELSE get_json_object(doc, path) END
     """)

@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerflow.functions.json import json_fields
+from ledgerflow.functions.json import with_json_fields
 from ledgerflow.functions.scalars import column
 from ledgerflow.operators.lookup import assert_unique_key, join_keys
-from ledgerflow.result import ILLEGAL_ARGUMENT, IO_ERROR, ChainResult, dead_letter, payload_of
+from ledgerflow.result import DEAD, FAILED, ILLEGAL_ARGUMENT, IO_ERROR, ChainResult, dead_letter, payload_of
 
 # The columns the enrichment adds.
 ENRICHMENT_FIELDS = ("customer_tier", "customer_region", "risk_score")
@@ -52,10 +52,9 @@ def enrich_from_responses(
     checked = joined.fail_where(column(key).isNull(), no_key)
     checked = checked.fail_where(~F.col(_STATUS).eqNullSafe(OK_STATUS), failed_call)
 
-    values = json_fields(F.col(_BODY), list(fields))
-
     def finish(df: DataFrame) -> DataFrame:
-        added = [value.alias(name) for name, value in values.items()]
-        return df.select(*[column(c) for c in columns], *added, "_failed", "_dead")
+        read = with_json_fields(df, _BODY, {name: f"_field_{name}" for name in fields})
+        added = [column(f"_field_{name}").alias(name) for name in fields]
+        return read.select(*[column(c) for c in columns], *added, FAILED, DEAD)
 
     return checked.transform(finish)

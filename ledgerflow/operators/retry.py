@@ -52,28 +52,37 @@ def map_rows_with_retry(
         out.fields + [T.StructField(FAILED, T.BooleanType()), T.StructField(DEAD, DEAD_LETTER_SCHEMA)]
     )
     arrow_schema = to_arrow_schema(tagged)
-    empty = dict.fromkeys(out.names)
+    names = out.names
 
-    def attempt(row: dict) -> dict:
+    def attempt(row: dict) -> tuple[dict | None, dict | None]:
         tries = 0
         while True:
             try:
-                return {**empty, **fn(dict(row)), FAILED: False, DEAD: None}
+                return fn(dict(row)), None
             except Exception as error:
                 tries += 1
-                if not policy.should_retry(tries):
-                    letter = {
-                        "payload": json.dumps(row, default=str, ensure_ascii=False),
-                        "errorMessage": str(error) or NO_MESSAGE,
-                        "errorClass": f"{type(error).__module__}.{type(error).__qualname__}",
-                        "attemptCount": tries,
-                        "failedAtUtc": datetime.now(timezone.utc).isoformat(),
-                    }
-                    return {**empty, FAILED: True, DEAD: letter}
-                time.sleep(policy.wait_ms(tries) / 1000)
+                if policy.should_retry(tries):
+                    time.sleep(policy.wait_ms(tries) / 1000)
+                    continue
+                return None, {
+                    "payload": json.dumps(row, default=str, ensure_ascii=False),
+                    "errorMessage": str(error) or NO_MESSAGE,
+                    "errorClass": f"{type(error).__module__}.{type(error).__qualname__}",
+                    "attemptCount": tries,
+                    "failedAtUtc": datetime.now(timezone.utc).isoformat(),
+                }
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pa.RecordBatch.from_pylist([attempt(row) for row in batch.to_pylist()], schema=arrow_schema)
+            columns: list[list] = [[] for _ in names]
+            letters = []
+            for row in batch.to_pylist():
+                value, letter = attempt(row)
+                letters.append(letter)
+                for name, values in zip(names, columns):
+                    values.append(None if value is None else value.get(name))
+            columns += [[letter is not None for letter in letters], letters]
+            arrays = [pa.array(values, field.type) for values, field in zip(columns, arrow_schema)]
+            yield pa.RecordBatch.from_arrays(arrays, schema=arrow_schema)
 
     return ChainResult(df.mapInArrow(run, tagged))

@@ -94,6 +94,15 @@ def flatten_json(
     return checked.transform(spread)
 
 
+def flatten_strict(df: DataFrame, schema: str | T.StructType | None = None, raw: str = "raw_json") -> DataFrame:
+    """``flatten_json`` for inputs that must all parse: text that is not a JSON object fails the job."""
+    found = infer_json_schema(df, raw) if schema is None else schema
+    parsed = F.from_json(column(raw), found, {"mode": "FAILFAST"})
+    problem = F.concat(F.lit("not a JSON object: "), F.coalesce(column(raw), F.lit("(null)")))
+    checked = df.select(parsed.alias("_doc"), raw).where(F.assert_true(F.col("_doc").isNotNull(), problem).isNull())
+    return checked.select("_doc.*")
+
+
 # Declared type names and the types they load as.
 DECLARED_TYPES = {
     "STRING": "string",

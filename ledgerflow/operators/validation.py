@@ -3,24 +3,26 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ledgerflow.functions.scalars import column, parsed_double
+from ledgerflow.functions.scalars import column, parsed_double, type_of
 from ledgerflow.result import ILLEGAL_ARGUMENT, ChainResult, dead_letter, payload_of
 
-# A rule maps the available column names to error expressions (null = no error).
-Rule = Callable[[list[str]], list[Column]]
+# A rule maps a frame to error expressions, in order; null means no error.
+Rule = Callable[[DataFrame], list[Column]]
 
 
 def require_fields(*fields: str) -> Rule:
     """Each field must exist and be non-null."""
 
-    def errors(columns: list[str]) -> list[Column]:
+    def errors(df: DataFrame) -> list[Column]:
         found = []
         for name in fields:
-            if name not in columns:
+            if name not in df.columns:
                 found.append(F.lit(f"missing field: {name}"))
             else:
                 found.append(F.when(column(name).isNull(), F.lit(f"null value for required field: {name}")))
@@ -29,12 +31,13 @@ def require_fields(*fields: str) -> Rule:
     return errors
 
 
-def _checked(field: str, check: Callable[[Column], Column]) -> Rule:
-    def errors(columns: list[str]) -> list[Column]:
-        if field not in columns:
+def _checked(field: str, check: Callable[[DataFrame], Column]) -> Rule:
+    """A rule on the value of one field, which must exist and be non-null."""
+
+    def errors(df: DataFrame) -> list[Column]:
+        if field not in df.columns:
             return [F.lit(f"missing field: {field}")]
-        text = column(field).cast("string")
-        return [F.when(text.isNull(), F.lit(f"null value for field: {field}")).otherwise(check(text))]
+        return [F.when(column(field).isNull(), F.lit(f"null value for field: {field}")).otherwise(check(df))]
 
     return errors
 
@@ -42,27 +45,33 @@ def _checked(field: str, check: Callable[[Column], Column]) -> Rule:
 def matches_pattern(field: str, pattern: str) -> Rule:
     """The whole text form must match the regular expression."""
 
-    def check(text: Column) -> Column:
+    def check(df: DataFrame) -> Column:
+        text = column(field).cast("string")
         message = F.concat(F.lit(f"field '{field}' value '"), text, F.lit(f"' does not match pattern {pattern}"))
         return F.when(~text.rlike(rf"\A(?:{pattern})\z"), message)
 
     return _checked(field, check)
 
 
-def _number_text(value: float) -> Column:
-    return F.lit(float(value)).cast("string")
-
-
 def in_range(field: str, low: float, high: float) -> Rule:
-    """Inclusive numeric bounds; text that is not a number is an error, NaN passes (it fails no comparison)."""
+    """Inclusive numeric bounds; text that is not a number is an error, NaN passes (it fails no comparison).
 
-    def check(text: Column) -> Column:
-        number = parsed_double(text)
-        outside = ~F.isnan(number) & ((number < F.lit(float(low))) | (number > F.lit(float(high))))
-        bounds = F.concat(F.lit("["), _number_text(low), F.lit(", "), _number_text(high), F.lit("]"))
-        message = F.concat(F.lit(f"field '{field}' value "), number.cast("string"), F.lit(" is outside range "), bounds)
-        not_number = F.concat(F.lit(f"field '{field}' is not numeric: "), text)
-        return F.when(number.isNull(), not_number).when(outside, message)
+    Numeric columns are compared as they are, so the test can reach the scan.
+    """
+
+    def check(df: DataFrame) -> Column:
+        text = column(field).cast("string")
+        numeric = isinstance(type_of(df, field), T.NumericType)
+        number = column(field).cast("double") if numeric else parsed_double(text)
+        outside = (number < F.lit(float(low))) | ((number > F.lit(float(high))) & ~F.isnan(number))
+        shown = [F.lit(float(bound)).cast("string") for bound in (low, high)]
+        message = F.concat(
+            F.lit(f"field '{field}' value "), number.cast("string"),
+            F.lit(" is outside range ["), shown[0], F.lit(", "), shown[1], F.lit("]"),
+        )
+        if numeric:
+            return F.when(outside, message)
+        return F.when(number.isNull(), F.concat(F.lit(f"field '{field}' is not numeric: "), text)).when(outside, message)
 
     return _checked(field, check)
 
@@ -71,13 +80,13 @@ def one_of(field: str, allowed: Iterable[str]) -> Rule:
     """The text form must be one of the allowed values; null fails."""
     values = list(allowed)
 
-    def errors(columns: list[str]) -> list[Column]:
-        if field not in columns:
+    def errors(df: DataFrame) -> list[Column]:
+        if field not in df.columns:
             return [F.lit(f"missing field: {field}")]
         text = column(field).cast("string")
-        shown = F.coalesce(text, F.lit("null"))
         message = F.concat(
-            F.lit(f"field '{field}' value '"), shown, F.lit(f"' is not in allowed set: [{', '.join(values)}]")
+            F.lit(f"field '{field}' value '"), F.coalesce(text, F.lit("null")),
+            F.lit(f"' is not in allowed set: [{', '.join(values)}]"),
         )
         return [F.when(~F.coalesce(text.isin(values), F.lit(False)), message)]
 
@@ -86,20 +95,24 @@ def one_of(field: str, allowed: Iterable[str]) -> Rule:
 
 def schema_contains(*names: str) -> Rule:
     """Columns must exist by name; types are not compared."""
-    return lambda columns: [F.lit(f"missing field: {n}") for n in names if n not in columns]
+    return lambda df: [F.lit(f"missing field: {n}") for n in names if n not in df.columns]
 
 
-def row_errors(columns: list[str], rules: Iterable[Rule]) -> Column:
+def row_errors(df: DataFrame, rules: Iterable[Rule]) -> Column:
     """Ordered array of error texts, empty for a valid row."""
-    found = [error for rule in rules for error in rule(columns)]
-    if not found:
-        return F.array().cast("array<string>")
-    return F.array_compact(F.array(*found))
+    found = [error for rule in rules for error in rule(df)]
+    return F.array_compact(F.array(*found)) if found else F.array().cast("array<string>")
 
 
 def validate_rows(rows: DataFrame | ChainResult, rules: Iterable[Rule]) -> ChainResult:
-    """Rows with any error become dead letters whose message joins all errors in rule order."""
+    """Rows with any error become dead letters whose message joins all errors in rule order.
+
+    Whether a row fails is a plain disjunction over the rules; messages are built for dead letters only.
+    """
     result = rows if isinstance(rows, ChainResult) else ChainResult.start(rows)
-    errors = row_errors(result.columns, list(rules))
-    letter = dead_letter(payload_of(result.tagged), F.array_join(errors, "; "), ILLEGAL_ARGUMENT, 0)
-    return result.fail_where(F.size(errors) > 0, letter)
+    errors = [error for rule in rules for error in rule(result.tagged.select(*map(column, result.columns)))]
+    if not errors:
+        return result
+    failed = reduce(lambda a, b: a | b, [error.isNotNull() for error in errors])
+    letter = dead_letter(payload_of(result.tagged), F.concat_ws("; ", *errors), ILLEGAL_ARGUMENT, 0)
+    return result.fail_where(failed, letter)

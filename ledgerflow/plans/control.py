@@ -14,7 +14,10 @@ NO_MAX = -1
 DEFAULT_TOLERANCE = 0.01
 
 RULE_TYPE = "struct<field:string,expectedTotal:double,tolerancePct:double>"
-EXPECTATION_SCHEMA = f"DaId bigint, min_rows bigint, max_rows bigint, src_count bigint, rules array<{RULE_TYPE}>"
+EXPECTATION_SCHEMA = (
+    "DaId bigint, min_rows bigint, max_rows bigint, src_count bigint, missing_headers array<string>, "
+    f"rules array<{RULE_TYPE}>"
+)
 
 
 @dataclass(frozen=True)
@@ -36,11 +39,22 @@ class Validation:
     rules: tuple[ControlRule, ...] = ()
 
 
-def expectations(spark: SparkSession, by_run: dict[int, tuple[Validation, int | None]]) -> DataFrame:
-    """Expectations of the runs of one load: validation and, if it was observed, the source row count."""
+@dataclass(frozen=True)
+class RunFacts:
+    """What a load saw of one source: rows on their way to the store, and required columns it lacked."""
+
+    source_rows: int | None = None
+    missing_headers: tuple[str, ...] = ()
+
+
+def expectations(spark: SparkSession, by_run: dict[int, tuple[Validation, RunFacts]]) -> DataFrame:
+    """Expectations of the runs of one load."""
     rows = [
-        (run_id, v.min_rows, v.max_rows, counted, [(r.field, r.expected_total, r.tolerance) for r in v.rules])
-        for run_id, (v, counted) in by_run.items()
+        (
+            run_id, v.min_rows, v.max_rows, facts.source_rows, list(facts.missing_headers),
+            [(r.field, r.expected_total, r.tolerance) for r in v.rules],
+        )
+        for run_id, (v, facts) in by_run.items()
     ]
     return spark.createDataFrame(rows, EXPECTATION_SCHEMA)
 
@@ -102,7 +116,13 @@ def control_check(expected: DataFrame, totals: DataFrame) -> DataFrame:
     lost = F.when(
         source_count != count, F.concat(F.lit("row_count "), count, F.lit(" != source "), source_count)
     )
-    failures = F.array_compact(F.concat(F.array(too_few, too_many, lost), F.transform(rules, rule_failure)))
+    headers = F.col("missing_headers") if "missing_headers" in expected.columns else F.array().cast("array<string>")
+    lacking = F.when(
+        F.size(headers) > 0, F.concat(F.lit("missing headers: "), F.array_join(headers, ", "))
+    )
+    failures = F.array_compact(
+        F.concat(F.array(too_few, too_many, lost, lacking), F.transform(rules, rule_failure))
+    )
 
     checked = joined.withColumns(
         {

@@ -11,22 +11,20 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerflow.functions.tokens import RunTokens
-from ledgerflow.operators.rows import check_headers
+from ledgerflow.metrics import counter, observed
+from ledgerflow.operators.rows import check_headers, flatten_strict
 from ledgerflow.operators.steps import apply_steps
 from ledgerflow.plans.config import SourceConfig
-from ledgerflow.plans.control import control_check, expectations
+from ledgerflow.plans.control import FAILED, RunFacts, control_check, expectations
 from ledgerflow.plans.ledger import Ledger, pending_sources
 from ledgerflow.plans.periods import find_period
 from ledgerflow.plans.records import read_records, run_totals, to_records, write_records
 from ledgerflow.sources.router import read_source
+from ledgerflow.sources.text import RAW
 
 log = logging.getLogger(__name__)
 
 
-class MissingHeadersError(ValueError):
-    """A source lacks columns its configuration requires."""
-
-
 @dataclass(frozen=True)
 class RunStatus:
     source: str
@@ -35,18 +33,29 @@ class RunStatus:
     summary: str
 
 
+@dataclass(frozen=True)
+class _Branch:
+    records: DataFrame
+    counted: Observation
+    missing_headers: tuple[str, ...]
+
+
 def _branch(
     spark: SparkSession, config: SourceConfig, run_id: int, tokens: RunTokens, at: datetime, read_lookup
-) -> tuple[DataFrame, Observation]:
-    """One source's records. The rows that reach the record store are counted while they are written."""
+) -> _Branch:
+    """One source's records. The rows that reach the record store are counted while they are written.
+
+    Raw JSON sources are flattened first, so that steps and control rules find their fields; text that is not a JSON
+    object fails the load.
+    """
     source = read_source(spark, config.spec, tokens, mode="load")
+    if source.columns == [RAW]:
+        source = flatten_strict(source, config.spec.schema)
     missing = check_headers(source, list(config.validation.required_headers))
     if missing:
-        raise MissingHeadersError(f"source {config.datasource!r} lacks required headers: {missing}")
-    rows = apply_steps(source, config.steps, read_lookup)
-    counted = Observation(f"load-{run_id}")
-    observed = rows.observe(counted, F.count(F.lit(1)).alias("rows"))
-    return to_records(observed, run_id, at), counted
+        log.error("source %s lacks required headers: %s", config.datasource, missing)
+    rows, counted = observed(apply_steps(source, config.steps, read_lookup), f"load-{run_id}", {"rows": counter()})
+    return _Branch(to_records(rows, run_id, at), counted, tuple(missing))
 
 
 def load_period(
@@ -79,19 +88,17 @@ def load_period(
     run_ids = ledger.open_runs([(c.datasource, c.period_id, c.location) for c in pending], at)
     try:
         branches = [_branch(spark, c, run_ids[c.datasource], tokens, at, read_lookup) for c in pending]
-        write_records(reduce(DataFrame.unionByName, [records for records, _ in branches]), record_path)
-        expected = expectations(
-            spark,
-            {
-                run_ids[c.datasource]: (c.validation, counted.get.get("rows"))
-                for c, (_, counted) in zip(pending, branches)
-            },
-        )
+        write_records(reduce(DataFrame.unionByName, [b.records for b in branches]), record_path)
+        facts = {
+            run_ids[c.datasource]: (c.validation, RunFacts(b.counted.get.get("rows"), b.missing_headers))
+            for c, b in zip(pending, branches)
+        }
+        expected = expectations(spark, facts)
         fields = list(dict.fromkeys(r.field for c in pending for r in c.validation.rules))
         mine = read_records(spark, record_path).where(F.col("DaId").isin(list(run_ids.values())))
         checked = control_check(expected, run_totals(mine, fields)).collect()
     except Exception:
-        failed = [(i, "FAILED", None) for i in run_ids.values()]
+        failed = [(i, FAILED, None) for i in run_ids.values()]
         _close(spark, ledger, failed)
         raise
     _close(spark, ledger, [(r["DaId"], r["StaCd"], r["BalAndCntlSmryTx"]) for r in checked])

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerflow.functions.json import json_fields
+from ledgerflow.functions.json import with_json_fields
 from ledgerflow.functions.scalars import row_json
 from ledgerflow.operators.rows import flatten_json
 
@@ -50,16 +50,15 @@ def run_totals(records: DataFrame, fields: list[str], keys: tuple[str, ...] = ("
     Adds the maps ``sums`` and ``bad``; a field never present sums to 0.0. Each document is parsed once, and the sums
     are partial on the map side, so a run holding most of the rows is no hot spot.
     """
-    texts = json_fields(F.col("RowDaJsonTx"), fields) if fields else {}
-    numbered = records.select(
-        *keys,
-        *[text.alias(f"_t{i}") for i, text in enumerate(texts.values())],
-    )
+    documents = records.select(*keys, "RowDaJsonTx")
+    texts = with_json_fields(documents, "RowDaJsonTx", {f: f"_t{i}" for i, f in enumerate(fields)})
+    numbers = {f"_n{i}": F.col(f"_t{i}").try_cast("double") for i, _ in enumerate(fields)}
+    given = {f"_g{i}": F.col(f"_t{i}").isNotNull() for i, _ in enumerate(fields)}
+    numbered = texts.select(*keys, *[value.alias(name) for name, value in {**numbers, **given}.items()])
     aggregates = [F.count(F.lit(1)).alias("row_count")]
     for i, _ in enumerate(fields):
-        number = F.col(f"_t{i}").try_cast("double")
-        aggregates.append(F.coalesce(F.sum(number), F.lit(0.0)).alias(f"_s{i}"))
-        aggregates.append(F.count_if(F.col(f"_t{i}").isNotNull() & number.isNull()).alias(f"_b{i}"))
+        aggregates.append(F.coalesce(F.sum(f"_n{i}"), F.lit(0.0)).alias(f"_s{i}"))
+        aggregates.append(F.count_if(F.col(f"_g{i}") & F.col(f"_n{i}").isNull()).alias(f"_b{i}"))
     totals = numbered.groupBy(*keys).agg(*aggregates)
     sums = [part for i, f in enumerate(fields) for part in (F.lit(f), F.col(f"_s{i}"))]
     bad = [part for i, f in enumerate(fields) for part in (F.lit(f), F.col(f"_b{i}"))]

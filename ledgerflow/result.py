@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerflow.functions.scalars import row_json
+from ledgerflow.metrics import counter, observed
 
 FAILED = "_failed"
 DEAD = "_dead"
@@ -118,18 +119,12 @@ class ChainResult:
         """Attach named counter expressions, evaluated by ``observed``."""
         return replace(self, counters={**self.counters, **counters})
 
-    def observed(self, name: str = "chain") -> tuple[ChainResult, Observation]:
+    def observed(self, name: str = "chain") -> tuple[ChainResult, Observation | None]:
         """Count rows in, out and dead, plus step counters, while the result is written."""
-        observation = Observation(name)
         failed = F.col(FAILED)
-        metrics = {
-            "rows_in": F.count(F.lit(1)),
-            "rows_out": F.count_if(~failed),
-            "dlq_total": F.count_if(failed),
-            **self.counters,
-        }
-        exprs = [expr.alias(label) for label, expr in metrics.items()]
-        return ChainResult(self.tagged.observe(observation, *exprs), {}), observation
+        pipeline = {"rows_in": counter(), "rows_out": counter(~failed), "dlq_total": counter(failed)}
+        tagged, observation = observed(self.tagged, name, {**pipeline, **self.counters})
+        return ChainResult(tagged), observation
 
 
 def any_null(names: list[str]) -> Column:

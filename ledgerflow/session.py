@@ -52,14 +52,6 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return os.path.join(shared_dir(spark), f"{label}-{uuid.uuid4().hex}")
 
 
-def reliable_checkpoint(df):
-    """Cut lineage with a reliable checkpoint, so partition numbering survives lost executors."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_dir(df.sparkSession))
-    return df.checkpoint(eager=True)
-
-
 def materialize(df, label: str):
     """Write an intermediate result to the shared folder and read it back.
 

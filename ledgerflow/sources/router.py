@@ -39,6 +39,7 @@ class SourceSpec:
     page_size: int = DEFAULT_PAGE_SIZE
     next_page_field: str | None = None
     data_array_field: str | None = None
+    schema: str | None = None
 
 
 def _raw(spark: SparkSession, spec: SourceSpec, tokens: RunTokens) -> DataFrame:
