@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -64,6 +64,14 @@ def _widen(kind: T.DataType) -> T.DataType:
     return kind
 
 
+def _parse_once(df: DataFrame, document: Column) -> DataFrame:
+    """Add ``_doc`` through a one-element generator.
+
+    As a plain column the parse would be repeated in every filter and field that the optimizer moves past it.
+    """
+    return df.select(*[column(c) for c in df.columns], F.explode(F.array(document)).alias("_doc"))
+
+
 def flatten_json(
     rows: DataFrame | ChainResult,
     schema: str | T.StructType | None = None,
@@ -79,9 +87,7 @@ def flatten_json(
     corrupt = "_corrupt"
     with_corrupt = T.StructType(schema.fields + [T.StructField(corrupt, T.StringType())])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": corrupt}
-    parsed = result.transform(
-        lambda df: df.withColumn("_doc", F.from_json(column(raw), with_corrupt, options))
-    )
+    parsed = result.transform(lambda df: _parse_once(df, F.from_json(column(raw), with_corrupt, options)))
     bad = F.col("_doc").isNull() | F.col("_doc")[corrupt].isNotNull()
     letter = dead_letter(column(raw), "Malformed JSON", ILLEGAL_ARGUMENT, 0)
     checked = parsed.fail_where(bad, letter)
@@ -97,10 +103,9 @@ def flatten_json(
 def flatten_strict(df: DataFrame, schema: str | T.StructType | None = None, raw: str = "raw_json") -> DataFrame:
     """``flatten_json`` for inputs that must all parse: text that is not a JSON object fails the job."""
     found = infer_json_schema(df, raw) if schema is None else schema
-    parsed = F.from_json(column(raw), found, {"mode": "FAILFAST"})
     problem = F.concat(F.lit("not a JSON object: "), F.coalesce(column(raw), F.lit("(null)")))
-    checked = df.select(parsed.alias("_doc"), raw).where(F.assert_true(F.col("_doc").isNotNull(), problem).isNull())
-    return checked.select("_doc.*")
+    parsed = _parse_once(df, F.from_json(column(raw), found, {"mode": "FAILFAST"}))
+    return parsed.where(F.assert_true(F.col("_doc").isNotNull(), problem).isNull()).select("_doc.*")
 
 
 # Declared type names and the types they load as.

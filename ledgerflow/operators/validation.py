@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -12,107 +13,126 @@ from pyspark.sql import types as T
 from ledgerflow.functions.scalars import column, parsed_double, type_of
 from ledgerflow.result import ILLEGAL_ARGUMENT, ChainResult, dead_letter, payload_of
 
-# A rule maps a frame to error expressions, in order; null means no error.
-Rule = Callable[[DataFrame], list[Column]]
+
+@dataclass(frozen=True)
+class Check:
+    """A failure condition, never null, and the error text it leads to.
+
+    Conditions stay apart from texts so that the test of valid rows is a plain predicate the scan can use.
+    """
+
+    failed: Column
+    message: Column
+
+    @property
+    def error(self) -> Column:
+        return F.when(self.failed, self.message)
+
+
+# A rule maps a frame to checks, in order.
+Rule = Callable[[DataFrame], list[Check]]
+
+
+def _missing(name: str) -> Check:
+    return Check(F.lit(True), F.lit(f"missing field: {name}"))
 
 
 def require_fields(*fields: str) -> Rule:
     """Each field must exist and be non-null."""
 
-    def errors(df: DataFrame) -> list[Column]:
-        found = []
-        for name in fields:
-            if name not in df.columns:
-                found.append(F.lit(f"missing field: {name}"))
-            else:
-                found.append(F.when(column(name).isNull(), F.lit(f"null value for required field: {name}")))
-        return found
+    def checks(df: DataFrame) -> list[Check]:
+        return [
+            Check(column(name).isNull(), F.lit(f"null value for required field: {name}"))
+            if name in df.columns
+            else _missing(name)
+            for name in fields
+        ]
 
-    return errors
+    return checks
 
 
-def _checked(field: str, check: Callable[[DataFrame], Column]) -> Rule:
+def _on_value(field: str, check: Callable[[DataFrame], Check]) -> Rule:
     """A rule on the value of one field, which must exist and be non-null."""
 
-    def errors(df: DataFrame) -> list[Column]:
+    def checks(df: DataFrame) -> list[Check]:
         if field not in df.columns:
-            return [F.lit(f"missing field: {field}")]
-        return [F.when(column(field).isNull(), F.lit(f"null value for field: {field}")).otherwise(check(df))]
+            return [_missing(field)]
+        inner, absent = check(df), column(field).isNull()
+        no_value = F.lit(f"null value for field: {field}")
+        return [Check(absent | inner.failed, F.when(absent, no_value).otherwise(inner.message))]
 
-    return errors
+    return checks
 
 
 def matches_pattern(field: str, pattern: str) -> Rule:
     """The whole text form must match the regular expression."""
 
-    def check(df: DataFrame) -> Column:
+    def check(df: DataFrame) -> Check:
         text = column(field).cast("string")
         message = F.concat(F.lit(f"field '{field}' value '"), text, F.lit(f"' does not match pattern {pattern}"))
-        return F.when(~text.rlike(rf"\A(?:{pattern})\z"), message)
+        return Check(~text.rlike(rf"\A(?:{pattern})\z"), message)
 
-    return _checked(field, check)
+    return _on_value(field, check)
 
 
 def in_range(field: str, low: float, high: float) -> Rule:
-    """Inclusive numeric bounds; text that is not a number is an error, NaN passes (it fails no comparison).
-
-    Numeric columns are compared as they are, so the test can reach the scan.
-    """
+    """Inclusive numeric bounds; text that is not a number is an error, NaN passes (it fails no comparison)."""
 
-    def check(df: DataFrame) -> Column:
-        text = column(field).cast("string")
-        numeric = isinstance(type_of(df, field), T.NumericType)
+    def check(df: DataFrame) -> Check:
+        kind, text = type_of(df, field), column(field).cast("string")
+        numeric = isinstance(kind, T.NumericType)
         number = column(field).cast("double") if numeric else parsed_double(text)
-        outside = (number < F.lit(float(low))) | ((number > F.lit(float(high))) & ~F.isnan(number))
-        shown = [F.lit(float(bound)).cast("string") for bound in (low, high)]
+        above = number > F.lit(float(high))
+        if not numeric or isinstance(kind, (T.FloatType, T.DoubleType)):
+            above = above & ~F.isnan(number)
+        outside = (number < F.lit(float(low))) | above
+        bounds = [F.lit(float(bound)).cast("string") for bound in (low, high)]
         message = F.concat(
             F.lit(f"field '{field}' value "), number.cast("string"),
-            F.lit(" is outside range ["), shown[0], F.lit(", "), shown[1], F.lit("]"),
+            F.lit(" is outside range ["), bounds[0], F.lit(", "), bounds[1], F.lit("]"),
         )
         if numeric:
-            return F.when(outside, message)
-        return F.when(number.isNull(), F.concat(F.lit(f"field '{field}' is not numeric: "), text)).when(outside, message)
+            return Check(outside, message)
+        not_numeric = F.concat(F.lit(f"field '{field}' is not numeric: "), text)
+        return Check(number.isNull() | outside, F.when(number.isNull(), not_numeric).otherwise(message))
 
-    return _checked(field, check)
+    return _on_value(field, check)
 
 
 def one_of(field: str, allowed: Iterable[str]) -> Rule:
     """The text form must be one of the allowed values; null fails."""
     values = list(allowed)
 
-    def errors(df: DataFrame) -> list[Column]:
+    def checks(df: DataFrame) -> list[Check]:
         if field not in df.columns:
-            return [F.lit(f"missing field: {field}")]
+            return [_missing(field)]
         text = column(field).cast("string")
         message = F.concat(
             F.lit(f"field '{field}' value '"), F.coalesce(text, F.lit("null")),
             F.lit(f"' is not in allowed set: [{', '.join(values)}]"),
         )
-        return [F.when(~F.coalesce(text.isin(values), F.lit(False)), message)]
+        return [Check(text.isNull() | ~text.isin(values), message)]
 
-    return errors
+    return checks
 
 
 def schema_contains(*names: str) -> Rule:
     """Columns must exist by name; types are not compared."""
-    return lambda df: [F.lit(f"missing field: {n}") for n in names if n not in df.columns]
+    return lambda df: [_missing(n) for n in names if n not in df.columns]
 
 
 def row_errors(df: DataFrame, rules: Iterable[Rule]) -> Column:
     """Ordered array of error texts, empty for a valid row."""
-    found = [error for rule in rules for error in rule(df)]
+    found = [check.error for rule in rules for check in rule(df)]
     return F.array_compact(F.array(*found)) if found else F.array().cast("array<string>")
 
 
 def validate_rows(rows: DataFrame | ChainResult, rules: Iterable[Rule]) -> ChainResult:
-    """Rows with any error become dead letters whose message joins all errors in rule order.
-
-    Whether a row fails is a plain disjunction over the rules; messages are built for dead letters only.
-    """
+    """Rows with any error become dead letters whose message joins all errors in rule order."""
     result = rows if isinstance(rows, ChainResult) else ChainResult.start(rows)
-    errors = [error for rule in rules for error in rule(result.tagged.select(*map(column, result.columns)))]
-    if not errors:
+    checks = [check for rule in rules for check in rule(result.tagged.select(*map(column, result.columns)))]
+    if not checks:
         return result
-    failed = reduce(lambda a, b: a | b, [error.isNotNull() for error in errors])
-    letter = dead_letter(payload_of(result.tagged), F.concat_ws("; ", *errors), ILLEGAL_ARGUMENT, 0)
-    return result.fail_where(failed, letter)
+    failed = reduce(lambda a, b: a | b, [check.failed for check in checks])
+    message = F.concat_ws("; ", *[check.error for check in checks])
+    return result.fail_where(failed, dead_letter(payload_of(result.tagged), message, ILLEGAL_ARGUMENT, 0))

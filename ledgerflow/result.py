@@ -101,12 +101,12 @@ class ChainResult:
         return self.tagged.where(F.col(FAILED)).select(f"{DEAD}.*")
 
     def fail_where(self, condition: Column, letter: Column) -> ChainResult:
-        """Mark rows that meet ``condition``; rows that failed earlier keep their first dead letter."""
-        now_failed = ~F.col(FAILED) & F.coalesce(condition, F.lit(False))
+        """Mark rows that meet ``condition``, which is never null; rows that failed before keep their dead letter."""
+        now_failed = ~F.col(FAILED) & condition
         tagged = self.tagged.withColumns(
             {
                 DEAD: F.when(F.col(FAILED), F.col(DEAD)).when(now_failed, letter),
-                FAILED: F.col(FAILED) | now_failed,
+                FAILED: F.col(FAILED) | condition,
             }
         )
         return replace(self, tagged=tagged)
