@@ -69,6 +69,19 @@ def fill_column(template: Column, values: dict[str, Column | str | None]) -> Col
     return template
 
 
+def compose(template: str, **parts: Column | str) -> Column:
+    """A text column from a template whose ``{name}`` parts are columns or constants; null if a part is null."""
+    pieces = re.split(r"\{(\w+)\}", template)
+    columns = []
+    for i, piece in enumerate(pieces):
+        value = parts[piece] if i % 2 else piece
+        if isinstance(value, Column):
+            columns.append(value.cast("string"))
+        elif value:
+            columns.append(F.lit(value))
+    return F.concat(*columns)
+
+
 # Warehouse type names and their Spark names.
 _TYPE_NAMES = {
     "FLOAT64": "DOUBLE",

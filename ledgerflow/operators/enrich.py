@@ -7,12 +7,16 @@ from pyspark.sql import functions as F
 
 from ledgerflow.functions.json import with_json_fields
 from ledgerflow.functions.scalars import column
+from ledgerflow.functions.tokens import compose
 from ledgerflow.operators.lookup import assert_unique_key, join_keys
 from ledgerflow.result import DEAD, FAILED, ILLEGAL_ARGUMENT, IO_ERROR, ChainResult, dead_letter, payload_of
 
 # The columns the enrichment adds.
 ENRICHMENT_FIELDS = ("customer_tier", "customer_region", "risk_score")
 OK_STATUS = 200
+# Error texts.
+NULL_KEY = "Lookup field '{key}' is null — cannot enrich"
+BAD_STATUS = "API returned HTTP {status} for key={key}"
 
 _ID, _STATUS, _BODY = "_response_id", "_response_status", "_response_body"
 
@@ -44,11 +48,9 @@ def enrich_from_responses(
     joined = result.transform(lambda df: df.withColumn(_ID, left_key).join(side, _ID, "left"))
 
     key_text = column(key).cast("string")
-    no_key = dead_letter(payload, f"Lookup field '{key}' is null — cannot enrich", ILLEGAL_ARGUMENT, 0)
+    no_key = dead_letter(payload, compose(NULL_KEY, key=key), ILLEGAL_ARGUMENT, 0)
     status = F.coalesce(F.col(_STATUS).cast("string"), F.lit("(no response)"))
-    failed_call = dead_letter(
-        payload, F.concat(F.lit("API returned HTTP "), status, F.lit(" for key="), key_text), IO_ERROR, 1
-    )
+    failed_call = dead_letter(payload, compose(BAD_STATUS, status=status, key=key_text), IO_ERROR, 1)
     checked = joined.fail_where(column(key).isNull(), no_key)
     checked = checked.fail_where(~F.col(_STATUS).eqNullSafe(OK_STATUS), failed_call)
 

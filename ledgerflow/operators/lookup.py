@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerflow.functions.scalars import column, has_unique_text, is_integral, text_form, type_of
+from ledgerflow.session import materialize
 
 _KEY = "_lookup_key"
 
@@ -24,11 +25,14 @@ def assert_unique_key(lookup: DataFrame, key: str) -> DataFrame:
 
 
 def first_by(lookup: DataFrame, key: str, order: str) -> DataFrame:
-    """One row per key, the one with the smallest ``order`` value."""
+    """One row per key, the one with the smallest ``order`` value, written out.
+
+    As a stored table the reduced lookup has a known size to plan with, and a join to it can still split hot keys.
+    """
     picked = lookup.groupBy(text_form(key).alias(_KEY)).agg(
         F.min_by(F.struct(*[column(c) for c in lookup.columns]), column(order)).alias("_row")
     )
-    return picked.select("_row.*")
+    return materialize(picked.select("_row.*"), "lookup")
 
 
 def join_keys(data: DataFrame, data_key: str, lookup: DataFrame, lookup_key: str) -> tuple[Column, Column]:

@@ -11,8 +11,18 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerflow.functions.scalars import column, parsed_double, type_of
+from ledgerflow.functions.tokens import compose
 from ledgerflow.result import ILLEGAL_ARGUMENT, ChainResult, dead_letter, payload_of
 
+# Error texts.
+MISSING_FIELD = "missing field: {field}"
+NULL_REQUIRED = "null value for required field: {field}"
+NULL_VALUE = "null value for field: {field}"
+NO_MATCH = "field '{field}' value '{value}' does not match pattern {pattern}"
+NOT_NUMERIC = "field '{field}' is not numeric: {value}"
+OUT_OF_RANGE = "field '{field}' value {value} is outside range [{low}, {high}]"
+NOT_ALLOWED = "field '{field}' value '{value}' is not in allowed set: [{allowed}]"
+
 
 @dataclass(frozen=True)
 class Check:
@@ -34,7 +44,7 @@ Rule = Callable[[DataFrame], list[Check]]
 
 
 def _missing(name: str) -> Check:
-    return Check(F.lit(True), F.lit(f"missing field: {name}"))
+    return Check(F.lit(True), compose(MISSING_FIELD, field=name))
 
 
 def require_fields(*fields: str) -> Rule:
@@ -42,7 +52,7 @@ def require_fields(*fields: str) -> Rule:
 
     def checks(df: DataFrame) -> list[Check]:
         return [
-            Check(column(name).isNull(), F.lit(f"null value for required field: {name}"))
+            Check(column(name).isNull(), compose(NULL_REQUIRED, field=name))
             if name in df.columns
             else _missing(name)
             for name in fields
@@ -58,7 +68,7 @@ def _on_value(field: str, check: Callable[[DataFrame], Check]) -> Rule:
         if field not in df.columns:
             return [_missing(field)]
         inner, absent = check(df), column(field).isNull()
-        no_value = F.lit(f"null value for field: {field}")
+        no_value = compose(NULL_VALUE, field=field)
         return [Check(absent | inner.failed, F.when(absent, no_value).otherwise(inner.message))]
 
     return checks
@@ -69,7 +79,7 @@ def matches_pattern(field: str, pattern: str) -> Rule:
 
     def check(df: DataFrame) -> Check:
         text = column(field).cast("string")
-        message = F.concat(F.lit(f"field '{field}' value '"), text, F.lit(f"' does not match pattern {pattern}"))
+        message = compose(NO_MATCH, field=field, value=text, pattern=pattern)
         return Check(~text.rlike(rf"\A(?:{pattern})\z"), message)
 
     return _on_value(field, check)
@@ -86,14 +96,11 @@ def in_range(field: str, low: float, high: float) -> Rule:
         if not numeric or isinstance(kind, (T.FloatType, T.DoubleType)):
             above = above & ~F.isnan(number)
         outside = (number < F.lit(float(low))) | above
-        bounds = [F.lit(float(bound)).cast("string") for bound in (low, high)]
-        message = F.concat(
-            F.lit(f"field '{field}' value "), number.cast("string"),
-            F.lit(" is outside range ["), bounds[0], F.lit(", "), bounds[1], F.lit("]"),
-        )
+        bounds = {name: F.lit(float(bound)) for name, bound in (("low", low), ("high", high))}
+        message = compose(OUT_OF_RANGE, field=field, value=number, **bounds)
         if numeric:
             return Check(outside, message)
-        not_numeric = F.concat(F.lit(f"field '{field}' is not numeric: "), text)
+        not_numeric = compose(NOT_NUMERIC, field=field, value=text)
         return Check(number.isNull() | outside, F.when(number.isNull(), not_numeric).otherwise(message))
 
     return _on_value(field, check)
@@ -107,10 +114,8 @@ def one_of(field: str, allowed: Iterable[str]) -> Rule:
         if field not in df.columns:
             return [_missing(field)]
         text = column(field).cast("string")
-        message = F.concat(
-            F.lit(f"field '{field}' value '"), F.coalesce(text, F.lit("null")),
-            F.lit(f"' is not in allowed set: [{', '.join(values)}]"),
-        )
+        shown = F.coalesce(text, F.lit("null"))
+        message = compose(NOT_ALLOWED, field=field, value=shown, allowed=", ".join(values))
         return [Check(text.isNull() | ~text.isin(values), message)]
 
     return checks

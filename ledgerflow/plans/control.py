@@ -7,12 +7,23 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerflow.functions.tokens import compose
+
 # Status codes and defaults.
 LOADING, COMPLETED, FAILED_BNC, FAILED = "LOADING", "COMPLETED", "FAILED_BNC", "FAILED"
 MATCHED, NOT_MATCHED = "Matched", "Not Matched"
 NO_MAX = -1
 DEFAULT_TOLERANCE = 0.01
 
+# Failure texts.
+TOO_FEW = "row_count {count} < min {bound}"
+TOO_MANY = "row_count {count} > max {bound}"
+SUM_UNREADABLE = "BnC SUM({field}) query failed (infrastructure error — check logs)"
+SUM_OFF = "BnC SUM({field}) actual={actual} expected={expected} ±{tolerance}%"
+# Failure texts of checks that come on top.
+ROWS_LOST = "row_count {count} != source {bound}"
+NO_HEADERS = "missing headers: {names}"
+
 RULE_TYPE = "struct<field:string,expectedTotal:double,tolerancePct:double>"
 EXPECTATION_SCHEMA = (
     "DaId bigint, min_rows bigint, max_rows bigint, src_count bigint, missing_headers array<string>, "
@@ -88,13 +99,13 @@ def control_check(expected: DataFrame, totals: DataFrame) -> DataFrame:
         return (F.coalesce(F.try_element_at("bad", rule["field"]), F.lit(0)) > 0) | F.isnan(actual(rule))
 
     def rule_failure(rule: Column) -> Column:
-        infra = F.concat(
-            F.lit("BnC SUM("), rule["field"], F.lit(") query failed (infrastructure error — check logs)")
-        )
-        mismatch = F.concat(
-            F.lit("BnC SUM("), rule["field"], F.lit(") actual="), actual(rule).cast("string"),
-            F.lit(" expected="), rule["expectedTotal"].cast("string"),
-            F.lit(" ±"), (rule["tolerancePct"] * 100).cast("string"), F.lit("%"),
+        infra = compose(SUM_UNREADABLE, field=rule["field"])
+        mismatch = compose(
+            SUM_OFF,
+            field=rule["field"],
+            actual=actual(rule),
+            expected=rule["expectedTotal"],
+            tolerance=rule["tolerancePct"] * 100,
         )
         passed = rule_passes(actual(rule), rule["expectedTotal"], rule["tolerancePct"])
         return F.when(unreadable(rule), infra).when(~passed, mismatch)
@@ -104,22 +115,13 @@ def control_check(expected: DataFrame, totals: DataFrame) -> DataFrame:
         stored = _entry(F.concat(F.lit("dstAmount_"), rule["field"]), actual(rule))
         return F.when(~unreadable(rule), F.concat_ws(",", source, stored))
 
-    too_few = F.when(
-        (F.col("min_rows") > 0) & (count < F.col("min_rows")),
-        F.concat(F.lit("row_count "), count, F.lit(" < min "), F.col("min_rows")),
-    )
-    too_many = F.when(
-        (F.col("max_rows") >= 0) & (count > F.col("max_rows")),
-        F.concat(F.lit("row_count "), count, F.lit(" > max "), F.col("max_rows")),
-    )
+    low, high = F.col("min_rows"), F.col("max_rows")
     source_count = F.col("src_count") if "src_count" in expected.columns else F.lit(None).cast("bigint")
-    lost = F.when(
-        source_count != count, F.concat(F.lit("row_count "), count, F.lit(" != source "), source_count)
-    )
     headers = F.col("missing_headers") if "missing_headers" in expected.columns else F.array().cast("array<string>")
-    lacking = F.when(
-        F.size(headers) > 0, F.concat(F.lit("missing headers: "), F.array_join(headers, ", "))
-    )
+    too_few = F.when((low > 0) & (count < low), compose(TOO_FEW, count=count, bound=low))
+    too_many = F.when((high >= 0) & (count > high), compose(TOO_MANY, count=count, bound=high))
+    lost = F.when(source_count != count, compose(ROWS_LOST, count=count, bound=source_count))
+    lacking = F.when(F.size(headers) > 0, compose(NO_HEADERS, names=F.array_join(headers, ", ")))
     failures = F.array_compact(
         F.concat(F.array(too_few, too_many, lost, lacking), F.transform(rules, rule_failure))
     )

@@ -102,7 +102,7 @@ def _without_completed(wanted: DataFrame, ledger: DataFrame) -> DataFrame:
     keys = ["SrceNm", "PerId"]
     if "SubNm" in wanted.columns and "SubNm" in ledger.columns:
         keys.append("SubNm")
-    done = ledger.where(F.col("StaCd") == COMPLETED).select(*keys)
+    done = ledger.where(F.col("StaCd") == COMPLETED).select(*keys).distinct()
     return wanted.join(done, keys, "left_anti")
 
 
@@ -126,18 +126,23 @@ class Ledger:
     def current(self) -> DataFrame:
         return ledger_current(self.events())
 
-    def open_runs(self, runs: list[tuple[str, str, str]], at: datetime) -> dict[str, int]:
-        """Open one run per (source, period, file name) of a load; returns ids by source name."""
+    def open_runs(self, runs: list[tuple[str, str, str | None]], at: datetime) -> list[int]:
+        """Open a run per (source, period, file name) of one job, in order; returns their ids.
+
+        The list comes from configuration, so ids and versions are worked out for it on the driver.
+        """
         known = self.current()
         top = known.agg(F.coalesce(F.max("DaId"), F.lit(0)).alias("m")).first()["m"]
-        rows = [(top + i + 1, i, *run) for i, run in enumerate(runs)]
-        listed = self.spark.createDataFrame(rows, "DaId bigint, seq int, SrceNm string, PerId string, FlNm string")
-        versions = known.groupBy("SrceNm", "PerId").agg(F.max("VsnNo").alias("_top"))
-        opened = listed.join(versions, ["SrceNm", "PerId"], "left").withColumn(
-            "VsnNo", F.coalesce("_top", F.lit(0)) + 1
-        )
+        wanted = self.spark.createDataFrame(list({run[:2] for run in runs}), "SrceNm string, PerId string")
+        mine = known.join(wanted, ["SrceNm", "PerId"]).groupBy("SrceNm", "PerId").agg(F.max("VsnNo").alias("top"))
+        versions = {(r["SrceNm"], r["PerId"]): r["top"] for r in mine.collect()}
+        rows = []
+        for number, (source, period, file_name) in enumerate(runs, start=1):
+            versions[source, period] = versions.get((source, period), 0) + 1
+            rows.append((top + number, source, versions[source, period], period, file_name))
+        opened = self.spark.createDataFrame(rows, "DaId bigint, SrceNm string, VsnNo bigint, PerId string, FlNm string")
         self.append(opening_events(opened, at))
-        return {run[0]: row[0] for run, row in zip(runs, rows)}
+        return [row[0] for row in rows]
 
     def close_runs(self, statuses: DataFrame, at: datetime) -> None:
         self.append(status_events(self.current(), statuses, at))

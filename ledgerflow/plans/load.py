@@ -87,22 +87,22 @@ def load_period(
     at = datetime.now(timezone.utc).replace(tzinfo=None)
     run_ids = ledger.open_runs([(c.datasource, c.period_id, c.location) for c in pending], at)
     try:
-        branches = [_branch(spark, c, run_ids[c.datasource], tokens, at, read_lookup) for c in pending]
+        branches = [_branch(spark, c, run_id, tokens, at, read_lookup) for c, run_id in zip(pending, run_ids)]
         write_records(reduce(DataFrame.unionByName, [b.records for b in branches]), record_path)
         facts = {
-            run_ids[c.datasource]: (c.validation, RunFacts(b.counted.get.get("rows"), b.missing_headers))
-            for c, b in zip(pending, branches)
+            run_id: (c.validation, RunFacts(b.counted.get.get("rows"), b.missing_headers))
+            for c, b, run_id in zip(pending, branches, run_ids)
         }
         expected = expectations(spark, facts)
         fields = list(dict.fromkeys(r.field for c in pending for r in c.validation.rules))
-        mine = read_records(spark, record_path).where(F.col("DaId").isin(list(run_ids.values())))
+        mine = read_records(spark, record_path).where(F.col("DaId").isin(run_ids))
         checked = control_check(expected, run_totals(mine, fields)).collect()
     except Exception:
-        failed = [(i, FAILED, None) for i in run_ids.values()]
+        failed = [(i, FAILED, None) for i in run_ids]
         _close(spark, ledger, failed)
         raise
     _close(spark, ledger, [(r["DaId"], r["StaCd"], r["BalAndCntlSmryTx"]) for r in checked])
-    names = {run_id: name for name, run_id in run_ids.items()}
+    names = dict(zip(run_ids, (c.datasource for c in pending)))
     return [RunStatus(names[r["DaId"]], r["DaId"], r["StaCd"], r["BalAndCntlSmryTx"]) for r in checked]
 
 

@@ -60,6 +60,12 @@ class Aliases:
     def names(self) -> dict[str, str]:
         return dict(self._names)
 
+    def drop(self) -> None:
+        """Forget the views; frames already taken from them stay usable."""
+        for name in self._names.values():
+            if name.startswith(f"`{self._prefix}"):
+                self.spark.catalog.dropTempView(name.strip("`"))
+
     def frame(self, alias: str) -> DataFrame:
         if alias not in self._names:
             raise UnknownAliasError(f"alias {alias!r} is not defined; available: {list(self._names)}")
@@ -214,9 +220,9 @@ def run_report(
         return ReportRun(None, COMPLETED)
 
     now = lambda: datetime.now(timezone.utc).replace(tzinfo=None)
-    run_id = ledger.open_runs([(config.name, config.period_id, config.name)], now())[config.name]
+    run_id = ledger.open_runs([(config.name, config.period_id, config.name)], now())[0]
+    aliases = Aliases(spark, config.name)
     try:
-        aliases = Aliases(spark, config.name)
         run_sql_steps(spark, config.preprocessing, aliases, tokens)
         check_sources(config, current)
         alias_views(aliases, config.datasources, config.period_id, current, records, schemas)
@@ -234,6 +240,8 @@ def run_report(
     except Exception:
         ledger.close_run(run_id, FAILED, now())
         raise
+    finally:
+        aliases.drop()
     ledger.close_run(run_id, COMPLETED, now())
     return ReportRun(run_id, COMPLETED, outputs, details, notification)
 

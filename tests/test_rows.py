@@ -119,3 +119,12 @@ def test_tagged_frame_reads_its_source_once(spark, sf_dir):
     )
     plan = filter_nulls(events).tagged._jdf.queryExecution().executedPlan().toString()
     assert plan.count("FileScan parquet") == 1
+
+
+def test_distributions_are_observed(spark):
+    from ledgerflow.metrics import counter, distribution, observed
+
+    metrics = {"rows": counter(), "big": counter(F.col("id") > 1), **distribution("size", F.col("id"))}
+    df, observation = observed(spark.range(4), "sizes", metrics)
+    df.write.format("noop").mode("overwrite").save()
+    assert observation.get == {"rows": 4, "big": 2, "size_count": 4, "size_min": 0, "size_max": 3, "size_mean": 1.5}

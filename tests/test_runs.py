@@ -162,12 +162,14 @@ def test_stored_ledger_lifecycle(spark, tmp_path):
     book = Ledger(spark, str(tmp_path / "ledger"))
     assert book.current().count() == 0
     ids = book.open_runs([("a", "p", "f"), ("b", "p", None)], AT)
-    assert ids == {"a": 1, "b": 2}
+    assert ids == [1, 2]
     book.close_run(1, "COMPLETED", datetime(2024, 2, 1))
     state = {r["DaId"]: (r["StaCd"], r["BalAndCntlSmryTx"], r["FlNm"], r["VsnNo"]) for r in book.current().collect()}
     assert state == {1: ("COMPLETED", "", "f", 1), 2: ("LOADING", None, "", 1)}
-    assert book.open_runs([("a", "p", "f")], datetime(2024, 2, 2)) == {"a": 3}
+    assert book.open_runs([("a", "p", "f")], datetime(2024, 2, 2)) == [3]
     assert book.current().where("DaId = 3").first()["VsnNo"] == 2
+    assert book.open_runs([("a", "p", None), ("a", "p", None)], datetime(2024, 2, 3)) == [4, 5]
+    assert sorted(r["VsnNo"] for r in book.current().where("DaId > 3").collect()) == [3, 4]
 
 
 def store(spark, schema, values):

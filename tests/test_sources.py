@@ -208,7 +208,7 @@ def test_dead_letters_without_path_are_discarded(spark, tmp_path):
 
 
 def test_exports(spark, tmp_path):
-    df = spark.createDataFrame([("a", "")], "x string, y string")
+    df = spark.createDataFrame([("a", "")], "x string, y string").coalesce(1)
     export_report(df, str(tmp_path / "c"), "csv", header=False)
     assert next((tmp_path / "c").glob("*.csv")).read_text() == "a,\n"
     with pytest.raises(ValueError):
