@@ -62,7 +62,9 @@ def map_rows_with_retry(
             except Exception as error:
                 tries += 1
                 if policy.should_retry(tries):
-                    time.sleep(policy.wait_ms(tries) / 1000)
+                    pause = policy.wait_ms(tries) / 1000
+                    if pause > 0:
+                        time.sleep(pause)
                     continue
                 return None, {
                     "payload": json.dumps(row, default=str, ensure_ascii=False),

@@ -80,9 +80,10 @@ def opening_events(runs: DataFrame, at: datetime) -> DataFrame:
     )
 
 
-def status_events(current: DataFrame, statuses: DataFrame, at: datetime) -> DataFrame:
+def status_events(events: DataFrame, statuses: DataFrame, at: datetime) -> DataFrame:
     """Closing events from ``DaId, StaCd, BalAndCntlSmryTx``; a null summary is stored as the empty string."""
-    kept = current.select("DaId", "SrceNm", "VsnNo", "PerId", "FlNm", "CreatedTs")
+    opened = events.where(F.col("StaCd") == LOADING)
+    kept = opened.select("DaId", "SrceNm", "VsnNo", "PerId", "FlNm", "CreatedTs")
     changed = statuses.select("DaId", "StaCd", F.coalesce("BalAndCntlSmryTx", F.lit("")).alias("BalAndCntlSmryTx"))
     joined = kept.join(changed, "DaId").withColumn("LstUpdtTs", F.lit(at).cast("timestamp"))
     return joined.select(*LEDGER_COLUMNS)
@@ -131,21 +132,20 @@ class Ledger:
 
         The list comes from configuration, so ids and versions are worked out for it on the driver.
         """
-        known = self.current()
-        top = known.agg(F.coalesce(F.max("DaId"), F.lit(0)).alias("m")).first()["m"]
-        wanted = self.spark.createDataFrame(list({run[:2] for run in runs}), "SrceNm string, PerId string")
-        mine = known.join(wanted, ["SrceNm", "PerId"]).groupBy("SrceNm", "PerId").agg(F.max("VsnNo").alias("top"))
-        versions = {(r["SrceNm"], r["PerId"]): r["top"] for r in mine.collect()}
+        keys = list(dict.fromkeys(run[:2] for run in runs))
+        of_key = [(F.col("SrceNm") == source) & (F.col("PerId") == period) for source, period in keys]
+        tops = self.events().agg(F.max("DaId"), *[F.max(F.when(mine, F.col("VsnNo"))) for mine in of_key]).first()
+        top, versions = tops[0] or 0, {key: top or 0 for key, top in zip(keys, tops[1:])}
         rows = []
         for number, (source, period, file_name) in enumerate(runs, start=1):
-            versions[source, period] = versions.get((source, period), 0) + 1
+            versions[source, period] += 1
             rows.append((top + number, source, versions[source, period], period, file_name))
         opened = self.spark.createDataFrame(rows, "DaId bigint, SrceNm string, VsnNo bigint, PerId string, FlNm string")
         self.append(opening_events(opened, at))
         return [row[0] for row in rows]
 
     def close_runs(self, statuses: DataFrame, at: datetime) -> None:
-        self.append(status_events(self.current(), statuses, at))
+        self.append(status_events(self.events(), statuses, at))
 
     def close_run(self, run_id: int, status: str, at: datetime, summary: str | None = None) -> None:
         one = self.spark.createDataFrame([(run_id, status, summary)], "DaId bigint, StaCd string, BalAndCntlSmryTx string")
