@@ -79,8 +79,9 @@ def lookup_enrich(
     ``unique``: ``check`` fails on repeated lookup keys, ``trust`` skips that check.
 
     The join strategy is the planner's: it broadcasts a lookup under its own size threshold and otherwise runs a
-    sort-merge join, where adaptive execution splits hot keys (and the null key) on the data side. ``broadcast_rows`` > 0 measures the
-    lookup first and adds a broadcast hint only if it is within the row and byte bounds.
+    sort-merge join, where adaptive execution splits hot keys (and the null key) on the data side; for that a large
+    lookup should be a stored table, not the result of an aggregation. ``broadcast_rows`` > 0 measures the lookup first
+    and adds a broadcast hint only if it is within the row and byte bounds.
     """
     if lookup_key not in lookup.columns:
         raise ValueError(f"lookup has no key column {lookup_key!r}")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerflow.operators.sorting import POSITION
 from ledgerflow.session import materialize
 
 _WITHIN = (1 << 33) - 1
@@ -14,11 +15,12 @@ def number_rows(df: DataFrame, order: list[Column], name: str = "row_no") -> Dat
     """Add 1, 2, 3 … in the given total order.
 
     Rows are range-sorted and written once with the partition they are in and their place in it, so the numbering does
-    not depend on partitions being rebuilt alike. Counts per partition then give each partition its offset.
+    not depend on partitions being rebuilt alike. Counts per partition then give each partition its offset. The input
+    position breaks ties, so equal keys may span ranges.
     """
     place = F.monotonically_increasing_id().bitwiseAND(F.lit(_WITHIN))
-    placed = df.orderBy(*order).withColumns({"_part": F.spark_partition_id(), "_pos": place})
-    placed = materialize(placed, "numbered")
+    ordered = df.withColumn(POSITION, F.monotonically_increasing_id()).orderBy(*order, POSITION).drop(POSITION)
+    placed = materialize(ordered.withColumns({"_part": F.spark_partition_id(), "_pos": place}), "numbered")
     counts = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))

@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ledgerflow.functions.scalars import column, text_form
 
+POSITION = "_position"
+
 
 def sort_rows(
     df: DataFrame, fields: list[str], descending: bool = False, scope: str = "partition", typed: bool = False
@@ -14,7 +17,8 @@ def sort_rows(
 
     ``scope='partition'`` sorts each partition without a shuffle; ``'global'`` is a range-partitioned sort.
     The default compares text forms (``"10"`` before ``"9"``, null first as the empty string); ``typed`` compares
-    native values. Neither sort is stable: add a tie-break field where the order of equal rows matters.
+    native values. Equal rows stay in input order. That input position is the last sort key, so a global sort also
+    splits a value that holds a large share of the rows over several ranges.
     """
     if not fields:
         return df
@@ -22,11 +26,11 @@ def sort_rows(
     for name in fields:
         key = column(name) if typed else text_form(name)
         keys.append(key.desc() if descending else key.asc())
-    if scope == "partition":
-        return df.sortWithinPartitions(*keys)
-    if scope == "global":
-        return df.orderBy(*keys)
-    raise ValueError(f"unknown sort scope {scope!r}; use 'partition' or 'global'")
+    if scope not in ("partition", "global"):
+        raise ValueError(f"unknown sort scope {scope!r}; use 'partition' or 'global'")
+    placed = df.withColumn(POSITION, F.monotonically_increasing_id())
+    ordered = placed.sortWithinPartitions(*keys, POSITION) if scope == "partition" else placed.orderBy(*keys, POSITION)
+    return ordered.drop(POSITION)
 
 
 def top_rows(df: DataFrame, fields: list[str], n: int, descending: bool = True) -> DataFrame:

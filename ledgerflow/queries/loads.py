@@ -11,7 +11,7 @@ from ledgerflow.plans.config import source_configs
 from ledgerflow.plans.ledger import Ledger
 from ledgerflow.plans.load import load_period
 from ledgerflow.plans.records import read_records
-from ledgerflow.queries.registry import query, table
+from ledgerflow.queries.registry import query
 from ledgerflow.session import scratch_path
 
 TOKENS = RunTokens("1995-01-01", "2002-12-31", "202401", "2024-01-31")

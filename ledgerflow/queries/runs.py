@@ -81,7 +81,8 @@ WITH totals AS (SELECT l_suppkey, count(*) AS n, sum(l_quantity) AS q FROM linei
 @query(
     _CONTROL
     + """
-SELECT s_suppkey AS "DaId", CASE WHEN s_acctbal < 1000 AND n > 0 THEN 'FAILED' WHEN failed = 0 THEN 'COMPLETED' ELSE 'FAILED_BNC' END AS "StaCd",
+SELECT s_suppkey AS "DaId",
+       CASE WHEN s_acctbal < 1000 AND n > 0 THEN 'FAILED' WHEN failed = 0 THEN 'COMPLETED' ELSE 'FAILED_BNC' END AS "StaCd",
        n AS dst_count, CASE WHEN failed = 0 AND NOT (s_acctbal < 1000 AND n > 0) THEN 'Matched' ELSE 'Not Matched' END AS verdict,
        CAST(failed + (s_acctbal < 1000 AND n > 0)::INT AS INTEGER) AS failures, q AS dst_quantity
 FROM checks

@@ -112,6 +112,24 @@ def test_sort_scopes(spark):
         sort_rows(df, ["v"], scope="bundle")
 
 
+def test_sorts_are_stable(spark):
+    df = spark.range(0, 300, 1, 3).select("id", (F.col("id") % 2).cast("string").alias("k"))
+    for descending, first in ((False, "0"), (True, "1")):
+        got = [(r["k"], r["id"]) for r in sort_rows(df, ["k"], descending, "global").collect()]
+        assert got == sorted(got, key=lambda t: (t[0] != first, t[1]))
+
+
+def test_one_hot_value_sorts_in_several_tasks(spark):
+    df = spark.range(0, 40_000, 1, 4).select(F.lit("same").alias("k"), "id")
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    try:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        parts = sort_rows(df, ["k"], scope="global").groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+    assert len(parts) == 4 and max(r["count"] for r in parts) < 20_000
+
+
 def test_top_rows_takes_ordered(spark):
     df = spark.range(100)
     top = top_rows(df, ["id"], 3)
