@@ -31,6 +31,10 @@ def build_session(app_name: str = "ledgerflow", master: str | None = None, **con
     return builder.getOrCreate()
 
 
+# Temporary folders of local-mode applications.
+_local_dirs: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, taken from ``spark.checkpoint.dir``.
 
@@ -42,9 +46,10 @@ def shared_dir(spark: SparkSession) -> str:
         return configured
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("spark.checkpoint.dir must name a folder shared by all executors")
-    fallback = tempfile.mkdtemp(prefix="ledgerflow-")
-    spark.conf.set("spark.checkpoint.dir", fallback)
-    return fallback
+    application = spark.sparkContext.applicationId
+    if application not in _local_dirs:
+        _local_dirs[application] = tempfile.mkdtemp(prefix="ledgerflow-")
+    return _local_dirs[application]
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

@@ -8,7 +8,8 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerflow.functions.tokens import render_sql, RunTokens
+from ledgerflow.functions.json import register_json_functions
+from ledgerflow.functions.tokens import RunTokens, render_sql, to_spark_sql
 from ledgerflow.sources.csv import read_csv_source
 from ledgerflow.sources.pages import DEFAULT_PAGE_SIZE, explode_pages, trim_pages
 from ledgerflow.sources.paths import resolve_path
@@ -47,8 +48,10 @@ def _raw(spark: SparkSession, spec: SourceSpec, tokens: RunTokens) -> DataFrame:
 
 
 def _warehouse(spark: SparkSession, spec: SourceSpec, tokens: RunTokens) -> DataFrame:
-    query = render_sql(spec.query, tokens, spec.query_params) if spec.query else None
-    return read_query(spark, query, spec.table)
+    if not spec.query:
+        return read_query(spark, None, spec.table)
+    register_json_functions(spark)
+    return read_query(spark, to_spark_sql(render_sql(spec.query, tokens, spec.query_params)), spec.table)
 
 
 def _messages(spark: SparkSession, spec: SourceSpec, tokens: RunTokens) -> DataFrame:
