@@ -43,9 +43,11 @@ def mask_pii(rows: DataFrame | ChainResult, fields=DEFAULT_PII_FIELDS) -> ChainR
 def infer_json_schema(df: DataFrame, raw: str = "raw_json") -> T.StructType:
     """One distributed pass over the JSON text to find its object schema.
 
-    Decimal numbers become double and always-null fields become string, matching the engine's declared types.
+    Decimal numbers become double; always-null fields and fields of mixed kinds become string. Text that is not an
+    object is left out, flattening reports it.
     """
-    text = df.agg(F.schema_of_variant_agg(F.try_parse_json(column(raw)))).first()[0]
+    objects = F.when(F.ltrim(column(raw)).startswith("{"), column(raw))
+    text = df.agg(F.schema_of_variant_agg(F.try_parse_json(objects))).first()[0]
     if text is None or not text.startswith("OBJECT<"):
         raise ValueError(f"{raw} holds no JSON objects, so no schema can be inferred: {text}")
     parsed = T.StructType.fromDDL(f"r {text.replace('OBJECT<', 'STRUCT<')}")["r"].dataType

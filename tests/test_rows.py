@@ -74,6 +74,13 @@ def test_infer_json_schema_widens_numbers_and_nulls(spark):
     }
 
 
+def test_infer_json_schema_leaves_other_text_to_flattening(spark):
+    raw = ['{"a": 1, "m": "x"}', "[1, 2]", "oops", ' {"a": 2, "m": 5}', None]
+    result = flatten_json(spark.createDataFrame([(r,) for r in raw], "raw_json string"))
+    assert rows(result.ok) == [(1, "x"), (2, "5")]
+    assert sorted(str(r["payload"]) for r in result.dead.collect()) == ["None", "[1, 2]", "oops"]
+
+
 def test_infer_json_schema_needs_objects(spark):
     with pytest.raises(ValueError):
         infer_json_schema(spark.createDataFrame([("[1]",)], "raw_json string"))
