@@ -78,6 +78,9 @@ def parse_steps(text: str | None) -> list[Step]:
 
 
 def apply_step(df: DataFrame, step: Step, read_lookup: Callable[[str], DataFrame]) -> DataFrame:
+    """One step. A stream takes lookups only: grouping and sorting need the whole input."""
+    if df.isStreaming and not isinstance(step, LookupStep):
+        raise ValueError(f"{type(step).__name__} cannot run on a stream")
     if isinstance(step, LookupStep):
         return lookup_enrich(df, read_lookup(step.table), step.lookup_key, step.data_key, step.output_fields)
     if isinstance(step, GroupByStep):

@@ -14,16 +14,6 @@ from ledgerflow.sinks.outcomes import read_outcomes, tagged_rows
 from ledgerflow.sinks.router import SinkSpec
 from ledgerflow.sinks.tables import write_table
 
-# Step types that need state or a whole input, so they cannot run in a streaming chain.
-STATEFUL_STEPS = ("GROUP_BY", "SORT_BY")
-
-
-def reject_stateful(step_types: list[str]) -> None:
-    """Fail on steps that a streaming chain cannot run."""
-    found = [s for s in step_types if s.upper() in STATEFUL_STEPS]
-    if found:
-        raise ValueError(f"{', '.join(found)} cannot run in a streaming chain")
-
 
 def _start(writer, available_now: bool) -> StreamingQuery:
     return (writer.trigger(availableNow=True) if available_now else writer).start()

@@ -4,12 +4,13 @@ import pytest
 from conftest import rows
 
 from ledgerflow.operators.chain import ChainOptions
+from ledgerflow.operators.steps import GroupByStep, LookupStep, SortByStep, apply_steps
 from ledgerflow.plans.chains import run_chain_job
 from ledgerflow.sinks.outcomes import read_outcomes
 from ledgerflow.sinks.router import SinkSpec
 from ledgerflow.sources.router import SourceSpec
 from ledgerflow.sources.text import read_raw_stream, rows_as_raw_stream
-from ledgerflow.streaming.chain import reject_stateful, stream_chain, stream_outcomes
+from ledgerflow.streaming.chain import stream_chain, stream_outcomes
 
 OPTIONS = ChainOptions(json_schema="id int, name string", pii_fields=("name",))
 
@@ -82,10 +83,21 @@ def test_chain_job_starts_a_query(spark, tmp_path, messages):
         run.query.stop()
 
 
-def test_stateful_steps_are_rejected():
-    reject_stateful(["LOOKUP"])
-    with pytest.raises(ValueError, match="group_by"):
-        reject_stateful(["LOOKUP", "group_by"])
+def test_streams_take_lookups_but_no_grouping_or_sorting(spark, tmp_path, messages):
+    stream = spark.readStream.schema("id int, name string").json(str(messages))
+    names = spark.createDataFrame([("1", "one")], "k string, label string")
+    looked_up = apply_steps(stream, [LookupStep("names", "k", "id", ("label",))], {"names": names}.get)
+    state = str(tmp_path / "state")
+    query = (
+        looked_up.writeStream.format("parquet").option("checkpointLocation", state).trigger(availableNow=True)
+        .start(str(tmp_path / "out"))
+    )
+    query.awaitTermination()
+    found = {(r["id"], r["label"]) for r in spark.read.parquet(str(tmp_path / "out")).collect()}
+    assert {(1, "one"), (2, None)} <= found
+    for step in (GroupByStep(("id",), ()), SortByStep(("id",))):
+        with pytest.raises(ValueError, match="cannot run on a stream"):
+            apply_steps(stream, [step])
 
 
 def test_streaming_metrics_are_in_the_progress(spark, tmp_path, messages):
