@@ -6,6 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as driver
+from ledgerflow.queries import QUERIES
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
@@ -31,7 +32,7 @@ def comparable(columns, found):
     return sorted(columns), sorted(tuple(normal(row[i]) for i in order) for row in found)
 
 
-@pytest.mark.parametrize("name", sorted(driver.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_sql(spark, sf_dir, tables, name):
     df = driver.queries()[name](spark, sf_dir)
     found = [tuple(r) for r in df.collect()]
