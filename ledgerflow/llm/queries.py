@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from ledgerflow.llm.decontaminate import find_contamination
+from ledgerflow.llm.pii import find_personal_data
 from ledgerflow.llm.registry import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -12,3 +13,9 @@ __all__ = ["ORACLES", "QUERIES"]
 def op2_benchmark_decontamination(spark, sf_dir):
     """Words of each document inside benchmark windows, and the items they come from."""
     return find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query()
+def op3_pii_weak_supervision(spark, sf_dir):
+    """Personal data in each document: base spans, and those the trained span classifier adds."""
+    return find_personal_data(table(spark, sf_dir, "documents"))
