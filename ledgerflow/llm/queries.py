@@ -3,12 +3,20 @@
 from __future__ import annotations
 
 from ledgerflow.llm.decontaminate import find_contamination
+from ledgerflow.llm.divergence import quality_rules
 from ledgerflow.llm.pii import find_personal_data
 from ledgerflow.llm.registry import ORACLES, QUERIES, query, table
+from ledgerflow.llm.url_rules import DEFAULT_RULES, judge_urls
 
 __all__ = ["ORACLES", "QUERIES"]
 
 
+@query()
+def op1_quality_divergence(spark, sf_dir):
+    """Base counts of each document, and whether its histograms lie near those of a language."""
+    return quality_rules(table(spark, sf_dir, "documents"))
+
+
 @query()
 def op2_benchmark_decontamination(spark, sf_dir):
     """Words of each document inside benchmark windows, and the items they come from."""
@@ -19,3 +27,28 @@ def op2_benchmark_decontamination(spark, sf_dir):
 def op3_pii_weak_supervision(spark, sf_dir):
     """Personal data in each document: base spans, and those the trained span classifier adds."""
     return find_personal_data(table(spark, sf_dir, "documents"))
+
+
+@query(
+    r"""
+WITH cut AS (
+    SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages
+), parts AS (
+    SELECT page_id, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path,
+           translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host
+    FROM cut
+), rules (r_host, r_path, r_verdict) AS (
+    VALUES ('net', '/', 'block'), ('example.net', '/en/', 'allow'), ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow')
+), ruled AS (
+    SELECT p.page_id, p.host, p.path,
+           (SELECT max({'n': length(r_host || r_path), 'text': r_host || r_path, 'verdict': r_verdict}) FROM rules
+            WHERE (p.host = r_host OR ends_with(p.host, '.' || r_host)) AND starts_with(p.path, r_path)) AS best
+    FROM parts p
+)
+SELECT page_id, host, path, best.text AS rule, coalesce(best.verdict, 'allow') AS verdict FROM ruled
+"""
+)
+def op7_url_rules(spark, sf_dir):
+    """The longest block or allow rule that each page's URL falls under."""
+    rules = spark.createDataFrame(DEFAULT_RULES, "host string, path string, verdict string")
+    return judge_urls(table(spark, sf_dir, "pages"), rules)
