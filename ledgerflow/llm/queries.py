@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from ledgerflow.llm.decontaminate import find_contamination
 from ledgerflow.llm.divergence import quality_rules
+from ledgerflow.llm.line_crf import classify_quality
 from ledgerflow.llm.pii import find_personal_data
 from ledgerflow.llm.registry import ORACLES, QUERIES, query, table
 from ledgerflow.llm.url_rules import DEFAULT_RULES, judge_urls
@@ -29,6 +30,12 @@ def op3_pii_weak_supervision(spark, sf_dir):
     return find_personal_data(table(spark, sf_dir, "documents"))
 
 
+@query()
+def op4_quality_crf(spark, sf_dir):
+    """Quality score of each document from the chain of its lines."""
+    return classify_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query(
     r"""
 WITH cut AS (
