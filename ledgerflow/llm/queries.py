@@ -7,6 +7,7 @@ from ledgerflow.llm.divergence import quality_rules
 from ledgerflow.llm.line_crf import classify_quality
 from ledgerflow.llm.pii import find_personal_data
 from ledgerflow.llm.registry import ORACLES, QUERIES, query, table
+from ledgerflow.llm.toxicity import classify_toxicity
 from ledgerflow.llm.url_rules import DEFAULT_RULES, judge_urls
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -36,6 +37,12 @@ def op4_quality_crf(spark, sf_dir):
     return classify_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query()
+def op5_toxicity_cnn(spark, sf_dir):
+    """Toxicity score of each document from a convolutional classifier."""
+    return classify_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query(
     r"""
 WITH cut AS (
