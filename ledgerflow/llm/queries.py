@@ -5,6 +5,7 @@ from __future__ import annotations
 from ledgerflow.llm.decontaminate import find_contamination
 from ledgerflow.llm.divergence import quality_rules
 from ledgerflow.llm.line_crf import classify_quality
+from ledgerflow.llm.packing import pack_documents
 from ledgerflow.llm.pii import find_personal_data
 from ledgerflow.llm.registry import ORACLES, QUERIES, query, table
 from ledgerflow.llm.toxicity import classify_toxicity
@@ -66,3 +67,9 @@ def op7_url_rules(spark, sf_dir):
     """The longest block or allow rule that each page's URL falls under."""
     rules = spark.createDataFrame(DEFAULT_RULES, "host string, path string, verdict string")
     return judge_urls(table(spark, sf_dir, "pages"), rules)
+
+
+@query()
+def op8_best_fit_packing(spark, sf_dir):
+    """Documents as token pieces, packed into as few sequences as local search finds."""
+    return pack_documents(table(spark, sf_dir, "documents"))
