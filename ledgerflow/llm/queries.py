@@ -5,6 +5,7 @@ from __future__ import annotations
 from ledgerflow.llm.decontaminate import find_contamination
 from ledgerflow.llm.divergence import quality_rules
 from ledgerflow.llm.line_crf import classify_quality
+from ledgerflow.llm.near_dup import near_duplicate_classes
 from ledgerflow.llm.packing import pack_documents
 from ledgerflow.llm.pii import find_personal_data
 from ledgerflow.llm.registry import ORACLES, QUERIES, query, table
@@ -44,6 +45,12 @@ def op5_toxicity_cnn(spark, sf_dir):
     return classify_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query()
+def op6_near_duplicates(spark, sf_dir):
+    """The near-duplicate class of each document, named by its smallest id."""
+    return near_duplicate_classes(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "class_size")
+
+
 @query(
     r"""
 WITH cut AS (
