@@ -9,6 +9,7 @@ from ledgerflow.llm.near_dup import near_duplicate_classes
 from ledgerflow.llm.packing import pack_documents
 from ledgerflow.llm.pii import find_personal_data
 from ledgerflow.llm.registry import ORACLES, QUERIES, query, table
+from ledgerflow.llm.repeated_bytes import remove_repeated_bytes
 from ledgerflow.llm.toxicity import classify_toxicity
 from ledgerflow.llm.url_rules import DEFAULT_RULES, judge_urls
 
@@ -80,3 +81,9 @@ def op7_url_rules(spark, sf_dir):
 def op8_best_fit_packing(spark, sf_dir):
     """Documents as token pieces, packed into as few sequences as local search finds."""
     return pack_documents(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op9_suffix_array_dedup(spark, sf_dir):
+    """Bytes of each document inside 400-byte strings that occur again anywhere."""
+    return remove_repeated_bytes(table(spark, sf_dir, "documents"))
