@@ -10,6 +10,7 @@ from ledgerflow.llm.packing import pack_documents
 from ledgerflow.llm.pii import find_personal_data
 from ledgerflow.llm.registry import ORACLES, QUERIES, query, table
 from ledgerflow.llm.repeated_bytes import remove_repeated_bytes
+from ledgerflow.llm.repeated_words import remove_repeated_words
 from ledgerflow.llm.toxicity import classify_toxicity
 from ledgerflow.llm.url_rules import DEFAULT_RULES, judge_urls
 
@@ -87,3 +88,9 @@ def op8_best_fit_packing(spark, sf_dir):
 def op9_suffix_array_dedup(spark, sf_dir):
     """Bytes of each document inside 400-byte strings that occur again anywhere."""
     return remove_repeated_bytes(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op10_block_anchor_dedup(spark, sf_dir):
+    """Words of each document inside 13-word windows that a document with a smaller id also has."""
+    return remove_repeated_words(table(spark, sf_dir, "documents"))

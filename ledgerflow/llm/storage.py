@@ -6,6 +6,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def shared_path(spark: SparkSession, label: str) -> str:
     """A fresh path in the folder of ``spark.checkpoint.dir``."""
@@ -18,8 +20,24 @@ def shared_path(spark: SparkSession, label: str) -> str:
 def stored(df: DataFrame, label: str) -> DataFrame:
     """The frame written once as compressed Parquet and read back: lineage ends here, and a lost executor costs nothing.
 
-    The folder belongs to the caller's job; give the shared folder a retention rule, or delete it after the job.
+    The shuffle files of the job that writes it are removed when it ends, so disk holds those of one job at a time.
     """
-    path = shared_path(df.sparkSession, label)
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = shared_path(spark, label)
+    before = spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that ``stored`` wrote and nothing reads any more."""
+    for table in tables:
+        spark = table.sparkSession
+        paths = {file.rsplit("/", 1)[0] for file in table.inputFiles()}
+        for path in paths:
+            where = spark._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
