@@ -11,7 +11,6 @@ from ledgerflow.functions.scalars import column
 from ledgerflow.session import materialize
 
 # A calendar row is two small columns, so this many rows (about 270 years) stay far below any broadcast limit.
-MAX_CALENDAR_DAYS = 100_000
 _MONDAY = date(1970, 1, 5)
 
 
@@ -69,8 +68,8 @@ def business_calendar(spark: SparkSession, start: date, end: date, holidays: Dat
     ``holidays`` has a ``holiday`` date column. The span is bounded, so the running count over it may use one task.
     """
     days = (end - start).days + 1
-    if not 0 < days <= MAX_CALENDAR_DAYS:
-        raise ValueError(f"a calendar spans 1 to {MAX_CALENDAR_DAYS} days, not {days}")
+    if days <= 0:
+        raise ValueError("a calendar ends on or after its start")
     dates = spark.range(days).select(F.date_add(F.lit(start), F.col("id").cast("int")).alias("cal_date"))
     business = ~is_weekend(F.col("cal_date"))
     if holidays is not None:
@@ -95,7 +94,7 @@ def business_days_in_range(
 def shift_business_days(df: DataFrame, day: str, offset: int, calendar: DataFrame, out: str) -> DataFrame:
     """Move a date column by business days of a calendar table; null outside the calendar.
 
-    Date-to-date pairs are worked out on the calendar alone (at most ``MAX_CALENDAR_DAYS`` rows) and broadcast.
+    Date-to-date pairs are worked out on the calendar alone and joined as one row per date.
     """
     moved = F.col("biz_index") + F.lit(offset)
     if offset < 0:
@@ -103,7 +102,7 @@ def shift_business_days(df: DataFrame, day: str, offset: int, calendar: DataFram
     origins = calendar.select(F.col("cal_date").alias("_from"), moved.alias("_index"))
     targets = calendar.where("is_business").select(F.col("biz_index").alias("_index"), F.col("cal_date").alias(out))
     pairs = origins.join(targets, "_index").select("_from", out)
-    joined = df.withColumn("_from", column(day).cast("date")).join(F.broadcast(pairs), "_from", "left")
+    joined = df.withColumn("_from", column(day).cast("date")).join(pairs, "_from", "left")
     return joined.select(*[column(c) for c in df.columns], out)
 
 
@@ -111,18 +110,19 @@ def count_business_days(df: DataFrame, start: str, end: str, calendar: DataFrame
     """Business days of a calendar table in ``[start, end)`` for each row."""
     before = F.col("biz_index") - F.col("is_business").cast("int")
     at = calendar.select("cal_date", before.alias("_before"))
-    low = F.broadcast(at.select(F.col("cal_date").alias("_start"), F.col("_before").alias("_low")))
-    high = F.broadcast(at.select(F.col("cal_date").alias("_end"), F.col("_before").alias("_high")))
+    low = at.select(F.col("cal_date").alias("_start"), F.col("_before").alias("_low"))
+    high = at.select(F.col("cal_date").alias("_end"), F.col("_before").alias("_high"))
     keyed = df.withColumns({"_start": column(start).cast("date"), "_end": column(end).cast("date")})
     joined = keyed.join(low, "_start", "left").join(high, "_end", "left")
     counted = F.greatest(F.col("_high") - F.col("_low"), F.lit(0)).alias(out)
     return joined.select(*[column(c) for c in df.columns], counted)
 
 
-def calendar_window(run_date: date, reach: int) -> tuple[date, date]:
-    """A span wide enough to move ``reach`` business days either way, weekends and long closures included."""
-    margin = timedelta(days=abs(reach) * 2 + 40)
-    return run_date - margin, run_date + margin
+def calendar_window(run_date: date, reach: int, wider: int = 1) -> tuple[date, date]:
+    """A span that usually lets a date move ``reach`` business days either way; ``wider`` multiplies it."""
+    margin = (abs(reach) * 2 + 40) * wider
+    before, after = (run_date - date.min).days, (date.max - run_date).days
+    return run_date - timedelta(days=min(margin, before)), run_date + timedelta(days=min(margin, after))
 
 
 def effective_date(
@@ -130,10 +130,17 @@ def effective_date(
 ) -> date:
     """The business date of a run: ``look_back_days`` business days before the run date (1 is yesterday's).
 
-    0 is the run date itself.
+    0 is the run date itself. The calendar is widened until it holds the date, however long closures last; without any
+    business day left it is an error.
     """
     if look_back_days == 0:
         return run_date
-    calendar = business_calendar(spark, *calendar_window(run_date, look_back_days), holidays)
     day = spark.range(1).select(F.lit(run_date).alias("day"))
-    return shift_business_days(day, "day", -look_back_days, calendar, "moved").first()["moved"]
+    wider, span = 1, None
+    while span != (span := calendar_window(run_date, look_back_days, wider)):
+        calendar = business_calendar(spark, *span, holidays)
+        moved = shift_business_days(day, "day", -look_back_days, calendar, "moved").first()["moved"]
+        if moved is not None:
+            return moved
+        wider *= 4
+    raise ValueError(f"no business day lies {look_back_days} days before {run_date}")

@@ -50,6 +50,12 @@ def parsed_double(text: Column) -> Column:
     return F.when(special & ~spelled, F.lit(None).cast("double")).otherwise(number)
 
 
+def plain_number(text: Column) -> Column:
+    """Text to double where it is a number as data files write it; null for type suffixes, hex and words."""
+    plain = text.rlike(r"^\s*[+-]?(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?\s*$")
+    return F.when(plain, text.try_cast("double"))
+
+
 def lenient_double(df: DataFrame, name: str) -> Column:
     """Numbers as double; text parsed; null, unparsable text and any other type count as 0.0."""
     kind = type_of(df, name)

@@ -51,16 +51,6 @@ def join_keys(data: DataFrame, data_key: str, lookup: DataFrame, lookup_key: str
     return column(data_key).cast("string"), text_form(lookup_key)
 
 
-def small_enough_to_broadcast(df: DataFrame, max_rows: int, max_bytes: int) -> bool:
-    """Measure a frame: true when it has at most ``max_rows`` rows and ``max_bytes`` of JSON text.
-
-    Reads at most ``max_rows + 1`` rows, so measuring a huge table stays cheap.
-    """
-    size = F.length(F.to_json(F.struct(*[column(c) for c in df.columns])))
-    measured = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"), F.sum(size).alias("b")).first()
-    return measured["n"] <= max_rows and (measured["b"] or 0) <= max_bytes
-
-
 def lookup_enrich(
     data: DataFrame,
     lookup: DataFrame,
@@ -68,8 +58,6 @@ def lookup_enrich(
     data_key: str,
     output_fields=(),
     unique: str = "check",
-    broadcast_rows: int = 0,
-    broadcast_bytes: int = 64 << 20,
 ) -> DataFrame:
     """Add lookup columns, as strings, to rows whose key text equals a lookup key text.
 
@@ -80,8 +68,7 @@ def lookup_enrich(
 
     The join strategy is the planner's: it broadcasts a lookup under its own size threshold and otherwise runs a
     sort-merge join, where adaptive execution splits hot keys (and the null key) on the data side; for that a large
-    lookup should be a stored table, not the result of an aggregation. ``broadcast_rows`` > 0 measures the lookup first
-    and adds a broadcast hint only if it is within the row and byte bounds.
+    lookup should be a stored table, not the result of an aggregation.
     """
     if lookup_key not in lookup.columns:
         raise ValueError(f"lookup has no key column {lookup_key!r}")
@@ -99,7 +86,5 @@ def lookup_enrich(
     left_key, right_key = join_keys(data, data_key, lookup, lookup_key)
     values = [column(field).cast("string").alias(name) for field, name in renamed.items()]
     side = lookup.select(right_key.alias(_KEY), *values)
-    if broadcast_rows and small_enough_to_broadcast(side, broadcast_rows, broadcast_bytes):
-        side = F.broadcast(side)
     joined = data.withColumn(_KEY, left_key).join(side, _KEY, "left")
     return joined.select(*[column(c) for c in data.columns], *[column(n) for n in renamed.values()])

@@ -45,6 +45,8 @@ def map_rows_with_retry(
 ) -> ChainResult:
     """Apply ``fn`` to each row (dict to dict); a row whose tries are used up becomes a dead letter.
 
+    A result that does not fit the declared types is a failed try of its row.
+
     For functions Spark cannot express; rows travel in Arrow batches and the work stays partitioned as the input is.
     """
     out = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
@@ -54,11 +56,20 @@ def map_rows_with_retry(
     arrow_schema = to_arrow_schema(tagged)
     names = out.names
 
+    def converted(value: dict) -> dict:
+        """The row's values if each fits its column's type; an error says which does not."""
+        for name, field in zip(names, arrow_schema):
+            try:
+                pa.array([value.get(name)], field.type)
+            except (pa.ArrowException, TypeError, ValueError, OverflowError) as error:
+                raise ValueError(f"{name}: {error}") from error
+        return value
+
     def attempt(row: dict) -> tuple[dict | None, dict | None]:
         tries = 0
         while True:
             try:
-                return fn(dict(row)), None
+                return converted(fn(dict(row))), None
             except Exception as error:
                 tries += 1
                 if policy.should_retry(tries):

@@ -36,14 +36,14 @@ def mask_pii(rows: DataFrame | ChainResult, fields=DEFAULT_PII_FIELDS) -> ChainR
     if not listed:
         return result
     masked = result.transform(lambda df: df.withColumns({c: sha256_hex(column(c)) for c in listed}))
-    hashed = [F.count_if(column(c).isNotNull()) for c in listed]
+    hashed = [F.count_if(~F.col(FAILED) & column(c).isNotNull()) for c in listed]
     return masked.counting(pii_fields_hashed=sum(hashed[1:], hashed[0]))
 
 
 def infer_json_schema(df: DataFrame, raw: str = "raw_json") -> T.StructType:
     """One distributed pass over the JSON text to find its object schema.
 
-    Decimal numbers become double; always-null fields and fields of mixed kinds become string. Text that is not an
+    Decimal numbers of at most 15 digits become double, longer ones stay decimal; always-null fields and fields of mixed kinds become string. Text that is not an
     object is left out, flattening reports it.
     """
     objects = F.when(F.ltrim(column(raw)).startswith("{"), column(raw))
@@ -60,13 +60,14 @@ def _widen(kind: T.DataType) -> T.DataType:
     if isinstance(kind, T.ArrayType):
         return T.ArrayType(_widen(kind.elementType))
     if isinstance(kind, T.DecimalType):
-        return T.DoubleType()
+        # a double holds 15 digits; longer numbers, such as ids of 20 digits, stay exact
+        return T.DoubleType() if kind.precision <= 15 else T.DecimalType(38, kind.scale)
     if isinstance(kind, (T.NullType, T.VariantType)):
         return T.StringType()
     return kind
 
 
-def _parse_once(df: DataFrame, document: Column) -> DataFrame:
+def parse_once(df: DataFrame, document: Column) -> DataFrame:
     """Add ``_doc`` through a one-element generator.
 
     As a plain column the parse would be repeated in every filter and field that the optimizer moves past it.
@@ -80,7 +81,10 @@ def flatten_json(
     raw: str = "raw_json",
     keep_raw: bool = False,
 ) -> ChainResult:
-    """Turn a JSON text column into typed columns; text that does not parse as an object becomes a dead letter."""
+    """Turn a JSON text column into typed columns; text that does not parse as an object becomes a dead letter.
+
+    A field named like a column that is kept gets the prefix ``json_``.
+    """
     result = _start(rows)
     if schema is None:
         schema = infer_json_schema(result.ok, raw)
@@ -89,14 +93,17 @@ def flatten_json(
     corrupt = "_corrupt"
     with_corrupt = T.StructType(schema.fields + [T.StructField(corrupt, T.StringType())])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": corrupt}
-    parsed = result.transform(lambda df: _parse_once(df, F.from_json(column(raw), with_corrupt, options)))
+    parsed = result.transform(lambda df: parse_once(df, F.from_json(column(raw), with_corrupt, options)))
     bad = F.col("_doc").isNull() | F.col("_doc")[corrupt].isNotNull()
     letter = dead_letter(column(raw), "Malformed JSON", ILLEGAL_ARGUMENT, 0)
     checked = parsed.fail_where(bad, letter)
     kept = [c for c in result.columns if keep_raw or c != raw]
 
+    taken = {c.lower() for c in kept}
+
     def spread(df: DataFrame) -> DataFrame:
-        fields = [F.col("_doc").getField(f.name).alias(f.name) for f in schema.fields]
+        names = {f.name: f"json_{f.name}" if f.name.lower() in taken else f.name for f in schema.fields}
+        fields = [F.col("_doc").getField(name).alias(new) for name, new in names.items()]
         return df.select(*[column(c) for c in kept], *fields, FAILED, DEAD)
 
     return checked.transform(spread)
@@ -106,7 +113,7 @@ def flatten_strict(df: DataFrame, schema: str | T.StructType | None = None, raw:
     """``flatten_json`` for inputs that must all parse: text that is not a JSON object fails the job."""
     found = infer_json_schema(df, raw) if schema is None else schema
     problem = F.concat(F.lit("not a JSON object: "), F.coalesce(column(raw), F.lit("(null)")))
-    parsed = _parse_once(df, F.from_json(column(raw), found, {"mode": "FAILFAST"}))
+    parsed = parse_once(df, F.from_json(column(raw), found, {"mode": "FAILFAST"}))
     return parsed.where(F.assert_true(F.col("_doc").isNotNull(), problem).isNull()).select("_doc.*")
 
 

@@ -1,4 +1,7 @@
-"""Small driver-side values available to every row: a constant, a list, a map."""
+"""Driver-side values available to every row: a constant, a list, a map.
+
+They travel inside the plan; what grows with the data belongs in a table and a lookup.
+"""
 
 from __future__ import annotations
 
@@ -7,15 +10,6 @@ from pyspark.sql import functions as F
 
 from ledgerflow.functions.scalars import column
 
-# Values travel inside the plan, so they stay small; larger ones belong in a table and a lookup.
-MAX_VALUES = 10_000
-
-
-def _bounded(values) -> None:
-    if len(values) > MAX_VALUES:
-        raise ValueError(f"{len(values)} side values: put more than {MAX_VALUES} in a table and use lookup_enrich")
-
-
 def with_constant(df: DataFrame, name: str, value) -> DataFrame:
     """The same value on every row."""
     return df.withColumn(name, F.lit(value))
@@ -23,13 +17,11 @@ def with_constant(df: DataFrame, name: str, value) -> DataFrame:
 
 def in_list(name: str, values: list) -> Column:
     """Whether a column's value is in a driver-side list."""
-    _bounded(values)
     return column(name).isin(values)
 
 
 def map_value(name: str, mapping: dict) -> Column:
     """A column's value looked up in a driver-side map; null when absent."""
-    _bounded(mapping)
     if not mapping:
         return F.lit(None).cast("string")
     entries = [F.lit(part) for pair in mapping.items() for part in pair]

@@ -10,7 +10,7 @@ from pyspark.sql.streaming.query import StreamingQuery
 
 from ledgerflow.functions.tokens import RunTokens
 from ledgerflow.operators.chain import ChainOptions, TransformRegistry, run_chain
-from ledgerflow.session import scratch_path
+from ledgerflow.session import scratch_path, scratch_scope
 from ledgerflow.sinks.files import write_dead_letters
 from ledgerflow.sinks.outcomes import write_outcomes
 from ledgerflow.sinks.router import SinkSpec, write_sink
@@ -55,7 +55,8 @@ def run_chain_job(
         log.warning("no dead-letter path is set: dead letters are discarded")
         write_sink(result.ok, sink)
         return ChainRun()
-    ok, dead = write_outcomes(result, scratch_path(spark, "chain"))
-    write_sink(ok, sink)
-    write_dead_letters(dead, dead_letter_path)
+    with scratch_scope(spark):
+        ok, dead = write_outcomes(result, scratch_path(spark, "chain"))
+        write_sink(ok, sink)
+        write_dead_letters(dead, dead_letter_path)
     return ChainRun(counts=observation.get)

@@ -163,6 +163,8 @@ class OutputSpec:
     include_header: bool = True
     table: str | None = None
     endpoint: str | None = None
+    #: Rows of one request payload of an API output; a payload holds the rows of one partition at most.
+    payload_rows: int = 1000
 
 
 @dataclass(frozen=True)

@@ -53,7 +53,7 @@ def assign_run_ids(new_runs: DataFrame, ledger: DataFrame, order: list[str] | No
     """Give each new run the next id and the next version of its source and period.
 
     ``new_runs`` has ``SrceNm``, ``PerId`` and tie-break columns ``order``; ids follow source, period, tie-break. The
-    rows are numbered across partitions, so no source is gathered in one task; the per-source bases are written out, so
+    rows (null sources and periods included) are numbered across partitions, so no source is gathered in one task; the per-source bases are written out, so
     the join back either broadcasts them by their real size or lets adaptive execution split a hot source.
     """
     keys = ["SrceNm", "PerId"]
@@ -61,8 +61,13 @@ def assign_run_ids(new_runs: DataFrame, ledger: DataFrame, order: list[str] | No
     numbered = number_rows(new_runs, [F.col(c) for c in keys + (order or [])], "_no")
     versions = ledger.groupBy(*keys).agg(F.max("VsnNo").alias("_top"))
     firsts = numbered.groupBy(*keys).agg(F.min("_no").alias("_first"))
-    bases = firsts.join(versions, keys, "left").select(*keys, (F.coalesce("_top", F.lit(0)) - F.col("_first")).alias("_base"))
-    placed = numbered.join(materialize(bases, "run-versions"), keys)
+    known = versions.toDF("_source", "_period", "_top")
+    same = F.col("SrceNm").eqNullSafe(F.col("_source")) & F.col("PerId").eqNullSafe(F.col("_period"))
+    base = (F.coalesce("_top", F.lit(0)) - F.col("_first")).alias("_base")
+    bases = firsts.join(known, same, "left").select(*keys, base)
+    stored = materialize(bases.toDF("_source", "_period", "_base"), "run-versions")
+    same = F.col("SrceNm").eqNullSafe(F.col("_source")) & F.col("PerId").eqNullSafe(F.col("_period"))
+    placed = numbered.join(stored, same)
     return placed.select(
         (F.lit(top) + F.col("_no")).alias("DaId"),
         *[F.col(c) for c in new_runs.columns],

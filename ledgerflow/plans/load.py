@@ -19,6 +19,7 @@ from ledgerflow.plans.control import FAILED, RunFacts, control_check, expectatio
 from ledgerflow.plans.ledger import Ledger, pending_sources
 from ledgerflow.plans.periods import find_period
 from ledgerflow.plans.records import read_records, run_totals, to_records, write_records
+from ledgerflow.session import scratch_scope
 from ledgerflow.sources.router import read_source
 from ledgerflow.sources.text import RAW
 
@@ -58,7 +59,13 @@ def _branch(
     return _Branch(to_records(rows, run_id, at), counted, tuple(missing))
 
 
-def load_period(
+def load_period(spark: SparkSession, *args, **kwargs) -> list[RunStatus]:
+    """Load a period, see ``_load_period``; what it writes besides records and ledger is deleted at the end."""
+    with scratch_scope(spark):
+        return _load_period(spark, *args, **kwargs)
+
+
+def _load_period(
     spark: SparkSession,
     configs: list[SourceConfig],
     ledger: Ledger,

@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerflow.functions.json import with_json_fields
-from ledgerflow.functions.scalars import row_json
-from ledgerflow.operators.rows import flatten_json
+from ledgerflow.functions.scalars import plain_number, row_json
+from ledgerflow.operators.rows import infer_json_schema, parse_once
 
 RECORD_SCHEMA = "RecId string, DaId bigint, RowDaJsonTx string, LoadDt date, LstUpdtTs timestamp"
 
@@ -39,9 +39,20 @@ def read_records(spark, path: str) -> DataFrame:
 def run_rows(
     records: DataFrame, run_id: int, schema: str | T.StructType | None = None, keep_json: bool = True
 ) -> DataFrame:
-    """Rows of one run with their JSON fields as columns; without a schema the fields are found in the data."""
+    """Every row of one run with its JSON fields as columns; without a schema the fields are found in the data.
+
+    A value that does not fit its field's type is null in that field, as is every field of a text that is no object: a
+    stored row is never left out. A field named like the JSON column gives way to it.
+    """
     chosen = records.where(F.col("DaId") == run_id).select("RowDaJsonTx")
-    return flatten_json(chosen, schema, raw="RowDaJsonTx", keep_raw=keep_json).ok
+    if schema is None:
+        schema = infer_json_schema(chosen, "RowDaJsonTx")
+    elif isinstance(schema, str):
+        schema = T.StructType.fromDDL(schema)
+    parsed = parse_once(chosen, F.from_json(F.col("RowDaJsonTx"), schema))
+    names = [f.name for f in schema.fields if not (keep_json and f.name.lower() == "rowdajsontx")]
+    kept = [F.col("RowDaJsonTx")] if keep_json else []
+    return parsed.select(*kept, *[F.col("_doc").getField(n).alias(n) for n in names])
 
 
 def run_totals(records: DataFrame, fields: list[str], keys: tuple[str, ...] = ("DaId",)) -> DataFrame:
@@ -52,7 +63,7 @@ def run_totals(records: DataFrame, fields: list[str], keys: tuple[str, ...] = ("
     """
     documents = records.select(*keys, "RowDaJsonTx")
     texts = with_json_fields(documents, "RowDaJsonTx", {f: f"_t{i}" for i, f in enumerate(fields)})
-    numbers = {f"_n{i}": F.col(f"_t{i}").try_cast("double") for i, _ in enumerate(fields)}
+    numbers = {f"_n{i}": plain_number(F.col(f"_t{i}")) for i, _ in enumerate(fields)}
     given = {f"_g{i}": F.col(f"_t{i}").isNotNull() for i, _ in enumerate(fields)}
     numbered = texts.select(*keys, *[value.alias(name) for name, value in {**numbers, **given}.items()])
     aggregates = [F.count(F.lit(1)).alias("row_count")]

@@ -5,6 +5,7 @@ from __future__ import annotations
 import logging
 import re
 import uuid
+from collections import Counter
 from dataclasses import dataclass, field
 from datetime import date, datetime, timezone
 
@@ -21,6 +22,7 @@ from ledgerflow.plans.notify import report_notification
 from ledgerflow.plans.params import fetch_parameters
 from ledgerflow.plans.periods import find_period
 from ledgerflow.plans.records import run_rows
+from ledgerflow.session import materialize, scratch_scope
 from ledgerflow.sinks.files import export_report, report_file_name
 from ledgerflow.sinks.tables import copy_table
 
@@ -30,7 +32,6 @@ DETAIL_SCHEMA = (
     "SrceSysNm string, FlNm string, SrceFlCreateTs timestamp, FlDaJsonTx string, RecCt bigint, CreatTs timestamp, "
     "CreateUserId string, LstUpdtTs timestamp, LstUpdtUserId string"
 )
-DEFAULT_BATCH = 1000
 
 
 class SourcesMissingError(RuntimeError):
@@ -167,14 +168,20 @@ def export_output(df: DataFrame, output: OutputSpec, config: ReportConfig, token
             raise ValueError("a BQ output needs a table")
         copy_table(observed, output.table)
         return OutputResult(output.table, output.table, counted.get.get("rows"))
-    batches = json_batches(df, DEFAULT_BATCH)
-    return OutputResult(output.endpoint or "", output.endpoint or "", df.count(), payloads=batches)
+    # stored, so that the rows are computed once, and counted while that happens; the receiver deletes them
+    batches = materialize(json_batches(observed, output.payload_rows), "payloads", keep=True)
+    return OutputResult(output.endpoint or "", output.endpoint or "", counted.get.get("rows"), payloads=batches)
 
 
 def export_outputs(aliases: Aliases, config: ReportConfig, tokens: RunTokens) -> list[OutputResult]:
-    """Write all outputs in order; an unknown alias is an error before anything is written."""
-    frames = [aliases.frame(output.alias) for output in config.outputs]
-    return [export_output(df, output, config, tokens) for df, output in zip(frames, config.outputs)]
+    """Write all outputs in order; an unknown alias is an error before anything is written.
+
+    An alias of several outputs is computed once.
+    """
+    uses = Counter(output.alias for output in config.outputs)
+    frames = {alias: aliases.frame(alias) for alias in uses}
+    frames = {alias: materialize(df, "output") if uses[alias] > 1 else df for alias, df in frames.items()}
+    return [export_output(frames[output.alias], output, config, tokens) for output in config.outputs]
 
 
 def output_details(
@@ -194,7 +201,13 @@ class ReportRun:
     notification: DataFrame | None = None
 
 
-def run_report(
+def run_report(spark: SparkSession, *args, **kwargs) -> ReportRun:
+    """A report from start to end, see ``_run_report``; its intermediates are deleted, payloads are the receiver's."""
+    with scratch_scope(spark):
+        return _run_report(spark, *args, **kwargs)
+
+
+def _run_report(
     spark: SparkSession,
     config: ReportConfig,
     ledger: Ledger,
@@ -205,7 +218,7 @@ def run_report(
     schemas: dict[str, str] | None = None,
     detail_path: str | None = None,
 ) -> ReportRun:
-    """A report from start to end. A completed report is not run again for its period unless it has the override.
+    """A completed report is not run again for its period unless it has the override.
 
     The run is opened as LOADING and closed as COMPLETED or, with the error raised, FAILED.
     """

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ledgerflow.queries import grouping, joins, loads, reports, rows, runs, sources, streams
+from ledgerflow.queries import edges, grouping, joins, loads, reports, rows, runs, sources, streams
 from ledgerflow.queries.registry import ORACLES, QUERIES
 
-__all__ = ["ORACLES", "QUERIES", "grouping", "joins", "loads", "reports", "rows", "runs", "sources", "streams"]
+__all__ = ["ORACLES", "QUERIES", "edges", "grouping", "joins", "loads", "reports", "rows", "runs", "sources", "streams"]

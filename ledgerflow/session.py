@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -31,38 +31,50 @@ def build_session(app_name: str = "ledgerflow", master: str | None = None, **con
     return builder.getOrCreate()
 
 
-# Temporary folders of local-mode applications.
-_local_dirs: dict[str, str] = {}
-
-
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, taken from ``spark.checkpoint.dir``.
 
-    Only a local-mode session may fall back to a temporary folder; on a cluster a missing setting is an error, because
-    a machine-local folder would be lost with its machine.
+    There is no fallback: a machine-local folder would be lost with its machine.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured
-    if not spark.sparkContext.master.startswith("local"):
+    if not configured:
         raise ValueError("spark.checkpoint.dir must name a folder shared by all executors")
-    application = spark.sparkContext.applicationId
-    if application not in _local_dirs:
-        _local_dirs[application] = tempfile.mkdtemp(prefix="ledgerflow-")
-    return _local_dirs[application]
+    return configured
+
+
+# Scratch paths of the scopes that are open, innermost last.
+_scopes: list[list[str]] = []
 
 
-def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path under the shared folder."""
-    return os.path.join(shared_dir(spark), f"{label}-{uuid.uuid4().hex}")
+def scratch_path(spark: SparkSession, label: str, keep: bool = False) -> str:
+    """A fresh path under the shared folder; unless kept, the innermost open scope deletes it when it ends."""
+    path = f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    if _scopes and not keep:
+        _scopes[-1].append(path)
+    return path
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Own the intermediates written inside: they are deleted at the end, whether it succeeds or fails.
+
+    Frames that read them must not be used after the scope.
+    """
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        for path in _scopes.pop():
+            where = spark._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
-def materialize(df, label: str):
+def materialize(df, label: str, keep: bool = False):
     """Write an intermediate result to the shared folder and read it back.
 
     The written size is known exactly, so the planner decides about broadcasting it on facts, and a lost executor costs
     nothing that has to be recomputed.
     """
-    path = scratch_path(df.sparkSession, label)
+    path = scratch_path(df.sparkSession, label, keep)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

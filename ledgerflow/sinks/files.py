@@ -38,11 +38,13 @@ def report_file_name(
 def export_report(df: DataFrame, path: str, output_format: str = "CSV", header: bool = True) -> None:
     """Write a report result as CSV or JSON lines under ``path``, in the frame's partition order.
 
-    The result is a folder of part files, so that an export of any size has parallel writers.
+    Cells keep their blanks, and a quote inside a cell is doubled. The result is a folder of part files, so that an export of any size has parallel writers.
     """
     kind = (output_format or "CSV").upper()
     if kind == "CSV":
-        df.write.mode("overwrite").csv(path, header=header, emptyValue="")
+        df.write.mode("overwrite").csv(
+            path, header=header, emptyValue="", escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+        )
     elif kind in ("JSON", "JSONL", "NEWLINE_DELIMITED_JSON"):
         write_json_lines(df, path)
     else:

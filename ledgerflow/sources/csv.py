@@ -11,15 +11,6 @@ from ledgerflow.functions.scalars import column
 _CORRUPT = "_corrupt"
 
 
-def has_quoted_newlines(spark: SparkSession, path: str) -> bool:
-    """Whether some record spans lines: then a physical line holds an odd number of quotes.
-
-    Reads the files as plain text, in parallel splits.
-    """
-    quotes = F.length("value") - F.length(F.translate("value", '"', ""))
-    return not spark.read.text(path).where(quotes % 2 == 1).isEmpty()
-
-
 def _present_cells(record: Column, delimiter: str) -> Column:
     """Number of cells in a raw record, counting delimiters outside quotes."""
     bare = F.regexp_replace(record, '"[^"]*"', "")
@@ -31,27 +22,26 @@ def read_csv_source(
     path: str,
     delimiter: str = ",",
     has_header: bool = True,
-    multi_line: bool | None = None,
+    multi_line: bool = True,
 ) -> DataFrame:
     """All-string columns; an empty cell is ``""``, a cell missing from a short row is null, extra cells are dropped.
 
     Without a header the columns are ``field_0``, ``field_1``, …, as many as the first record has. Only the first
-    character of ``delimiter`` counts. ``multi_line=None`` looks for quoted newlines first: files without any are read
-    in parallel splits, others one task per file.
+    character of ``delimiter`` counts. ``multi_line`` allows newlines inside quotes and reads each file in one task;
+    sources without them should set it to false, then large files are read in parallel splits. Files of one path must
+    have the same header: one with other names, or another order, fails the job instead of swapping columns.
     """
     if not delimiter:
         raise ValueError("a delimiter is required")
-    if multi_line is None:
-        multi_line = has_quoted_newlines(spark, path)
     sep = delimiter[0]
-    options = {"sep": sep, "escape": '"', "multiLine": multi_line, "maxColumns": 100_000}
+    options = {"sep": sep, "escape": '"', "multiLine": multi_line, "maxColumns": 1_000_000}
     found = spark.read.options(header=has_header, inferSchema=False, **options).csv(path).columns
     names = found if has_header else [f"field_{i}" for i in range(len(found))]
     fields = [T.StructField(n, T.StringType()) for n in names]
     schema = T.StructType(fields + [T.StructField(_CORRUPT, T.StringType())])
     parsed = (
         spark.read.schema(schema)
-        .options(header=has_header, mode="PERMISSIVE", columnNameOfCorruptRecord=_CORRUPT, **options)
+        .options(header=has_header, enforceSchema=False, mode="PERMISSIVE", columnNameOfCorruptRecord=_CORRUPT, **options)
         .csv(path)
     )
     present = F.when(F.col(_CORRUPT).isNull(), F.lit(len(names))).otherwise(_present_cells(F.col(_CORRUPT), sep))

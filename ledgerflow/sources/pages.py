@@ -56,8 +56,8 @@ def trim_pages(
         ends = F.trim(F.coalesce(cursor, F.lit(""))) == ""
     else:
         ends, last_kept = F.lit(True), True
-    stops = pages.where(ends).groupBy(column(source)).agg(F.min(column(page)).alias("_stop"))
+    stops = pages.where(ends).groupBy(column(source).alias("_source")).agg(F.min(column(page)).alias("_stop"))
     stops = materialize(stops, "page-stops")
-    joined = pages.join(stops, source, "left")
+    joined = pages.join(stops, column(source).eqNullSafe(F.col("_source")), "left")
     reached = (column(page) <= F.col("_stop")) if last_kept else (column(page) < F.col("_stop"))
     return joined.where(F.col("_stop").isNull() | reached).select(*pages.columns)

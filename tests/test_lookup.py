@@ -10,7 +10,6 @@ from ledgerflow.operators.lookup import (
     assert_unique_key,
     first_by,
     lookup_enrich,
-    small_enough_to_broadcast,
 )
 
 
@@ -58,13 +57,6 @@ def test_missing_key_column_and_double_collision_are_errors(spark):
         lookup_enrich(data, lookup, "id", "id")
 
 
-def test_measured_broadcast(spark):
-    small, limit = spark.range(10), spark.range(11)
-    assert small_enough_to_broadcast(small, 10, 1000)
-    assert not small_enough_to_broadcast(limit, 10, 1000)
-    assert not small_enough_to_broadcast(small, 10, 20)
-
-
 def test_native_keys_are_not_formatted(spark):
     data, lookup = spark.range(5), spark.range(5).withColumnRenamed("id", "k")
     plan = lookup_enrich(data, lookup, "k", "id", ["k"])._jdf.queryExecution().optimizedPlan().toString()

@@ -35,10 +35,13 @@ TRADES = [
     ("T005", "EUR", 40000.0, "2024-01-15", "RATES"), ("T006", "USD", 210000.0, "2024-01-20", "FX"),
     ("T007", "JPY", 500000.0, "2024-01-22", "FX"), ("T008", "GBP", 35000.0, "2024-01-28", "RATES"),
 ]
-SUMMARY_SQL = (
-    "SELECT currency, SUM(amount) AS total_amount, COUNT(*) AS trade_count FROM {trades} "
-    'WHERE trade_date BETWEEN DATE "{periodStart}" AND DATE "{periodEnd}" GROUP BY currency ORDER BY total_amount DESC'
+SUMMARY_SQL = """
+WITH dated AS (
+    SELECT currency, amount FROM {trades} WHERE trade_date >= DATE '{periodStart}' AND trade_date <= DATE '{periodEnd}'
 )
+SELECT currency, sum(amount) AS total_amount, count(amount) AS trade_count FROM dated GROUP BY currency
+ORDER BY total_amount DESC
+"""
 EXPECTED = [("JPY", 500000.0, 1), ("USD", 455000.0, 3), ("EUR", 120000.0, 2), ("GBP", 95000.0, 2)]
 
 
@@ -198,7 +201,7 @@ def test_token_order():
 
 def test_warehouse_sql_forms(spark):
     assert to_spark_sql("CAST(x AS FLOAT64) + int64 'INT64 @x' @day `p-1.d.t`") == (
-        "CAST(x AS DOUBLE) + BIGINT 'INT64 @x' :day `p-1`.`d`.`t`"
+        "CAST(x AS DOUBLE) + int64 'INT64 @x' :day `p-1`.`d`.`t`"
     )
     assert to_spark_sql("FROM parquet.`/a.b/c.parquet`") == "FROM parquet.`/a.b/c.parquet`"
     register_json_functions(spark)

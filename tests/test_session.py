@@ -1,10 +1,11 @@
+import os
 from types import SimpleNamespace
 
 import pytest
 from conftest import rows
 
 from ledgerflow.functions.tokens import RunTokens
-from ledgerflow.session import materialize, scratch_path, shared_dir
+from ledgerflow.session import materialize, scratch_path, scratch_scope, shared_dir
 from ledgerflow.sources.router import SourceSpec, read_source
 
 
@@ -25,9 +26,19 @@ def test_a_cluster_needs_a_shared_folder():
         shared_dir(session("yarn"))
 
 
-def test_local_mode_falls_back_to_one_temporary_folder():
-    local = session("local[2]")
-    assert shared_dir(local) == shared_dir(local)
+def test_local_mode_needs_one_too():
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_dir(session("local[2]"))
+
+
+def test_a_scope_deletes_what_was_written_inside(spark, tmp_path):
+    with pytest.raises(RuntimeError), scratch_scope(spark):
+        inner = scratch_path(spark, "inner")
+        kept = scratch_path(spark, "kept", keep=True)
+        for path in (inner, kept):
+            spark.range(3).write.parquet(path)
+        raise RuntimeError
+    assert not os.path.exists(inner) and os.path.exists(kept)
 
 
 def test_materialized_frames_are_equal(spark):
