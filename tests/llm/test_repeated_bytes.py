@@ -42,7 +42,7 @@ def corpus():
     return docs
 
 
-@pytest.mark.parametrize("group", [5_000, 2])
+@pytest.mark.parametrize("group", [40_000, 2])
 def test_against_brute_force(spark, group):
     docs = corpus()
     found = rb.remove_repeated_bytes(clashing(frame(spark, docs)), group_contexts=group)
