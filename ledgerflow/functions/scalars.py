@@ -28,14 +28,25 @@ def has_unique_text(kind: T.DataType) -> bool:
     return isinstance(kind, _ONE_TO_ONE)
 
 
-def text_form(name: str) -> Column:
-    """String form of a column, null as the empty string."""
-    return F.coalesce(column(name).cast("string"), F.lit(""))
+def to_text(col: Column, kind: T.DataType | None = None) -> Column:
+    """Text of a value. A timestamp is ISO 8601 in UTC, so that it doesn't depend on the session's time zone."""
+    if isinstance(kind, T.TimestampType):
+        seconds = (F.unix_micros(col) / F.lit(1_000_000).cast("decimal(8,0)")).cast("decimal(18,6)")
+        zero = F.lit(0)
+        utc = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(zero, zero, zero, seconds)
+        return F.concat(F.replace(utc.cast("string"), F.lit(" "), F.lit("T")), F.lit("Z"))
+    return col.cast("string")
 
 
-def sha256_hex(col: Column) -> Column:
-    """Lowercase hex SHA-256 of the text form; null stays null."""
-    return F.sha2(col.cast("string"), 256)
+def text_form(name: str, df: DataFrame | None = None) -> Column:
+    """Text of a column, null as the empty string; the frame tells its type."""
+    kind = None if df is None or name not in df.columns else type_of(df, name)
+    return F.coalesce(to_text(column(name), kind), F.lit(""))
+
+
+def sha256_hex(col: Column, kind: T.DataType | None = None) -> Column:
+    """Lowercase hex SHA-256 of the text; null stays null."""
+    return F.sha2(to_text(col, kind), 256)
 
 
 def parsed_double(text: Column) -> Column:

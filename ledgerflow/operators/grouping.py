@@ -51,7 +51,7 @@ def group_by(df: DataFrame, fields: list[str], aggregations: list[Aggregation],
     keys = {}
     for name in fields:
         native = has_unique_text(type_of(df, name))
-        keys[name] = (column(name) if native else text_form(name)).alias(name)
+        keys[name] = (column(name) if native else text_form(name, df)).alias(name)
     aggregates = [aggregate_column(df, agg, strict) for agg in aggregations]
     if not aggregates:
         return df.select(*keys.values()).distinct().select(*[text_form(name).alias(name) for name in fields])

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerflow.functions.scalars import column, has_unique_text, is_integral, text_form, type_of
+from ledgerflow.functions.scalars import column, has_unique_text, is_integral, text_form, to_text, type_of
 from ledgerflow.session import materialize
 
 _KEY = "_lookup_key"
@@ -17,7 +17,7 @@ class DuplicateLookupKeyError(ValueError):
 
 def assert_unique_key(lookup: DataFrame, key: str) -> DataFrame:
     """Fail when a lookup key repeats; reads the key column only."""
-    repeated = lookup.groupBy(text_form(key).alias("key")).count().where("count > 1").limit(5).collect()
+    repeated = lookup.groupBy(text_form(key, lookup).alias("key")).count().where("count > 1").limit(5).collect()
     if repeated:
         shown = sorted(row["key"] for row in repeated)
         raise DuplicateLookupKeyError(f"lookup key {key!r} is not unique, for example: {shown}")
@@ -29,7 +29,7 @@ def first_by(lookup: DataFrame, key: str, order: str) -> DataFrame:
 
     As a stored table the reduced lookup has a known size to plan with, and a join to it can still split hot keys.
     """
-    picked = lookup.groupBy(text_form(key).alias(_KEY)).agg(
+    picked = lookup.groupBy(text_form(key, lookup).alias(_KEY)).agg(
         F.min_by(F.struct(*[column(c) for c in lookup.columns]), column(order)).alias("_row")
     )
     return materialize(picked.select("_row.*"), "lookup")
@@ -48,7 +48,7 @@ def join_keys(data: DataFrame, data_key: str, lookup: DataFrame, lookup_key: str
         return column(data_key).cast(wide), column(lookup_key).cast(wide)
     if left == right and has_unique_text(left):
         return column(data_key), column(lookup_key)
-    return column(data_key).cast("string"), text_form(lookup_key)
+    return to_text(column(data_key), left), text_form(lookup_key, lookup)
 
 
 def lookup_enrich(

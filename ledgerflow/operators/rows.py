@@ -35,7 +35,7 @@ def mask_pii(rows: DataFrame | ChainResult, fields=DEFAULT_PII_FIELDS) -> ChainR
     listed = [c for c in result.columns if c in set(fields)]
     if not listed:
         return result
-    masked = result.transform(lambda df: df.withColumns({c: sha256_hex(column(c)) for c in listed}))
+    masked = result.transform(lambda df: df.withColumns({c: sha256_hex(column(c), df.schema[c].dataType) for c in listed}))
     hashed = [F.count_if(~F.col(FAILED) & column(c).isNotNull()) for c in listed]
     return masked.counting(pii_fields_hashed=sum(hashed[1:], hashed[0]))
 

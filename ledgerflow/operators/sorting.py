@@ -24,7 +24,7 @@ def sort_rows(
         return df
     keys = []
     for name in fields:
-        key = column(name) if typed else text_form(name)
+        key = column(name) if typed else text_form(name, df)
         keys.append(key.desc() if descending else key.asc())
     if scope not in ("partition", "global"):
         raise ValueError(f"unknown sort scope {scope!r}; use 'partition' or 'global'")

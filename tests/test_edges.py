@@ -1,5 +1,6 @@
 """Edges at which rows or text could be lost or changed without an error."""
 
+import hashlib
 from datetime import date, datetime
 
 import pytest
@@ -9,8 +10,9 @@ from pyspark.sql import functions as F
 from ledgerflow.functions.business_days import effective_date
 from ledgerflow.functions.tokens import to_spark_sql
 from ledgerflow.operators.chain import ChainOptions, run_chain
+from ledgerflow.operators.grouping import Aggregation, group_by
 from ledgerflow.operators.retry import RetryPolicy, map_rows_with_retry
-from ledgerflow.operators.rows import flatten_json, infer_json_schema
+from ledgerflow.operators.rows import flatten_json, infer_json_schema, mask_pii
 from ledgerflow.plans.ledger import LEDGER_SCHEMA, assign_run_ids
 from ledgerflow.plans.records import run_rows, run_totals, to_records
 from ledgerflow.sinks.files import export_report
@@ -94,6 +96,20 @@ def test_pages_of_a_null_source_stop_too(spark):
     assert trim_pages(pages, "PAGE_NUMBER").count() == 2
 
 
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York", "Asia/Kolkata"])
+def test_timestamps_have_one_text_in_every_zone(spark, zone):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+        df = spark.sql("SELECT timestamp_seconds(1704067200) AS at UNION ALL SELECT timestamp_millis(-1500)")
+        found = group_by(df, ["at"], [Aggregation("*", "COUNT", "n")])
+        assert rows(found) == [("1969-12-31T23:59:58.5Z", 1), ("2024-01-01T00:00:00Z", 1)]
+        masked = rows(mask_pii(df, ("at",)).ok)
+        assert masked == sorted((hashlib.sha256(k.encode()).hexdigest(),) for k, _ in rows(found))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
 def test_type_names_are_renamed_in_casts_only():
     text = "SELECT bytes, numeric AS bool, CAST(f(a, '(') AS INT64), SAFE_CAST(x AS Float64) FROM t -- CAST(a AS BYTES)"
     assert to_spark_sql(text) == (
