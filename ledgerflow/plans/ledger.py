@@ -22,31 +22,42 @@ LEDGER_SCHEMA = (
 LEDGER_COLUMNS = [field.split()[0] for field in LEDGER_SCHEMA.split(", ")]
 
 
-def _event_order() -> Column:
-    """Events of a run in time order; at equal times the opening event comes first."""
-    return F.struct(F.col("LstUpdtTs"), (F.col("StaCd") != LOADING).alias("closed"))
+def _moment() -> Column:
+    """The update time in microseconds as a wide number; no time is before all others."""
+    return F.coalesce(F.unix_micros("LstUpdtTs"), F.lit(-(1 << 52))).cast("decimal(38,0)")
 
 
-def _last(df: DataFrame, keys: list[str], order: Column) -> DataFrame:
-    """The last row per key as an aggregate: partial maxima on the map side, no sorted groups."""
-    row = F.struct(*[F.col(c) for c in df.columns])
-    return df.groupBy(*keys).agg(F.max_by(row, order).alias("_row")).select("_row.*")
+def ledger_current(events: DataFrame) -> DataFrame:
+    """Each run's last event: its status, summary and update time; at equal times the opening event comes first.
+
+    The last event is the maximum of one number, which hash aggregation keeps without sorting: time, then whether the
+    event closes, then a hash of the row, so that only equal rows are left to ``distinct``.
+    """
+    closed = (F.col("StaCd") != LOADING).cast("int")
+    content = F.xxhash64(*events.columns).cast("decimal(38,0)") + F.lit(str(1 << 63)).cast("decimal(38,0)")
+    place = (_moment() * 2 + F.coalesce(closed, F.lit(0))) * F.lit(str(1 << 64)).cast("decimal(20,0)") + content
+    placed = events.withColumn("_place", place.cast("decimal(38,0)"))
+    last = placed.groupBy(F.col("DaId").alias("_run")).agg(F.max("_place").alias("_last"))
+    found = placed.join(last, F.col("DaId").eqNullSafe(F.col("_run")) & (F.col("_place") == F.col("_last")))
+    return found.select(*events.columns).distinct()
 
 
-def ledger_current(events: DataFrame) -> DataFrame:
-    """Each run's last event: its status, summary and update time."""
-    return _last(events, ["DaId"], _event_order())
+def _latest_id() -> Column:
+    """The id of the most recently updated run; ties go to the higher id."""
+    place = _moment() * F.lit(str(1 << 63)).cast("decimal(20,0)") + F.col("DaId")
+    return F.max_by("DaId", place.cast("decimal(38,0)"))
 
 
 def latest_run(ledger: DataFrame) -> DataFrame:
     """The most recently updated run per source and period, whatever its status; ties go to the higher id."""
-    return _last(ledger, ["SrceNm", "PerId"], F.struct("LstUpdtTs", "DaId"))
+    latest = ledger.groupBy("SrceNm", "PerId").agg(_latest_id().alias("DaId"))
+    return ledger.join(latest.select("DaId"), "DaId", "left_semi").select(*ledger.columns)
 
 
 def latest_completed(ledger: DataFrame) -> DataFrame:
     """Per source and period, the id of the most recently updated COMPLETED run; newer failures do not hide it."""
     done = ledger.where(F.col("StaCd") == COMPLETED)
-    return done.groupBy("SrceNm", "PerId").agg(F.max_by("DaId", F.struct("LstUpdtTs", "DaId")).alias("DaId"))
+    return done.groupBy("SrceNm", "PerId").agg(_latest_id().alias("DaId"))
 
 
 def assign_run_ids(new_runs: DataFrame, ledger: DataFrame, order: list[str] | None = None) -> DataFrame:

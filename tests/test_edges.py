@@ -13,7 +13,7 @@ from ledgerflow.operators.chain import ChainOptions, run_chain
 from ledgerflow.operators.grouping import Aggregation, group_by
 from ledgerflow.operators.retry import RetryPolicy, map_rows_with_retry
 from ledgerflow.operators.rows import flatten_json, infer_json_schema, mask_pii
-from ledgerflow.plans.ledger import LEDGER_SCHEMA, assign_run_ids
+from ledgerflow.plans.ledger import LEDGER_SCHEMA, assign_run_ids, latest_completed, latest_run, ledger_current
 from ledgerflow.plans.records import run_rows, run_totals, to_records
 from ledgerflow.sinks.files import export_report
 from ledgerflow.sources.csv import read_csv_source
@@ -128,3 +128,22 @@ def test_long_closures_widen_the_calendar(spark):
 def test_records_of_a_load_hold_every_row(spark):
     df = spark.createDataFrame([(1, None), (None, "x")], "a int, b string")
     assert run_rows(to_records(df, 7, AT), 7, "a int, b string").count() == 2
+
+
+def test_latest_rows_need_no_sorted_aggregation(spark):
+    at = lambda n: datetime(2024, 1, n)
+    rows_ = [
+        (1, "a", 1, "p", "f", None, "LOADING", at(1), at(1)), (1, "a", 1, "p", "f", "s", "COMPLETED", at(1), at(1)),
+        (2, "a", 2, "p", "f", None, "LOADING", at(2), at(2)), (2, "a", 2, "p", "f", "", "FAILED", at(2), at(3)),
+        (3, None, 1, "p", "f", None, "LOADING", at(2), at(2)), (3, None, 1, "p", "f", None, "LOADING", at(2), at(2)),
+        (4, "a", 3, "p", "f", "", "COMPLETED", at(2), at(1)), (5, "b", 1, None, "f", "", "COMPLETED", at(2), None),
+    ]
+    current = ledger_current(spark.createDataFrame(rows_, LEDGER_SCHEMA))
+    assert sorted((r["DaId"], r["StaCd"]) for r in current.collect()) == [
+        (1, "COMPLETED"), (2, "FAILED"), (3, "LOADING"), (4, "COMPLETED"), (5, "COMPLETED")
+    ]
+    assert sorted(r["DaId"] for r in latest_run(current).collect()) == [2, 3, 5]
+    done = {(r["SrceNm"], r["PerId"]): r["DaId"] for r in latest_completed(current).collect()}
+    assert done == {("a", "p"): 4, ("b", None): 5}
+    for frame in (current, latest_run(current), latest_completed(current)):
+        assert "SortAggregate" not in frame._jdf.queryExecution().executedPlan().toString()
