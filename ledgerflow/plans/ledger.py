@@ -42,22 +42,31 @@ def ledger_current(events: DataFrame) -> DataFrame:
     return found.select(*events.columns).distinct()
 
 
-def _latest_id() -> Column:
-    """The id of the most recently updated run; ties go to the higher id."""
-    place = _moment() * F.lit(str(1 << 63)).cast("decimal(20,0)") + F.col("DaId")
-    return F.max_by("DaId", place.cast("decimal(38,0)"))
+def _highest(ledger: DataFrame, place: Column) -> DataFrame:
+    """The rows with the highest place of their source and period."""
+    placed = ledger.withColumn("_place", place)
+    top = placed.groupBy(F.col("SrceNm").alias("_source"), F.col("PerId").alias("_period")).agg(F.max("_place").alias("_top"))
+    same = F.col("SrceNm").eqNullSafe(F.col("_source")) & F.col("PerId").eqNullSafe(F.col("_period"))
+    return placed.join(top, same & (F.col("_place") == F.col("_top"))).select(*ledger.columns)
+
+
+def _update_place() -> Column:
+    """Update time, then id."""
+    return (_moment() * F.lit(str(1 << 63)).cast("decimal(20,0)") + F.col("DaId")).cast("decimal(38,0)")
 
 
 def latest_run(ledger: DataFrame) -> DataFrame:
-    """The most recently updated run per source and period, whatever its status; ties go to the higher id."""
-    latest = ledger.groupBy("SrceNm", "PerId").agg(_latest_id().alias("DaId"))
-    return ledger.join(latest.select("DaId"), "DaId", "left_semi").select(*ledger.columns)
+    """The most recently updated run per source and period, whatever its status; ties go to the higher id.
+
+    Of several rows of that run and time one is taken, by a hash of the row.
+    """
+    return _highest(_highest(ledger, _update_place()), F.xxhash64(*ledger.columns)).distinct()
 
 
 def latest_completed(ledger: DataFrame) -> DataFrame:
     """Per source and period, the id of the most recently updated COMPLETED run; newer failures do not hide it."""
     done = ledger.where(F.col("StaCd") == COMPLETED)
-    return done.groupBy("SrceNm", "PerId").agg(_latest_id().alias("DaId"))
+    return done.groupBy("SrceNm", "PerId").agg(F.max_by("DaId", _update_place()).alias("DaId"))
 
 
 def assign_run_ids(new_runs: DataFrame, ledger: DataFrame, order: list[str] | None = None) -> DataFrame:
