@@ -33,7 +33,7 @@ COMMON_WORDS = {
 #: A document is judged by distances from this many words and characters on.
 MIN_WORDS, MIN_CHARS = 50, 200
 #: Largest distances kept, for very long documents and per square root of the number of words.
-WORD_LIMIT, CHAR_LIMIT = (0.26, 0.6), (0.17, 0.5)
+WORD_LIMIT, CHAR_LIMIT = (0.26, 0.6), (0.17, 0.6)
 
 _BLANKS = " \t\n\u000b\u000c\r"
 _SYMBOLS = "#*$%&|<>"

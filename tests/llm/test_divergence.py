@@ -81,7 +81,7 @@ def test_against_plain_python(spark):
         assert row.nearest_lang == options[0][1] or options[1][0] - options[0][0] < 1e-9
         assert abs(row.word_distance + row.char_distance - options[0][0]) < 1e-9
         root = math.sqrt(max(1, row.n_words))
-        near = row.word_distance <= 0.26 + 0.6 / root and row.char_distance <= 0.17 + 0.5 / root
+        near = row.word_distance <= 0.26 + 0.6 / root and row.char_distance <= 0.17 + 0.6 / root
         judged = row.n_words >= 50 and len(texts[row.doc_id] or "") >= 200
         assert row.kept == (not row.base_failed and (near or not judged))
     assert {r.kept for r in found} == {True, False}
