@@ -10,8 +10,8 @@ run are put in suffix order to the right of the anchor, and in that of the rever
 quicksort over eight bytes at a time goes to the shallow depth, blind tries order what is still equal there. The common
 prefixes of neighbours then say, for every place of the anchor within the string, which contexts have the same string.
 
-Runs shared by more than ``GROUP_CONTEXTS`` different contexts are never gathered in one task: their strings are
-compared by two independent fingerprints in a shuffle, which pre-aggregates.
+Runs shared by more than ``GROUP_CONTEXTS`` different contexts (some 30 MB of bytes) are never gathered in one task: their
+strings are compared by two independent fingerprints in a shuffle, which pre-aggregates.
 
 Cases: a null text is empty; matches never cross documents; equal documents lose all of it from ``LENGTH`` bytes on;
 repeated rows are copies of each other; documents shorter than ``LENGTH`` lose nothing.
@@ -34,7 +34,7 @@ from ledgerflow.llm.text import Fingerprints, blob, mix, pick, slices
 LENGTH, GRAM = 400, 128
 #: Places of an anchor within a string.
 PLACES = LENGTH - GRAM + 1
-GROUP_CONTEXTS = 5_000
+GROUP_CONTEXTS = 40_000
 #: Contexts sorted at once, and the depth in bytes where tries take over.
 BATCH_CONTEXTS, SHALLOW = 4_000, 32
 
