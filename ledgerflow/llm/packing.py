@@ -1,8 +1,8 @@
 """Best-fit packing of tokenized documents by swap-based local search.
 
 Tokens come from a byte-level BPE vocabulary file of the ``tokenizers`` library. The vocabulary's own pattern splits a
-text into pieces that are encoded on their own, so a task keeps the ids of the pieces it has met (at most
-``CACHED_PIECES``, then it starts anew) and calls the tokenizer for new ones only. Each document's ids end with id 0;
+text into pieces that are encoded on their own, so a task keeps the ids of some hundred
+thousand pieces it has met and calls the tokenizer's model for new ones only. Each document's ids end with id 0;
 a document longer than a sequence is cut into full pieces, of which the first may be shorter.
 
 The pieces are dealt to groups of about ``GROUP_PIECES`` by a running number, so that no key can make a group large; each
@@ -19,7 +19,8 @@ order of the pieces, so a rerun of a lost task gives the same sequences; an empt
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from array import array
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -33,6 +34,7 @@ from ledgerflow.llm.text import pick, slices
 
 SEQUENCE = 2048
 GROUP_PIECES = 40_000
+#: Pieces in one generation of what a task remembers, some 80 MB; there are two generations.
 CACHED_PIECES = 400_000
 END_ID = 0
 
@@ -50,30 +52,50 @@ def vocabulary_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def _byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte in a byte-level vocabulary: printable ones for themselves, then 256 on."""
+    printable = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in printable]
+    return {b: chr(b) for b in printable} | {b: chr(256 + i) for i, b in enumerate(others)}
+
+
+class _Known(dict):
+    """Ids of strings by a function, kept in two generations, so that frequent strings outlive rare ones."""
+
+    def __init__(self, encode: Callable[[str], bytes], size: int) -> None:
+        self._encode, self._size = encode, size
+        self._older: dict[str, bytes] = {}
+
+    def __missing__(self, text: str) -> bytes:
+        ids = self._older.pop(text, None)
+        if ids is None:
+            ids = self._encode(text)
+        if len(self) >= self._size:
+            self._older = dict(self)
+            self.clear()
+        self[text] = ids
+        return ids
+
+
 class Encoder:
-    """Ids of whole texts, equal to the tokenizer's own."""
+    """Ids of whole texts, equal to the tokenizer's own: its pattern splits the text, its model encodes each piece."""
 
     def __init__(self, path: str, pattern: str | None = None) -> None:
         import public_tokenizers
         import regex
         from tokenizers import Tokenizer
 
-        self._tokenizer = Tokenizer.from_file(path)
-        self._tokenizer.encode_special_tokens = True
+        self._tokenize = Tokenizer.from_file(path).model.tokenize
+        self._letters = _byte_letters()
         self._split = regex.compile(pattern or public_tokenizers.PATTERN).findall
-        self._ids: dict[str, bytes] = {}
+        self._ids = _Known(self._encode, CACHED_PIECES).__getitem__
+
+    def _encode(self, piece: str) -> bytes:
+        tokens = self._tokenize(piece.encode().decode("latin-1").translate(self._letters))
+        return array("I", [t.id for t in tokens]).tobytes()
 
     def __call__(self, text: str) -> np.ndarray:
-        pieces = self._split(text)
-        known = self._ids
-        new = {p for p in pieces if p not in known}
-        if new:
-            if len(known) + len(new) > CACHED_PIECES:
-                known.clear()
-                new = set(pieces)
-            found = self._tokenizer.encode_batch_fast(list(new), add_special_tokens=False)
-            known.update(zip(new, (np.array(e.ids, "<u4").tobytes() for e in found), strict=True))
-        return np.frombuffer(b"".join(map(known.__getitem__, pieces)), "<u4")
+        return np.frombuffer(b"".join(map(self._ids, self._split(text))), "<u4")
 
 
 def pieces_of(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text", size: int = SEQUENCE) -> DataFrame:

@@ -16,7 +16,8 @@ def tokenizer():
 
 
 AWKWARD = ["", " ", "  a", "a  ", "\n\n x", "it's 'll we've 'r ''s 'sfoo", "<|endoftext|> x", "é日本 ñ  z", "12ab 3.4,5",
-           "tab\tand\r\nnew", "a" * 5000, " " * 300 + "b", "🙂🙃 !?", "x\x00y", "don't.won't!'d"]
+           "tab\tand\r\nnew", "a" * 5000, " " * 300 + "b", "🙂🙃 !?", "x\x00y", "don't.won't!'d", "a\n b", "a \nb", "a\u00a0 b \u2003c", "a \u3000", "\u3000 a",
+           "x\x1c y", "a\x85 b", "\ta b\t c", "a b\n\nc d\n", " lead", "trail ", "a\u200b b"]
 
 
 def test_ids_equal_the_tokenizer(tokenizer):
@@ -25,6 +26,13 @@ def test_ids_equal_the_tokenizer(tokenizer):
         assert encode(text).tolist() == tokenizer.encode(text, add_special_tokens=False).ids, repr(text[:40])
 
 
+def test_cache_generations_do_not_matter(tokenizer, monkeypatch):
+    monkeypatch.setattr(packing, "CACHED_PIECES", 7)
+    encode = packing.Encoder(packing.vocabulary_path())
+    for text in [prose(i, 80, 30) for i in range(10)]:
+        assert encode(text).tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+
+
 def test_pack_fills_bins():
     rng = np.random.default_rng(2)
     for sizes in (rng.integers(1, 2049, 3000), rng.integers(600, 1100, 800), np.array([2048, 1]), np.array([], int)):
