@@ -16,6 +16,12 @@ in an order that changes from band to band. That is linear in the bucket however
 over partitions. Every candidate pair is verified on its texts. Equal texts are one node from the start, so copies are
 never paired.
 
+The rest: where a bucket still holds texts of several components, its pairs across components follow. A bucket of up to
+``WHOLE`` texts gives all of them. The texts of larger ones meet by prefixes: with shingles from rare to frequent, what
+two texts share begins at one shingle and weighs no more than what either has from there on, so a pair is left out only
+if that bound proves it less than ``SIMILARITY``. So every pair that shares a band is verified, proved unlike, or already
+in one component.
+
 Cases: a null text is empty; texts without words are alike only if equal, and form no class then either: each is its
 own (there is nothing in them to compare); repeated rows and equal texts share a class; a class is named by its
 smallest id, null ids only if it has no other.
@@ -42,6 +48,12 @@ WORD_BUCKETS = 1 << 18
 PIECE = 2.0
 #: Texts before it in its bucket that a text is paired with, and the number of different orders.
 NEIGHBOURS, ORDERS = 3, 3
+#: Texts of a bucket up to which all its pairs across components are candidates; larger ones are split by prefixes.
+WHOLE = 32
+#: Cells in which the shingles of large buckets are counted; texts that share a cell only change the order of shingles.
+SHINGLE_CELLS = 1 << 20
+#: What rounding may move a bound by, of the weight of the texts.
+SLACK = 1e-6
 
 
 def _lower_words(texts: pa.Array) -> tuple[Words, np.ndarray]:
@@ -224,6 +236,76 @@ def _verified(pairs: DataFrame, texts: DataFrame, idf) -> DataFrame:
     return both.select("a", "b", "text_a", "text_b").mapInArrow(check, schema)
 
 
+def shingle_counts(texts: DataFrame, idf) -> np.ndarray:
+    """How many of the texts have a shingle of each cell."""
+    schema = T.StructType([T.StructField("cell", T.IntegerType()), T.StructField("n", T.LongType())])
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = np.zeros(SHINGLE_CELLS, np.int64)
+        for batch in batches:
+            for part in slices(batch, "text"):
+                cells = profile(part.column(0), idf.value).key % np.uint64(SHINGLE_CELLS)
+                np.add.at(found, cells.astype(np.int64), 1)
+        at = np.flatnonzero(found)
+        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(found[at])], schema.names)
+
+    table = texts.select("text").mapInArrow(count, schema).groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
+    counts = np.zeros(SHINGLE_CELLS, np.int64)  # the table has at most SHINGLE_CELLS rows
+    counts[table["cell"].to_numpy()] = table["n"].to_numpy()
+    return counts
+
+
+def prefixes(found: Profile, n: int, counts: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(text, shingle, rest, total, short) of the shingles at which an alike pair can begin to share.
+
+    ``rest`` is the weight from the shingle on, ``total`` that of the text. ``short`` marks those that suffice for the
+    lighter text of a pair: what both share is SIMILARITY / (1 + SIMILARITY) of their sum, so at least
+    2 * SIMILARITY / (1 + SIMILARITY) of it, and SIMILARITY of the heavier one.
+    """
+    order = np.lexsort((found.key, counts[(found.key % np.uint64(SHINGLE_CELLS)).astype(np.int64)], found.text))
+    text, key, weight = found.text[order], found.key[order], found.weight[order]
+    total = np.bincount(text, weight, n)
+    rest = np.cumsum(total)[text] - (np.cumsum(weight) - weight)
+    total = total[text]
+    used = rest >= (SIMILARITY - SLACK) * total
+    short = rest >= (2 * SIMILARITY / (1 + SIMILARITY) - SLACK) * total
+    return text[used], key[used], rest[used], total[used], short[used]
+
+
+def _prefix_pairs(members: DataFrame, texts: DataFrame, idf) -> DataFrame:
+    """Pairs (a, b) of the members of different components that their prefixes don't prove unlike."""
+    own = stored(texts.join(members, "node").select("text", "node", "component"), "large-bucket-texts")
+    counts = own.sparkSession.sparkContext.broadcast(shingle_counts(own, idf))
+    schema = T.StructType([
+        T.StructField("node", T.BinaryType()), T.StructField("component", T.LongType()), T.StructField("shingle", T.LongType()),
+        T.StructField("rest", T.DoubleType()), T.StructField("total", T.DoubleType()), T.StructField("short", T.BooleanType()),
+    ])
+
+    def begin(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "text"):
+                text, key, *others = prefixes(profile(part.column(0), idf.value), part.num_rows, counts.value)
+                kept = [part.column(i).take(pa.array(text)) for i in (1, 2)]
+                yield pa.RecordBatch.from_arrays([*kept, pa.array(key.view(np.int64)), *map(pa.array, others)], schema.names)
+
+    found = stored(own.mapInArrow(begin, schema), "prefixes")
+    # components meet before their texts do, so a shingle of one large component costs no pair of its texts
+    lists = found.groupBy("shingle", "component").agg(F.max("short").alias("short"))
+    open_ = lists.groupBy("shingle").agg(F.count("*").alias("n"), F.max("short").alias("any")).where("n > 1 AND any")
+    lists = stored(lists.join(open_.select("shingle"), "shingle"), "prefix-components")
+    light = lists.where("short").select("shingle", F.col("component").alias("component_a"))
+    meet = light.join(lists.select("shingle", F.col("component").alias("component_b")), "shingle")
+    meet = meet.where("component_a <> component_b")
+    left, right = (
+        found.select(*keys, *(F.col(c).alias(f"{c}_{side}") for c in ("node", "component", "rest", "total")))
+        for side, keys in (("a", ["shingle", "short"]), ("b", ["shingle"]))
+    )
+    both = left.where("short").join(meet, ["shingle", "component_a"]).join(right, ["shingle", "component_b"])
+    shared = F.least("rest_a", "rest_b") * (1 + SIMILARITY)
+    alike = (F.col("total_a") <= F.col("total_b")) & (shared >= (SIMILARITY - SLACK) * (F.col("total_a") + F.col("total_b")))
+    return both.where(alike).select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b"))
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, root) of every node with a link: the smallest node of its component, by large stars and small stars."""
     edges = stored(links.select(F.col("a").alias("u"), F.col("b").alias("v")), "links")
@@ -249,6 +331,43 @@ def components(links: DataFrame) -> DataFrame:
         before = state
 
 
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
+
+
+def _texts(source: DataFrame, sketched: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(node, text) of the wanted nodes."""
+    owners = sketched.groupBy("node").agg(F.min("doc_id").alias("doc_id")).join(wanted, "node")
+    # one row of each wanted text: that of its smallest id, which spreads copies over partitions
+    match = source.alias("s").join(
+        owners.alias("o"), (F.col("s.node") == F.col("o.node")) & F.col("s.doc_id").eqNullSafe(F.col("o.doc_id")), "left_semi"
+    )
+    return stored(match.select("node", "text").dropDuplicates(["node"]), "candidate-texts")
+
+
+def _with_texts(texts: DataFrame, source: DataFrame, sketched: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The texts, and those of wanted nodes that were in no pair so far."""
+    more = stored(wanted.join(texts.select("node"), "node", "left_anti"), "further-nodes")
+    return texts if more.isEmpty() else texts.union(_texts(source, sketched, more))
+
+
+def _mixed_buckets(sketches: DataFrame, roots: DataFrame) -> DataFrame:
+    """(bucket, n, node, component) of the buckets that hold texts of more than one component, n texts in all."""
+    rooted = sketches.join(roots, "node", "left")
+    rows = rooted.select("node", F.xxhash64(F.coalesce("root", "node")).alias("component"), F.explode("bands").alias("bucket"))
+    mixed = rows.groupBy("bucket").agg(F.count("*").alias("n"), F.min("component").alias("c"), F.max("component").alias("d"))
+    return stored(rows.join(mixed.where("c <> d").select("bucket", "n"), "bucket"), "mixed-buckets")
+
+
+def _whole_pairs(held: DataFrame) -> DataFrame:
+    """All pairs (a, b) across components in each bucket."""
+    left, right = (
+        held.select("bucket", F.col("node").alias(a), F.col("component").alias(f"component_{a}")) for a in ("a", "b")
+    )
+    both = left.join(right, "bucket").where("a < b AND component_a <> component_b")
+    return both.select("a", "b")
+
+
 def near_duplicate_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, node, class_id, class_root, keeps): the class of every row; ``keeps`` marks its smallest document.
 
@@ -275,14 +394,19 @@ def near_duplicate_classes(docs: DataFrame, doc_id: str = "doc_id", text: str =
     sketched = stored(map_texts(source, "text", added, make, ("doc_id", "node")), "sketches")
     nodes = sketched.where("words").groupBy("node").agg(F.min("doc_id").alias("owner"), F.first("bands").alias("bands"))
     pairs = stored(_candidates(nodes.select("node", "bands")), "candidates")
-    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
-    owners = sketched.groupBy("node").agg(F.min("doc_id").alias("doc_id")).join(wanted, "node")
-    # one row of each wanted text: that of its smallest id, which spreads copies over partitions
-    match = source.alias("s").join(
-        owners.alias("o"), (F.col("s.node") == F.col("o.node")) & F.col("s.doc_id").eqNullSafe(F.col("o.doc_id")), "left_semi"
-    )
-    texts = stored(match.select("node", "text").dropDuplicates(["node"]), "candidate-texts")
+    texts = _texts(source, sketched, _ends(pairs))
     roots = components(_verified(pairs, texts, idf))
+    held = _mixed_buckets(nodes.select("node", "bands"), roots)
+    whole = _whole_pairs(held.where(F.col("n") <= WHOLE))
+    large = held.where(F.col("n") > WHOLE).select("node", "component").distinct()
+    if not large.isEmpty():
+        texts = _with_texts(texts, source, sketched, large.select("node"))
+        whole = whole.union(_prefix_pairs(large, texts, idf))
+    rest = stored(whole.distinct().join(pairs, ["a", "b"], "left_anti"), "other-candidates")
+    if not rest.isEmpty():
+        links = stored(_verified(rest, _with_texts(texts, source, sketched, _ends(rest)), idf), "other-links")
+        if not links.isEmpty():
+            roots = components(links.union(roots.where("node <> root").toDF("a", "b")))
     # texts without words are classes of their own rows
     own = F.when(F.col("words"), F.col("node"))
     rows = sketched.select("doc_id", "node", own.alias("key")).join(

@@ -3,6 +3,7 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pytest
 
 from ledgerflow.llm import near_dup
 from tests.llm.helpers import DOCS, clashing, frame, prose
@@ -105,3 +106,59 @@ def test_samples_agree_as_often_as_texts_are_alike():
 
 def test_empty_table(spark):
     assert near_dup.near_duplicate_classes(frame(spark, [], DOCS)).collect() == []
+
+
+def family(seed, n, pairs, own, shared):
+    """Texts of one common passage and words of their own, in random places, that hide pairs which share some of those."""
+    rng = random.Random(seed)
+    common = prose(seed, 300, 100_000)
+    texts = []
+    for i in range(n):
+        words = [f"own{seed}x{i}x{k}" for k in range(own)]
+        if i < 2 * pairs:
+            words[:shared] = [f"pair{seed}x{i // 2}x{k}" for k in range(shared)]
+        texts.append(" ".join([common, *words]))
+    rng.shuffle(texts)
+    return texts
+
+
+def hidden(text):
+    return next((w.split("x")[1] for w in text.split() if w.startswith("pair")), None)
+
+
+@pytest.mark.parametrize(("n", "pairs", "own", "shared", "rest"), [(1000, 10, 30, 16, 0.72), (600, 60, 22, 4, 0.78)])
+def test_pairs_hidden_in_a_large_family(spark, n, pairs, own, shared, rest):
+    texts = family(n, n, pairs, own, shared)
+    found = weights(texts)
+    paired = [i for i, t in enumerate(texts) if hidden(t)]
+    for i in paired:
+        for j in paired[:5]:
+            if i != j:
+                alike = similarity(found[i], found[j])
+                assert alike >= 0.8 if hidden(texts[i]) == hidden(texts[j]) else rest - 0.02 < alike < 0.8
+    rows = near_dup.near_duplicate_classes(frame(spark, list(enumerate(texts)))).collect()
+    classes, expected = {}, {}
+    for r in rows:
+        classes.setdefault(r.class_id, []).append(r.doc_id)
+    for i, t in enumerate(texts):
+        expected.setdefault(hidden(t) or i, []).append(i)
+    assert sorted(map(sorted, classes.values())) == sorted(expected.values())
+
+
+def test_prefixes_of_alike_texts_meet():
+    idf = np.ones(near_dup.WORD_BUCKETS, np.float32)
+    rng = random.Random(5)
+    texts = family(6, 20, 8, 26, 20) + [t + " more" * rng.randrange(1, 40) for t in family(6, 20, 8, 26, 20)]
+    found = near_dup.profile(pa.array(texts), idf)
+    counts = np.bincount((found.key % np.uint64(near_dup.SHINGLE_CELLS)).astype(int), minlength=near_dup.SHINGLE_CELLS)
+    text, key, rest, total, short = near_dup.prefixes(found, len(texts), counts)
+    listed = {i: {k: (r, w, s) for k, r, w, s in zip(key[text == i], rest[text == i], total[text == i], short[text == i])} for i in range(len(texts))}
+    alike = 0
+    for i in range(len(texts)):
+        for j in range(len(texts)):
+            a, b = Counter(shingles(texts[i])), Counter(shingles(texts[j]))
+            if i != j and sum(a.values()) <= sum(b.values()) and similarity(a, b) >= 0.8:
+                alike += 1
+                met = [(listed[i][k], listed[j][k]) for k in listed[i].keys() & listed[j].keys()]
+                assert any(x[2] and min(x[0], y[0]) * 1.8 >= 0.8 * (x[1] + y[1]) - 1e-3 for x, y in met)
+    assert alike > 16
