@@ -2,7 +2,9 @@
 
 Tokens come from a byte-level BPE vocabulary file of the ``tokenizers`` library. The vocabulary's own pattern splits a
 text into pieces that are encoded on their own, so a task keeps the ids of some hundred
-thousand pieces it has met and calls the tokenizer's model for new ones only. Each document's ids end with id 0;
+thousand pieces it has met and calls the tokenizer's model for new ones only. The file's added tokens are cut out first
+and have their own ids, as in the tokenizer as loaded; with ``plain`` the special ones among them are text like any other, as
+with the tokenizer's ``encode_special_tokens``. Each document's ids end with id 0;
 a document longer than a sequence is cut into full pieces, of which the first may be shorter.
 
 The pieces are dealt to groups of about ``GROUP_PIECES`` by a running number, so that no key can make a group large; each
@@ -80,12 +82,20 @@ class _Known(dict):
 class Encoder:
     """Ids of whole texts, equal to the tokenizer's own: its pattern splits the text, its model encodes each piece."""
 
-    def __init__(self, path: str, pattern: str | None = None) -> None:
+    def __init__(self, path: str, pattern: str | None = None, plain: bool = True) -> None:
         import public_tokenizers
         import regex
         from tokenizers import Tokenizer
 
-        self._tokenize = Tokenizer.from_file(path).model.tokenize
+        tokenizer = Tokenizer.from_file(path)
+        self._tokenize = tokenizer.model.tokenize
+        added = {i: t for i, t in tokenizer.get_added_tokens_decoder().items() if not (plain and t.special)}
+        if any(t.single_word or t.lstrip or t.rstrip or t.normalized for t in added.values()):
+            raise ValueError(f"added tokens of {path} that match by more than their own text")
+        self._added = {t.content: array("I", [i]).tobytes() for i, t in added.items()}
+        # longest first, as the library matches
+        names = sorted(self._added, key=len, reverse=True)
+        self._cut = regex.compile("(" + "|".join(map(regex.escape, names)) + ")").split if names else None
         self._letters = _byte_letters()
         self._split = regex.compile(pattern or public_tokenizers.PATTERN).findall
         self._ids = _Known(self._encode, CACHED_PIECES).__getitem__
@@ -94,17 +104,25 @@ class Encoder:
         tokens = self._tokenize(piece.encode().decode("latin-1").translate(self._letters))
         return array("I", [t.id for t in tokens]).tobytes()
 
+    def _part(self, text: str) -> bytes:
+        return b"".join(map(self._ids, self._split(text)))
+
     def __call__(self, text: str) -> np.ndarray:
-        return np.frombuffer(b"".join(map(self._ids, self._split(text))), "<u4")
+        if self._cut is None or not any(name in text for name in self._added):
+            return np.frombuffer(self._part(text), "<u4")
+        parts = self._cut(text)  # texts and added tokens in turn
+        return np.frombuffer(b"".join(self._added[x] if i % 2 else self._part(x) for i, x in enumerate(parts)), "<u4")
 
 
-def pieces_of(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text", size: int = SEQUENCE) -> DataFrame:
+def pieces_of(
+    docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text", size: int = SEQUENCE, plain: bool = True
+) -> DataFrame:
     """One row for each piece: the document, its number and place there, its length, a checksum of its ids."""
     source = pick(docs, doc_id, text).toDF("doc_id", "text")
     schema = T.StructType([source.schema["doc_id"], *_PIECES])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = Encoder(path)
+        encode = Encoder(path, plain=plain)
         for batch in batches:
             for part in slices(batch, "text"):
                 rows: list[tuple[int, int, int, int, int]] = []
@@ -273,9 +291,10 @@ def pack_documents(
     text: str = "text",
     size: int = SEQUENCE,
     group_pieces: int = GROUP_PIECES,
+    plain: bool = True,
 ) -> DataFrame:
     """Every piece of every document with its sequence and its offset there."""
-    pieces = stored(pieces_of(docs, path or vocabulary_path(), doc_id, text, size), "pieces")
+    pieces = stored(pieces_of(docs, path or vocabulary_path(), doc_id, text, size, plain), "pieces")
     groups = max(1, -(-pieces.count() // group_pieces))
     # A running number within each partition, moved on by the partition's own hash: even groups whatever the values.
     number = F.monotonically_increasing_id()

@@ -81,7 +81,7 @@ def op7_url_rules(spark, sf_dir):
 @query()
 def op8_best_fit_packing(spark, sf_dir):
     """Documents as token pieces, packed into as few sequences as local search finds."""
-    return pack_documents(table(spark, sf_dir, "documents"))
+    return pack_documents(table(spark, sf_dir, "documents"), plain=False)
 
 
 @query()

@@ -80,3 +80,31 @@ def test_query_is_a_whole_packing(spark, tokenizer, group):
 
 def test_empty_table(spark):
     assert packing.pack_documents(frame(spark, [], DOCS)).collect() == []
+
+
+LITERALS = ["a<|endoftext|> x", "<|endoftext|>", "<|endoftext|><|endoftext|>", " <|endoftext|> ", "a \n<|endoftext|>\n b", "<|endoftext|", "é<|endoftext|>é"]
+
+
+def test_added_tokens_have_their_own_ids():
+    loaded = Tokenizer.from_file(packing.vocabulary_path())
+    encode = packing.Encoder(packing.vocabulary_path(), plain=False)
+    for text in [*LITERALS, *AWKWARD, prose(3, 200) + "<|endoftext|>" + prose(4, 200)]:
+        assert encode(text).tolist() == loaded.encode(text, add_special_tokens=False).ids, repr(text[:40])
+    assert encode("a<|endoftext|> x").tolist() == [64, 50256, 2124]
+
+
+@pytest.mark.parametrize("stage", [False, True])
+def test_query_and_stage_use_the_tokenizer_as_loaded(spark, tmp_path, stage):
+    import corpus_pipeline
+    from ledgerflow.llm import queries
+
+    rows = list(enumerate(LITERALS))
+    frame(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    found = corpus_pipeline.packed(spark, docs, str(tmp_path)) if stage else queries.op8_best_fit_packing(spark, str(tmp_path))
+    loaded = Tokenizer.from_file(packing.vocabulary_path())
+    expected = []
+    for doc, text in rows:
+        ids = [*loaded.encode(text, add_special_tokens=False).ids, 0]
+        expected.append((doc, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+    assert sorted((r.doc_id, r.length, r.ids_crc32) for r in found.collect()) == expected
