@@ -196,7 +196,8 @@ def quality_rules(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", l
     else:
         nothing = F.lit(None).cast("double")
         near = F.struct(nothing.alias("sum"), F.lit(None).cast("string").alias("lang"), nothing.alias("w"), nothing.alias("c"))
-    root = F.sqrt(F.col("n_words"))
+    # at least 1: the optimizer may lift the division out of the condition that guards it
+    root = F.sqrt(F.greatest(F.col("n_words"), F.lit(1)))
     judged = (F.col("n_words") >= MIN_WORDS) & (F.col("n_chars") >= MIN_CHARS)
     within = (F.col("near.w") <= WORD_LIMIT[0] + WORD_LIMIT[1] / root) & (
         F.col("near.c") <= CHAR_LIMIT[0] + CHAR_LIMIT[1] / root

@@ -92,3 +92,11 @@ def test_no_reference_and_no_rows(spark):
     only = divergence.quality_rules(frame(spark, [(1, "q w e r t y " * 3 + " ".join(map(str, range(60))), None)], SCHEMA))
     assert [(r.kept, r.nearest_lang) for r in only.collect()] == [(True, None)]
     assert divergence.quality_rules(frame(spark, [], SCHEMA)).collect() == []
+
+
+def test_only_wordless_texts(spark):
+    docs = [(1, None, "en"), (2, "", "de"), (3, " \t\n", None), (4, " ", "en")]
+    found = divergence.quality_rules(frame(spark, docs, SCHEMA)).collect()
+    assert sorted((r.doc_id, r.n_words, r.base_failed, r.kept) for r in found) == [
+        (1, 0, True, False), (2, 0, True, False), (3, 0, True, False), (4, 1, True, False)
+    ]
