@@ -1,4 +1,4 @@
-"""The thin queries of the ten operators, each over its whole table."""
+"""The thin queries of the operators, each over its whole table."""
 
 from __future__ import annotations
 
@@ -11,6 +11,7 @@ from ledgerflow.llm.pii import find_personal_data
 from ledgerflow.llm.registry import ORACLES, QUERIES, query, table
 from ledgerflow.llm.repeated_bytes import remove_repeated_bytes
 from ledgerflow.llm.repeated_words import remove_repeated_words
+from ledgerflow.llm.simhash import simhash_components
 from ledgerflow.llm.toxicity import classify_toxicity
 from ledgerflow.llm.url_rules import DEFAULT_RULES, judge_urls
 
@@ -94,3 +95,9 @@ def op9_suffix_array_dedup(spark, sf_dir):
 def op10_block_anchor_dedup(spark, sf_dir):
     """Words of each document inside 13-word windows that a document with a smaller id also has."""
     return remove_repeated_words(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op11_simhash_components(spark, sf_dir):
+    """SimHash fingerprint of each document, and the smallest id of its component of linked fingerprints."""
+    return simhash_components(table(spark, sf_dir, "documents"))
