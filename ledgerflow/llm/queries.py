@@ -13,6 +13,7 @@ from ledgerflow.llm.repeated_bytes import remove_repeated_bytes
 from ledgerflow.llm.repeated_words import remove_repeated_words
 from ledgerflow.llm.simhash import simhash_components
 from ledgerflow.llm.toxicity import classify_toxicity
+from ledgerflow.llm.turn_repair import repair_conversations
 from ledgerflow.llm.url_rules import DEFAULT_RULES, judge_urls
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -101,3 +102,9 @@ def op10_block_anchor_dedup(spark, sf_dir):
 def op11_simhash_components(spark, sf_dir):
     """SimHash fingerprint of each document, and the smallest id of its component of linked fingerprints."""
     return simhash_components(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op13_conversation_repair(spark, sf_dir):
+    """Faults of each damaged conversation and its cheapest repair to alternating turns."""
+    return repair_conversations(table(spark, sf_dir, "conversations"))
