@@ -8,6 +8,7 @@ from ledgerflow.llm.line_crf import classify_quality
 from ledgerflow.llm.near_dup import near_duplicate_classes
 from ledgerflow.llm.packing import pack_documents
 from ledgerflow.llm.pii import find_personal_data
+from ledgerflow.llm.prefix_trie import conversation_trie
 from ledgerflow.llm.registry import ORACLES, QUERIES, query, table
 from ledgerflow.llm.repeated_bytes import remove_repeated_bytes
 from ledgerflow.llm.repeated_words import remove_repeated_words
@@ -108,3 +109,56 @@ def op11_simhash_components(spark, sf_dir):
 def op13_conversation_repair(spark, sf_dir):
     """Faults of each damaged conversation and its cheapest repair to alternating turns."""
     return repair_conversations(table(spark, sf_dir, "conversations"))
+
+
+@query(
+    r"""
+WITH turns AS (
+    SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS pos,
+           coalesce(role, '') AS role, coalesce(text, '') AS text
+    FROM conversations WHERE conv_id IS NOT NULL
+), hashed AS (
+    SELECT conv_id, conv_id - conv_id % 20 AS base, xor(list_reduce(list_concat([4294967295::BIGINT],
+               list_transform(string_split(conv_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+               lambda crc, byte: list_reduce(list_concat([xor(crc, byte)], range(8)),
+                   lambda a, i: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384::BIGINT) ELSE a >> 1 END)),
+               4294967295::BIGINT) % 4 AS h
+    FROM (SELECT DISTINCT conv_id FROM turns)
+), opened AS (
+    SELECT t.conv_id, t.base, t.h, least(t.h, count(b.pos)) AS taken
+    FROM hashed t LEFT JOIN turns b ON b.conv_id = t.base GROUP BY t.conv_id, t.base, t.h
+), rebuilt AS (
+    SELECT o.conv_id, b.pos, b.role, b.text FROM opened o JOIN turns b ON b.conv_id = o.base AND b.pos <= o.h
+    UNION ALL
+    SELECT o.conv_id, t.pos - o.h + o.taken, t.role, t.text FROM opened o JOIN turns t USING (conv_id) WHERE t.pos > o.h
+), members AS (
+    SELECT conv_id, pos AS depth, len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS words,
+           string_agg(md5(length(role) || ':' || role || text), '') OVER (PARTITION BY conv_id ORDER BY pos) AS prefix
+    FROM rebuilt
+    UNION ALL
+    SELECT conv_id, 0, 0, '' FROM opened
+), marked AS (
+    SELECT *, max(depth) OVER (PARTITION BY conv_id) = depth AS ends, min(conv_id) OVER (PARTITION BY prefix) AS least,
+           count(*) OVER (PARTITION BY prefix) AS n
+    FROM members
+), children AS (
+    SELECT left(prefix, length(prefix) - 32) AS prefix, count(DISTINCT prefix) AS n_children
+    FROM members WHERE depth > 0 GROUP BY 1
+), owned AS (
+    SELECT m.*, coalesce(c.n_children, 0) AS n_children,
+           sum(CASE WHEN m.conv_id = m.least THEN (m.n - 1) * m.words ELSE 0 END) OVER w AS saved,
+           sum(CASE WHEN m.conv_id = m.least AND c.n_children IS NULL THEN 1 ELSE 0 END) OVER w AS leaves
+    FROM marked m LEFT JOIN children c USING (prefix) WINDOW w AS (PARTITION BY m.conv_id ORDER BY m.depth DESC)
+), nodes AS (
+    SELECT prefix, depth, least, n, n_children, sum(leaves)::BIGINT AS n_leaves, sum(saved)::BIGINT AS saved_tokens,
+           sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256
+    FROM owned GROUP BY prefix, depth, least, n, n_children
+)
+SELECT v.least AS conv_id, v.depth, p.least AS parent_conv_id, v.n AS n_convs, v.n_children, v.n_leaves, v.saved_tokens,
+       v.ends_sha256
+FROM nodes v LEFT JOIN nodes p ON v.depth > 0 AND p.prefix = left(v.prefix, length(v.prefix) - 32)
+"""
+)
+def op12_conversation_trie(spark, sf_dir):
+    """Nodes of the prefix trie of conversations with shared openings."""
+    return conversation_trie(table(spark, sf_dir, "conversations"))
