@@ -4,15 +4,15 @@ A text's words are lower-cased (A-Z) and its shingles are its runs of four words
 it has fewer). A bit of the 64-bit fingerprint is 1 if it is set in over half of the shingles' XXH64. Two fingerprints
 are linked if they differ in ``DISTANCE`` bits or fewer, and components are those of links.
 
-Blocks: the 64 bits are cut in ``COARSE[0]`` blocks. Four differing bits touch at most four of them, so a linked pair
-agrees in the ``COARSE[1]`` others: every choice of that many blocks is a table, and fingerprints meet on the bits of the
-table's blocks. All the work is on distinct fingerprints, so copies meet nobody.
+Blocks: the 64 bits are cut in ``BLOCKS`` blocks. Four differing bits touch at most four of them, so a linked pair agrees
+in the ``SHARED`` others: every choice of that many blocks is a table, and fingerprints meet on the bits of the table's
+blocks. All the work is on distinct fingerprints, so copies meet nobody.
 
-No bucket gives all its pairs, whatever its size: up to ``WHOLE`` fingerprints are paired in a join that verifies the
-distance; those of larger buckets are compared with the bucket's least and greatest, and where a bucket then still holds
-several components, its fingerprints go on to the next way, which is exact for them too: first the same with ``FINE``
-blocks, then midpoints. Two fingerprints are linked exactly if one value is at most two bits away from both, so each one
-meets the others at the 2,081 values around it, and a value has at most that many fingerprints around itself.
+No bucket gives all its pairs, whatever its size: up to ``WHOLE`` fingerprints are compared with each other and give the
+links that connect them, one less than they are at most; those of larger buckets are compared with the bucket's least
+and greatest. Where a large bucket then still holds several components, its fingerprints meet at midpoints, which is
+exact as well: two fingerprints are linked just if some value is at most two bits away from both, so each one meets the
+others at the 2,081 values around it, and a value has at most that many fingerprints around itself.
 
 Cases: a null text is empty; a text without words has fingerprint 0, which is linked like any other; repeated rows share
 fingerprint and component; a component is named by its smallest id, null ids only if it has no other; an empty table has
@@ -21,6 +21,7 @@ no rows; further columns are ignored. Long texts are hashed in runs of ``RUN`` s
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
@@ -36,7 +37,7 @@ from ledgerflow.llm.text import BLANK_WORDS, LOWER, Words, blob, map_texts, pick
 
 SHINGLE, SEED, BITS, DISTANCE = 4, 42, 64, 4
 #: Blocks that the bits are cut in, and blocks that a linked pair surely shares.
-COARSE, FINE = (7, 3), (10, 6)
+BLOCKS, SHARED = 7, 3
 #: Fingerprints of a bucket up to which all its pairs are verified.
 WHOLE = 64
 #: Shingles hashed at once.
@@ -93,9 +94,9 @@ def _near(a: Column, b: Column) -> Column:
     return F.bit_count(a.bitwiseXOR(b)) <= DISTANCE
 
 
-def _buckets(prints: DataFrame, blocks: tuple[int, int]) -> DataFrame:
+def _buckets(prints: DataFrame) -> DataFrame:
     """(mask, shared, n, low, high, print) of every fingerprint in a bucket of two or more."""
-    tables = prints.select("print", F.explode(_bits(block_masks(*blocks))).alias("mask"))
+    tables = prints.select("print", F.explode(_bits(block_masks(BLOCKS, SHARED))).alias("mask"))
     rows = tables.withColumn("shared", F.col("print").bitwiseAND(F.col("mask")))
     sizes = rows.groupBy("mask", "shared").agg(F.count("*").alias("n"), F.min("print").alias("low"), F.max("print").alias("high"))
     found = stored(sizes.where("n > 1"), "simhash-buckets")
@@ -104,13 +105,35 @@ def _buckets(prints: DataFrame, blocks: tuple[int, int]) -> DataFrame:
     return members
 
 
+def spanning_links(prints: np.ndarray) -> list[tuple[int, int]]:
+    """Links (a, b) that connect the same ones of a few fingerprints as all their links do."""
+    near = np.bitwise_count((prints[:, None] ^ prints).view(np.uint64)) <= DISTANCE
+    open_, found = set(range(len(prints))), []
+    while open_:
+        reached = [open_.pop()]
+        while reached:
+            at = reached.pop()
+            fresh = [i for i in np.flatnonzero(near[at]).tolist() if i in open_]
+            open_.difference_update(fresh)
+            reached += fresh
+            found += [(int(min(prints[at], prints[i])), int(max(prints[at], prints[i]))) for i in fresh]
+    return found
+
+
+def _span(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        lists = batch.column(0)
+        values = lists.flatten().to_numpy()
+        bounds = np.concatenate([[0], np.cumsum(np.diff(lists.offsets.to_numpy()))])
+        found = {link for a, b in zip(bounds.tolist(), bounds[1:].tolist()) for link in spanning_links(np.sort(values[a:b]))}
+        pairs = sorted(found)
+        yield pa.RecordBatch.from_arrays([pa.array([p[i] for p in pairs], pa.int64()) for i in (0, 1)], ["a", "b"])
+
+
 def _links(members: DataFrame) -> DataFrame:
-    """Linked pairs (a, b): all of the small buckets, those with the least or greatest one of large buckets."""
-    small = members.where(F.col("n") <= WHOLE)
-    left = small.select("mask", "shared", F.col("print").alias("a")).alias("l")
-    right = small.select("mask", "shared", F.col("print").alias("b")).alias("r")
-    same = (F.col("l.mask") == F.col("r.mask")) & (F.col("l.shared") == F.col("r.shared"))
-    within = left.join(right, same & (F.col("a") < F.col("b")) & _near(F.col("a"), F.col("b"))).select("a", "b")
+    """Linked pairs (a, b): enough to connect small buckets, and those with the least or greatest one of large buckets."""
+    small = members.where(F.col("n") <= WHOLE).groupBy("mask", "shared").agg(F.collect_list("print").alias("prints"))
+    within = small.select("prints").mapInArrow(_span, "a bigint, b bigint")
     ends = members.where(F.col("n") > WHOLE).select("print", F.explode(F.array("low", "high")).alias("end"))
     stars = ends.where((F.col("print") != F.col("end")) & _near(F.col("print"), F.col("end")))
     return within.union(stars.select(F.least("print", "end"), F.greatest("print", "end"))).distinct()
@@ -146,22 +169,18 @@ def _midpoint_links(prints: DataFrame) -> DataFrame:
 
 def components_of(prints: DataFrame) -> DataFrame | None:
     """(node, root) of every linked fingerprint of a column ``print`` of distinct ones; None if there is no link."""
-    links, roots, rest = None, None, prints
-    for blocks in (COARSE, FINE):
-        members = _buckets(rest, blocks)
-        fresh = stored(_links(members), "simhash-links")
-        if not fresh.isEmpty():
-            links = fresh if links is None else links.union(fresh)
-            roots = stored(components(links), "simhash-roots")
-        rest = stored(_open(members, roots), "simhash-open")
-        discard(members)
-        if rest.isEmpty():
-            return roots
-    fresh = stored(_midpoint_links(rest), "simhash-links")
-    if not fresh.isEmpty():
-        links = fresh if links is None else links.union(fresh)
-        roots = stored(components(links), "simhash-roots")
-    return roots
+    members = _buckets(prints)
+    links = stored(_links(members), "simhash-links")
+    roots = None if links.isEmpty() else stored(components(links), "simhash-roots")
+    rest = stored(_open(members, roots), "simhash-open")
+    discard(members, links)
+    if rest.isEmpty():
+        return roots
+    more = _midpoint_links(rest)
+    if roots is not None:
+        more = more.union(roots.where("node <> root").select(F.col("root").alias("a"), F.col("node").alias("b")))
+    links = stored(more, "simhash-links")
+    return roots if links.isEmpty() else components(links)
 
 
 def simhash_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -95,11 +95,18 @@ def test_large_buckets_lose_no_link(spark, monkeypatch):
 
 def test_every_close_pair_shares_a_block():
     rng = random.Random(8)
-    for blocks in (simhash.COARSE, simhash.FINE):
-        masks = [m % (1 << 64) for m in simhash.block_masks(*blocks)]
-        for _ in range(200):
-            flips = sum(1 << b for b in rng.sample(range(64), 4))
-            assert any(flips & m == 0 for m in masks)
+    masks = [m % (1 << 64) for m in simhash.block_masks(simhash.BLOCKS, simhash.SHARED)]
+    for _ in range(200):
+        flips = sum(1 << b for b in rng.sample(range(64), 4))
+        assert any(flips & m == 0 for m in masks)
+
+
+def test_links_of_a_small_bucket_connect_it():
+    for seed in range(20):
+        prints = sorted(cluster(seed, 77, 40, 0, 7))
+        links = simhash.spanning_links(np.array(prints, np.int64))
+        assert len(links) == len(prints) - len(set(roots(prints).values()))
+        assert all(((a ^ b) % (1 << 64)).bit_count() <= 4 and a < b for a, b in links)
 
 
 def test_query_over_the_table(spark, sf_dir):
