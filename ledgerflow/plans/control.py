@@ -58,8 +58,14 @@ class RunFacts:
     missing_headers: tuple[str, ...] = ()
 
 
-def expectations(spark: SparkSession, by_run: dict[int, tuple[Validation, RunFacts]]) -> DataFrame:
-    """Expectations of the runs of one load."""
+#: What a run holds: its rows and, per field, the sum and the number of unreadable values.
+TOTALS_TYPE = "row_count bigint, sums map<string,double>, bad map<string,bigint>"
+
+
+def expectations(
+    spark: SparkSession, by_run: dict[int, tuple[Validation, RunFacts]], totals: dict[int, tuple] | None = None
+) -> DataFrame:
+    """Expectations of the runs of one load, with what is known of their totals."""
     rows = [
         (
             run_id, v.min_rows, v.max_rows, facts.source_rows, list(facts.missing_headers),
@@ -67,7 +73,9 @@ def expectations(spark: SparkSession, by_run: dict[int, tuple[Validation, RunFac
         )
         for run_id, (v, facts) in by_run.items()
     ]
-    return spark.createDataFrame(rows, EXPECTATION_SCHEMA)
+    if totals is None:
+        return spark.createDataFrame(rows, EXPECTATION_SCHEMA)
+    return spark.createDataFrame([(*row, *totals[row[0]]) for row in rows], f"{EXPECTATION_SCHEMA}, {TOTALS_TYPE}")
 
 
 def rule_passes(actual: Column, expected: Column, tolerance: Column) -> Column:
@@ -82,13 +90,14 @@ def _entry(name: Column, value: Column) -> Column:
     return F.substring(pair, F.lit(2), F.length(pair) - 2)
 
 
-def control_check(expected: DataFrame, totals: DataFrame) -> DataFrame:
+def control_check(expected: DataFrame, totals: DataFrame | None = None) -> DataFrame:
     """Status and summary per run: ``DaId, StaCd, BalAndCntlSmryTx``.
 
-    All runs are checked together: one left join of expectations to ``run_totals`` and column expressions over the rule
-    arrays. A sum with unreadable values is an infrastructure failure, which outranks a mismatch.
+    All runs are checked together: one left join of expectations to ``run_totals``, unless the expectations hold the
+    totals already, and column expressions over the rule arrays. A sum with unreadable values is an infrastructure failure, which outranks a mismatch.
     """
-    joined = expected.join(totals, "DaId", "left").withColumn("row_count", F.coalesce("row_count", F.lit(0)))
+    known = expected if totals is None else expected.join(totals, "DaId", "left")
+    joined = known.withColumn("row_count", F.coalesce("row_count", F.lit(0)))
     count = F.col("row_count")
     rules = F.coalesce(F.col("rules"), F.array().cast(f"array<{RULE_TYPE}>"))
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import logging
 from dataclasses import dataclass
 from datetime import datetime, timezone
@@ -9,16 +10,18 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerflow.functions.tokens import RunTokens
-from ledgerflow.metrics import counter, observed
+from ledgerflow.metrics import observed
 from ledgerflow.operators.rows import check_headers, flatten_strict
 from ledgerflow.operators.steps import apply_steps
 from ledgerflow.plans.config import SourceConfig
 from ledgerflow.plans.control import FAILED, RunFacts, control_check, expectations
 from ledgerflow.plans.ledger import Ledger, pending_sources
 from ledgerflow.plans.periods import find_period
-from ledgerflow.plans.records import read_records, run_totals, to_records, write_records
+from ledgerflow.plans.records import control_metrics, observed_totals, to_records, write_records
+from ledgerflow.plans.schemas import schema_folder, schema_rows, write_run_schemas
 from ledgerflow.session import scratch_scope
 from ledgerflow.sources.router import read_source
 from ledgerflow.sources.text import RAW
@@ -37,14 +40,18 @@ class RunStatus:
 @dataclass(frozen=True)
 class _Branch:
     records: DataFrame
-    counted: Observation
+    schema: T.StructType
+    fields: list[str]
+    sent: Observation
+    stored: Observation
     missing_headers: tuple[str, ...]
 
 
 def _branch(
     spark: SparkSession, config: SourceConfig, run_id: int, tokens: RunTokens, at: datetime, read_lookup
 ) -> _Branch:
-    """One source's records. The rows that reach the record store are counted while they are written.
+    """One source's records. Rows and control fields are summed up where they leave the source's steps, and records are
+    counted where they enter the store, both in the job that writes them.
 
     Raw JSON sources are flattened first, so that steps and control rules find their fields; text that is not a JSON
     object fails the load.
@@ -55,8 +62,15 @@ def _branch(
     missing = check_headers(source, list(config.validation.required_headers))
     if missing:
         log.error("source %s lacks required headers: %s", config.datasource, missing)
-    rows, counted = observed(apply_steps(source, config.steps, read_lookup), f"load-{run_id}", {"rows": counter()})
-    return _Branch(to_records(rows, run_id, at), counted, tuple(missing))
+    rows = apply_steps(source, config.steps, read_lookup)
+    fields = list(dict.fromkeys(rule.field for rule in config.validation.rules))
+    sent_rows, sent = observed(rows, f"sent-{run_id}", control_metrics(rows, fields))
+    records, stored = observed(to_records(sent_rows, run_id, at), f"stored-{run_id}", {"rows": F.count(F.lit(1))})
+    return _Branch(records, rows.schema, fields, sent, stored, tuple(missing))
+
+
+def _totals(branch: _Branch) -> tuple:
+    return observed_totals(branch.fields, {**branch.sent.get, "rows": branch.stored.get["rows"]})
 
 
 def load_period(spark: SparkSession, *args, **kwargs) -> list[RunStatus]:
@@ -74,46 +88,47 @@ def _load_period(
     override: bool = False,
     periods: DataFrame | None = None,
     read_lookup=None,
+    schema_path: str | None = None,
 ) -> list[RunStatus]:
-    """Load all pending sources in one write and check them in one aggregation.
+    """Load all pending sources in one write, which also gives the figures that are checked.
 
-    Sources that already have a COMPLETED run for their period are skipped unless ``override``. A run whose controls do
-    not match ends as FAILED_BNC and is returned, not raised; a failing job closes its runs as FAILED and is raised.
+    The fields of each run are written beside the record store. Sources that already have a COMPLETED run for their period are skipped unless ``override``. A run whose controls do
+    not match ends as FAILED_BNC and is returned, not raised; a failing job closes its runs as FAILED, with a document
+    that says why, and is raised.
     """
     if periods is not None:
         for period_id in {c.period_id for c in configs}:
             find_period(periods, period_id)
-    keys = [(c.datasource, c.period_id) for c in configs]
-    listed = spark.createDataFrame(keys, "SrceNm string, PerId string")
-    wanted = {tuple(r) for r in pending_sources(listed, ledger.current(), override).collect()}
-    pending = [c for c in configs if (c.datasource, c.period_id) in wanted]
+    keys = [(c.datasource, c.period_id, c.subprocess) for c in configs]
+    wanted = set(keys)
+    if not override:
+        listed = spark.createDataFrame(keys, "SrceNm string, PerId string, SubNm string")
+        wanted = {tuple(r) for r in pending_sources(listed, ledger.current()).collect()}
+    pending = [c for c in configs if (c.datasource, c.period_id, c.subprocess) in wanted]
     if not pending:
         log.info("every source already has a completed run")
         return []
 
-    at = datetime.now(timezone.utc).replace(tzinfo=None)
-    run_ids = ledger.open_runs([(c.datasource, c.period_id, c.location) for c in pending], at)
+    at = _now()
+    run_ids = ledger.open_runs([(c.datasource, c.period_id, c.location, c.subprocess) for c in pending], at)
     try:
-        branches = [_branch(spark, c, run_id, tokens, at, read_lookup) for c, run_id in zip(pending, run_ids)]
-        write_records(reduce(DataFrame.unionByName, [b.records for b in branches]), record_path)
+        branches = {i: _branch(spark, c, i, tokens, at, read_lookup) for c, i in zip(pending, run_ids)}
+        write_records(reduce(DataFrame.unionByName, [b.records for b in branches.values()]), record_path)
+        fields = [row for i, b in branches.items() for row in schema_rows(i, b.schema)]
+        write_run_schemas(spark, fields, schema_path or schema_folder(record_path))
         facts = {
-            run_id: (c.validation, RunFacts(b.counted.get.get("rows"), b.missing_headers))
-            for c, b, run_id in zip(pending, branches, run_ids)
+            i: (c.validation, RunFacts(b.sent.get["rows"], b.missing_headers)) for c, (i, b) in zip(pending, branches.items())
         }
-        expected = expectations(spark, facts)
-        fields = list(dict.fromkeys(r.field for c in pending for r in c.validation.rules))
-        mine = read_records(spark, record_path).where(F.col("DaId").isin(run_ids))
-        checked = control_check(expected, run_totals(mine, fields)).collect()
-    except Exception:
-        failed = [(i, FAILED, None) for i in run_ids]
-        _close(spark, ledger, failed)
+        totals = {i: _totals(b) for i, b in branches.items()}
+        checked = control_check(expectations(spark, facts, totals)).collect()
+    except Exception as error:
+        document = json.dumps({"error": f"{type(error).__name__}: {str(error).strip().splitlines()[0] if str(error) else ''}"})
+        ledger.close_runs([(i, FAILED, document) for i in run_ids], _now())
         raise
-    _close(spark, ledger, [(r["DaId"], r["StaCd"], r["BalAndCntlSmryTx"]) for r in checked])
+    ledger.close_runs([(r["DaId"], r["StaCd"], r["BalAndCntlSmryTx"]) for r in checked], _now())
     names = dict(zip(run_ids, (c.datasource for c in pending)))
     return [RunStatus(names[r["DaId"]], r["DaId"], r["StaCd"], r["BalAndCntlSmryTx"]) for r in checked]
 
 
-def _close(spark: SparkSession, ledger: Ledger, rows: list[tuple]) -> None:
-    """Close the runs of this load; there is one row per configured source."""
-    statuses = spark.createDataFrame(rows, "DaId bigint, StaCd string, BalAndCntlSmryTx string")
-    ledger.close_runs(statuses, datetime.now(timezone.utc).replace(tzinfo=None))
+def _now() -> datetime:
+    return datetime.now(timezone.utc).replace(tzinfo=None)

@@ -15,6 +15,7 @@ from ledgerflow.plans.ledger import Ledger
 from ledgerflow.plans.load import RunStatus, load_period
 from ledgerflow.plans.records import read_records
 from ledgerflow.plans.report import ReportRun, run_report
+from ledgerflow.plans.schemas import read_run_schemas, schema_folder
 from ledgerflow.sinks.router import SinkSpec
 from ledgerflow.sources.router import SourceSpec
 
@@ -113,6 +114,7 @@ def run_configured_report(spark: SparkSession, options: ProcessOptions) -> Repor
         user=options.job_run_id,
         periods=_table(spark, options, PERIOD_TABLE),
         detail_path=options.state(DETAIL_TABLE),
+        run_schemas=read_run_schemas(spark, schema_folder(options.state(RECORD_TABLE))),
     )
 
 

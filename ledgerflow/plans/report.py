@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import logging
 import re
 import uuid
@@ -17,11 +18,12 @@ from ledgerflow.functions.tokens import RunTokens, render_sql, to_spark_sql
 from ledgerflow.operators.batches import json_batches
 from ledgerflow.plans.config import DatasourceRef, OutputSpec, ReportConfig, SqlStep
 from ledgerflow.plans.control import COMPLETED, FAILED
-from ledgerflow.plans.ledger import Ledger, latest_completed, missing_sources
+from ledgerflow.plans.ledger import Ledger, completed_runs, missing_sources
 from ledgerflow.plans.notify import report_notification
 from ledgerflow.plans.params import fetch_parameters
 from ledgerflow.plans.periods import find_period
 from ledgerflow.plans.records import run_rows
+from ledgerflow.plans.schemas import stored_schema
 from ledgerflow.session import materialize, scratch_scope
 from ledgerflow.sinks.files import export_report, report_file_name
 from ledgerflow.sinks.tables import copy_table
@@ -91,23 +93,26 @@ def alias_views(
     ledger: DataFrame,
     records: DataFrame,
     schemas: dict[str, str] | None = None,
+    run_schemas: DataFrame | None = None,
 ) -> None:
     """Alias each source to the rows of its latest completed run: its fields as columns, and the stored JSON.
 
-    Optional sources without a completed run get no alias. ``schemas`` gives the fields of a source as DDL; without it
-    they are found in the data by one pass over the run.
+    Optional sources without a completed run get no alias. The fields of a source are those that ``schemas`` gives as
+    DDL, else those that ``run_schemas`` holds for the run, else found in the data by one pass over the run.
     """
-    wanted = [r.datasource for r in refs]
-    done = latest_completed(ledger).where((F.col("PerId") == period_id) & F.col("SrceNm").isin(wanted))
-    run_ids = {r["SrceNm"]: r["DaId"] for r in done.collect()}
+    wanted = [(r.datasource, period_id, r.subprocess) for r in refs]
+    run_ids = completed_runs(ledger, wanted)
     for ref in refs:
-        if ref.datasource not in run_ids:
+        run_id = run_ids.get((ref.datasource, period_id, ref.subprocess))
+        if run_id is None:
             if ref.required:
                 raise SourcesMissingError(f"no COMPLETED run of {ref.datasource!r} for period {period_id}")
             log.warning("optional source %s has no completed run: alias %s is left out", ref.datasource, ref.alias)
             continue
         schema = (schemas or {}).get(ref.datasource)
-        aliases.add(ref.alias, run_rows(records, run_ids[ref.datasource], schema))
+        if schema is None and run_schemas is not None:
+            schema = stored_schema(run_schemas, [run_id])
+        aliases.add(ref.alias, run_rows(records, run_id, schema))
 
 
 def run_sql_steps(
@@ -217,6 +222,7 @@ def _run_report(
     periods: DataFrame | None = None,
     schemas: dict[str, str] | None = None,
     detail_path: str | None = None,
+    run_schemas: DataFrame | None = None,
 ) -> ReportRun:
     """A completed report is not run again for its period unless it has the override.
 
@@ -224,21 +230,22 @@ def _run_report(
     """
     if periods is not None:
         find_period(periods, config.period_id)
-    current = ledger.current()
+    current = ledger.current(config.period_id)
     done = current.where(
         (F.col("SrceNm") == config.name) & (F.col("PerId") == config.period_id) & (F.col("StaCd") == COMPLETED)
+        & (F.col("SubNm").isNull() | (F.col("SubNm") == config.subprocess))
     )
     if not config.override and not done.isEmpty():
         log.info("report %s is already completed for period %s", config.name, config.period_id)
         return ReportRun(None, COMPLETED)
 
     now = lambda: datetime.now(timezone.utc).replace(tzinfo=None)
-    run_id = ledger.open_runs([(config.name, config.period_id, config.name)], now())[0]
+    run_id = ledger.open_runs([(config.name, config.period_id, config.name, config.subprocess)], now())[0]
     aliases = Aliases(spark, config.name)
     try:
         run_sql_steps(spark, config.preprocessing, aliases, tokens)
         check_sources(config, current)
-        alias_views(aliases, config.datasources, config.period_id, current, records, schemas)
+        alias_views(aliases, config.datasources, config.period_id, current, records, schemas, run_schemas)
         run_sql_steps(spark, config.steps, aliases, tokens)
         outputs = export_outputs(aliases, config, tokens)
         details = output_details(spark, config.name, outputs, user, now())
@@ -250,8 +257,8 @@ def _run_report(
             files = [o.destination for o in outputs if o.is_file]
             email = config.email
             notification = report_notification(spark, email.to, email.cc, email.subject, email.body, values, files)
-    except Exception:
-        ledger.close_run(run_id, FAILED, now())
+    except Exception as error:
+        ledger.close_run(run_id, FAILED, now(), json.dumps({"error": f"{type(error).__name__}: {error}".splitlines()[0]}))
         raise
     finally:
         aliases.drop()

@@ -7,12 +7,14 @@ import json
 from pyspark.sql import functions as F
 
 from ledgerflow.functions.tokens import RunTokens
-from ledgerflow.plans.config import source_configs
+from ledgerflow.plans.config import SourceConfig, source_configs
+from ledgerflow.plans.control import ControlRule, Validation
 from ledgerflow.plans.ledger import Ledger
 from ledgerflow.plans.load import load_period
 from ledgerflow.plans.records import read_records
 from ledgerflow.queries.registry import query
 from ledgerflow.session import scratch_path
+from ledgerflow.sources.router import SourceSpec
 
 TOKENS = RunTokens("1995-01-01", "2002-12-31", "202401", "2024-01-31")
 
@@ -38,20 +40,20 @@ def configured_sources(spark, sf_dir):
                 "type": "GROUP_BY",
                 "groupByFields": ["p_type", "l_returnflag"],
                 "aggregations": [
-                    {"field": "l_extendedprice", "function": "SUM", "outputField": "amount"},
+                    {"field": "l_extendedprice", "function": "SUM", "outputField": "price"},
                     {"field": "*", "function": "COUNT", "outputField": "items"},
                 ],
             },
         ]
     )
     order_query = (
-        "SELECT o_orderkey, o_custkey, o_orderpriority AS currency, o_totalprice AS amount, "
-        "CAST(o_orderdate AS DATE) AS trade_date "
+        "SELECT o_orderkey, o_custkey, o_orderpriority AS priority, o_totalprice AS price, "
+        "CAST(o_orderdate AS DATE) AS placed_on "
         f"FROM parquet.`{sf_dir}/orders.parquet` WHERE o_orderstatus <> '{{skip}}'"
     )
     suppliers = json.dumps([{"field": "s_acctbal", "expectedTotal": 1.0, "tolerancePct": 0.5}])
     sources = [
-        ("orders", None, order_query, '{"skip": "F"}', None, 1, None, '["amount"]', None),
+        ("orders", None, order_query, '{"skip": "F"}', None, 1, None, '["price"]', None),
         ("items", f"{sf_dir}/lineitem.parquet", None, None, grouped, 1, 1000, None, None),
         ("suppliers", f"{sf_dir}/supplier.parquet", None, None, None, 0, None, None, suppliers),
     ]
@@ -84,6 +86,37 @@ def period_load(spark, sf_dir):
     """Three sources loaded in one job; status per source, and what the record store holds of each."""
     ledger, record_path = loaded(spark, sf_dir)
     stored = read_records(spark, record_path)
-    amount = F.coalesce(F.get_json_object("RowDaJsonTx", "$.amount").cast("double"), F.lit(0.0))
+    amount = F.coalesce(F.get_json_object("RowDaJsonTx", "$.price").cast("double"), F.lit(0.0))
     totals = stored.groupBy("DaId").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum(amount), 2).alias("amount"))
     return ledger.current().join(totals, "DaId").select("SrceNm", "StaCd", "n", "amount")
+
+
+@query(
+    """
+SELECT 'lineitem' AS source, 'FAILED_BNC' AS "StaCd", count(*) AS dst_count, sum(l_quantity) AS quantity,
+       NULL::DOUBLE AS balance FROM lineitem
+UNION ALL
+SELECT 'customer', 'FAILED', count(*), NULL, round(sum(c_acctbal), 2) FROM customer
+"""
+)
+def load_control_totals(spark, sf_dir):
+    """Totals that a load observes while it writes: one source misses its total, one has a field that is no number."""
+    rules = {
+        "lineitem": (ControlRule("l_quantity", 1.0),),
+        "customer": (ControlRule("c_acctbal", 0.0), ControlRule("c_name", 0.0)),
+    }
+    configs = [
+        SourceConfig("CHECKS", name, "eod", "202401", SourceSpec("BQ", table=f"{sf_dir}/{name}.parquet"), [], Validation(rules=r))
+        for name, r in rules.items()
+    ]
+    base = scratch_path(spark, "load")
+    statuses = load_period(spark, configs, Ledger(spark, f"{base}/ledger"), f"{base}/records", TOKENS)
+    closed = spark.createDataFrame([(s.source, s.status, s.summary) for s in statuses], "source string, StaCd string, doc string")
+    read = lambda path, kind: F.get_json_object("doc", f"$.{path}").cast(kind)
+    return closed.select(
+        "source",
+        "StaCd",
+        read("dstCount", "bigint").alias("dst_count"),
+        read("dstAmount_l_quantity", "double").alias("quantity"),
+        F.round(read("dstAmount_c_acctbal", "double"), 2).alias("balance"),
+    )

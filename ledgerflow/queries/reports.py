@@ -12,46 +12,47 @@ from ledgerflow.plans.config import DatasourceRef, EmailSpec, OutputSpec, Report
 from ledgerflow.plans.notify import notification_rows
 from ledgerflow.plans.records import read_records
 from ledgerflow.plans.report import Aliases, run_parameter_report, run_report, run_sql_steps
+from ledgerflow.plans.schemas import read_run_schemas, schema_folder
 from ledgerflow.queries.loads import TOKENS, loaded
 from ledgerflow.queries.registry import query, table
 from ledgerflow.session import scratch_path
 
 _STEPS = (
     SqlStep(
-        "totals",
-        "SELECT o_custkey, o_orderpriority AS currency, SUM(o_totalprice) AS total_amount, COUNT(*) AS trade_count, "
-        "MIN(o_orderdate) AS first_day FROM {trades} "
-        "WHERE o_orderdate BETWEEN DATE '{periodStart}' AND DATE '{periodEnd}' GROUP BY o_custkey, o_orderpriority",
-        "totals",
+        "busy days",
+        "SELECT o_custkey, CAST(o_orderdate AS DATE) AS day, MAX(o_totalprice) AS largest FROM {placed} "
+        "WHERE o_orderdate BETWEEN DATE '{periodStart}' AND DATE '{periodEnd}' GROUP BY ALL",
+        "busy",
     ),
     SqlStep(
-        "by segment",
-        "SELECT f.c_mktsegment AS segment, t.currency, SUM(t.total_amount) * {rate} AS total_amount, "
-        "SUM(t.trade_count) AS trade_count, CAST(MIN(t.first_day) AS DATE) AS first_day, '{label}' AS label "
-        "FROM {totals} t JOIN {customers} f ON t.o_custkey = f.c_custkey GROUP BY f.c_mktsegment, t.currency",
+        "by nation",
+        "SELECT c.c_nationkey, COUNT(DISTINCT b.day) AS days, AVG(b.largest) / {scale} AS mean_largest, "
+        "MAX_BY(c.c_name, STRUCT(b.largest, c.c_custkey)) AS top_customer, '{label}' AS label "
+        "FROM {buyers} c JOIN {busy} b ON b.o_custkey = c.c_custkey GROUP BY c.c_nationkey",
         "summary",
-        params={"rate": "CAST(2 AS FLOAT64)", "label": "to {periodEnd} {unknown}"},
+        params={"scale": "CAST(1000 AS FLOAT64)", "label": "to {periodEnd} {unknown}"},
     ),
 )
 
 
 @query(
     """
-SELECT c_mktsegment AS segment, o_orderpriority AS currency, round(sum(o_totalprice) * 2, 2) AS total_amount,
-       CAST(count(*) AS BIGINT) AS trade_count, CAST(min(o_orderdate) AS DATE) AS first_day,
-       'to 1998-12-31 {unknown}' AS label
-FROM orders JOIN customer ON o_custkey = c_custkey
-WHERE o_orderdate BETWEEN DATE '1996-01-01' AND DATE '1998-12-31' GROUP BY c_mktsegment, o_orderpriority
+WITH busy AS (
+    SELECT o_custkey, o_orderdate::DATE AS day, max(o_totalprice) AS largest FROM orders
+    WHERE o_orderdate BETWEEN DATE '1996-01-01' AND DATE '1998-12-31' GROUP BY ALL)
+SELECT c_nationkey, count(DISTINCT day) AS days, round(avg(largest) / 1000, 6) AS mean_largest,
+       arg_max(c_name, (largest, c_custkey)) AS top_customer, 'to 1998-12-31 {unknown}' AS label
+FROM customer JOIN busy ON o_custkey = c_custkey GROUP BY c_nationkey
 """
 )
 def report_sql_steps(spark, sf_dir):
     """Two templated SQL steps, the second joining the first's result."""
-    aliases = Aliases(spark, "segments")
-    aliases.add("trades", table(spark, sf_dir, "orders"))
-    aliases.add("customers", table(spark, sf_dir, "customer"))
+    aliases = Aliases(spark, "nations")
+    aliases.add("placed", table(spark, sf_dir, "orders"))
+    aliases.add("buyers", table(spark, sf_dir, "customer"))
     tokens = RunTokens("1996-01-01", "1998-12-31", "1998", "2024-01-31")
     summary = run_sql_steps(spark, _STEPS, aliases, tokens).frame("summary")
-    return summary.withColumn("total_amount", F.round("total_amount", 2))
+    return summary.withColumn("mean_largest", F.round("mean_largest", 6))
 
 
 @query(
@@ -70,13 +71,15 @@ def sql_bound_parameters(spark, sf_dir):
     return spark.sql(text, args=args, orders=table(spark, sf_dir, "orders"))
 
 
-_CURRENCY_SQL = """
-WITH dated AS (
-    SELECT currency, amount, CAST(JSON_VALUE(RowDaJsonTx, '$.amount') AS FLOAT64) AS stored_amount
-    FROM {trades} WHERE trade_date >= DATE '{periodStart}' AND trade_date <= DATE '{periodEnd}'
-)
-SELECT currency, sum(amount) AS total_amount, count(amount) AS trade_count, max(stored_amount) AS top_amount
-FROM dated GROUP BY currency
+#: How customers buy: for each priority, who orders repeatedly and how long they stay.
+_LOYALTY_SQL = """
+SELECT priority, count(*) AS customers, count_if(n > 1) AS returning, avg(datediff(last_day, first_day)) AS mean_days,
+       max(highest) AS highest_key
+FROM (
+    SELECT o_custkey, priority, count(*) AS n, min(placed_on) AS first_day, max(placed_on) AS last_day,
+           max(CAST(JSON_VALUE(RowDaJsonTx, '$.o_orderkey') AS INT64)) AS highest
+    FROM {placed} WHERE datediff(placed_on, DATE '{periodStart}') >= 0 GROUP BY o_custkey, priority
+) GROUP BY priority
 """
 
 
@@ -86,37 +89,41 @@ def _report_config(path: str) -> ReportConfig:
         "eod",
         "202401",
         datasources=(
-            DatasourceRef("orders", "eod", "trades", required=True),
+            DatasourceRef("orders", "eod", "placed", required=True),
             DatasourceRef("not_loaded", "eod", "extra", required=False),
         ),
-        steps=(SqlStep("sum by currency", _CURRENCY_SQL, "summary"),),
+        steps=(SqlStep("loyalty", _LOYALTY_SQL, "summary"),),
         outputs=(OutputSpec("summary", "GCS", "CSV", path), OutputSpec("summary", "API", endpoint="service")),
         email=EmailSpec(["desk@example.com"], ["ops@example.com"], "{reportName} {periodId}", "to {periodEnd}"),
     )
 
 
 def _ran(spark, sf_dir):
+    """A load, and a report that takes the fields of its sources from the stored schemas."""
     ledger, record_path = loaded(spark, sf_dir)
-    schemas = {"orders": "o_orderkey bigint, o_custkey bigint, currency string, amount double, trade_date date"}
     path = scratch_path(spark, "report")
-    records = read_records(spark, record_path)
-    run = run_report(spark, _report_config(path), ledger, records, TOKENS, user="tester", schemas=schemas)
+    records, fields = read_records(spark, record_path), read_run_schemas(spark, schema_folder(record_path))
+    run = run_report(spark, _report_config(path), ledger, records, TOKENS, user="tester", run_schemas=fields)
     return ledger, run
 
 
 @query(
     """
-SELECT o_orderpriority AS currency, round(sum(o_totalprice), 2) AS total_amount, count(*) AS trade_count,
-       max(o_totalprice) AS top_amount
-FROM orders WHERE o_orderstatus <> 'F' AND o_orderdate BETWEEN DATE '1995-01-01' AND DATE '2002-12-31' GROUP BY 1
+WITH per AS (
+    SELECT o_custkey, o_orderpriority AS priority, count(*) AS n, min(o_orderdate::DATE) AS a, max(o_orderdate::DATE) AS b,
+           max(o_orderkey) AS highest
+    FROM orders WHERE o_orderstatus <> 'F' AND o_orderdate >= DATE '1995-01-01' GROUP BY ALL)
+SELECT priority, count(*) AS customers, count(*) FILTER (n > 1) AS returning, round(avg(date_diff('day', a, b)), 6) AS mean_days,
+       max(highest) AS highest_key
+FROM per GROUP BY priority
 """
 )
 def report_from_load(spark, sf_dir):
     """Load, then report from the record store; the exported file is read back."""
     _, run = _ran(spark, sf_dir)
-    schema = "currency string, total_amount double, trade_count bigint, top_amount double"
+    schema = "priority string, customers bigint, returning bigint, mean_days double, highest_key bigint"
     exported = spark.read.schema(schema).csv(run.outputs[0].destination, header=True)
-    return exported.withColumn("total_amount", F.round("total_amount", 2))
+    return exported.withColumn("mean_days", F.round("mean_days", 6))
 
 
 @query(
@@ -134,35 +141,35 @@ def report_output_details(spark, sf_dir):
 
 @query(
     """
-SELECT o_orderpriority AS currency, round(sum(o_totalprice), 2) AS total_amount, count(*) AS trade_count
-FROM orders WHERE o_orderdate BETWEEN DATE '1996-01-01' AND DATE '1998-12-31' GROUP BY 1
+SELECT c_nationkey, min(c_acctbal) AS lowest, round(stddev_pop(c_acctbal), 4) AS spread,
+       count(*) FILTER (c_acctbal < 0) AS overdrawn
+FROM customer WHERE c_mktsegment <> 'MACHINERY' GROUP BY c_nationkey
 """
 )
 def parameter_store_report(spark, sf_dir):
     """The short report: query, table and file all come from one parameter row."""
     base = scratch_path(spark, "parameter-report")
-    name = "summary_" + base[-32:]
+    name = "balances_" + base[-32:]
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS ledgerflow_reports LOCATION '{base}-tables'")
     values = {
-        "source": f"{sf_dir}/orders.parquet",
-        "transform_query": "WITH dated AS (SELECT * FROM parquet.`{source}` WHERE o_orderdate >= DATE '{periodStart}' "
-        "AND o_orderdate <= DATE '{periodEnd}') SELECT o_orderpriority AS currency, sum(o_totalprice) AS total_amount, "
-        "count(o_orderkey) AS trade_count FROM dated GROUP BY o_orderpriority",
+        "source": f"{sf_dir}/customer.parquet",
+        "left_out": "MACHINERY",
+        "transform_query": "SELECT c_nationkey, min(c_acctbal) AS lowest, round(stddev_pop(c_acctbal), 4) AS spread, "
+        "count_if(c_acctbal < 0) AS overdrawn FROM parquet.`{source}` WHERE c_mktsegment <> '{left_out}' GROUP BY c_nationkey",
         "transform_output_table": f"ledgerflow_reports.{name}",
         "output_gcs_path": base,
-        "output_file_name": "daily_{periodId}.csv",
+        "output_file_name": "balances_{periodId}.csv",
     }
     required = {key: {"required": True, "type": "string"} for key in values}
-    row = ("daily", "TRADING", "eod", json.dumps(required), json.dumps(values))
+    row = ("balances", "CREDIT", "eod", json.dumps(required), json.dumps(values))
     schema = (
         "ParameterName string, ParameterGroupName string, ParameterDataSource string, SchemaOfJson string, "
         "ParametersValJson string"
     )
     store = spark.createDataFrame([row], schema)
     tokens = RunTokens("1996-01-01", "1998-12-31", "1998", "2024-01-31")
-    path = run_parameter_report(spark, store, "TRADING", "eod", "daily", tokens)
-    exported = spark.read.schema("currency string, total_amount double, trade_count bigint").csv(path, header=True)
-    return exported.withColumn("total_amount", F.round("total_amount", 2))
+    path = run_parameter_report(spark, store, "CREDIT", "eod", "balances", tokens)
+    return spark.read.schema("c_nationkey int, lowest double, spread double, overdrawn bigint").csv(path, header=True)
 
 
 @query(

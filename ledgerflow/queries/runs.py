@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ledgerflow.plans.control import RULE_TYPE, control_check
 from ledgerflow.plans.ledger import (
+    Ledger,
     assign_run_ids,
     latest_completed,
     latest_run,
@@ -17,7 +18,9 @@ from ledgerflow.plans.ledger import (
 )
 from ledgerflow.plans.params import missing_parameters
 from ledgerflow.plans.records import run_totals, to_records
+from ledgerflow.plans.schemas import merged_fields
 from ledgerflow.queries.registry import query, table
+from ledgerflow.session import scratch_path
 
 _AT = datetime(2024, 1, 31, 12, 0, 0)
 
@@ -92,15 +95,15 @@ def control_checks(spark, sf_dir):
     items = table(spark, sf_dir, "lineitem")
     records = to_records(items.select("l_suppkey", "l_quantity", "l_linestatus"), F.col("l_suppkey"), _AT)
     totals = run_totals(records, ["l_quantity", "l_linestatus"])
-    mean = items.groupBy("l_suppkey").agg(F.sum("l_quantity").alias("q")).agg(F.round(F.avg("q")).alias("m")).first()["m"]
+    mean = items.groupBy("l_suppkey").agg(F.sum("l_quantity").alias("q")).agg(F.round(F.avg("q")).alias("mean"))
     quantity = F.struct(
-        F.lit("l_quantity").alias("field"), F.lit(mean).alias("expectedTotal"), F.lit(0.05).alias("tolerancePct")
+        F.lit("l_quantity").alias("field"), F.col("mean").alias("expectedTotal"), F.lit(0.05).alias("tolerancePct")
     )
     status = F.struct(
         F.lit("l_linestatus").alias("field"), F.lit(0.0).alias("expectedTotal"), F.lit(0.01).alias("tolerancePct")
     )
     low = F.col("s_acctbal")
-    expected = table(spark, sf_dir, "supplier").select(
+    expected = table(spark, sf_dir, "supplier").join(F.broadcast(mean)).select(  # one row
         F.col("s_suppkey").alias("DaId"),
         F.lit(600).cast("bigint").alias("min_rows"),
         F.when(low < 5000, 610).otherwise(-1).cast("bigint").alias("max_rows"),
@@ -163,6 +166,25 @@ def ledger_state(spark, sf_dir):
     return current.select("DaId", "ts", "StaCd", "BalAndCntlSmryTx", "SrceNm")
 
 
+@query(
+    _EVENTS
+    + """
+SELECT "DaId", max(ts) AS ts, arg_max("StaCd", ts) AS "StaCd", arg_max(summary, ts) AS "BalAndCntlSmryTx",
+       arg_max("SrceNm", ts) AS "SrceNm"
+FROM events_ GROUP BY "DaId"
+"""
+)
+def ledger_snapshot_state(spark, sf_dir):
+    """The same state from a stored ledger: ten appended batches, six of them in a snapshot, four in its tail."""
+    ledger = Ledger(spark, scratch_path(spark, "ledger"))
+    events = _ledger_events(spark, sf_dir).withColumn("batch", F.pmod(F.xxhash64("DaId", "VsnNo"), F.lit(10)))
+    for batch in range(10):
+        ledger.append(events.where(F.col("batch") == batch))
+        if batch == 5:
+            ledger.compact()
+    return _with_micros(ledger.current()).select("DaId", "ts", "StaCd", "BalAndCntlSmryTx", "SrceNm")
+
+
 @query(
     _EVENTS
     + """
@@ -277,3 +299,29 @@ def missing_parameter_fields(spark, sf_dir):
     )
     missing = missing_parameters(store)
     return missing.withColumn("missing", F.concat(F.array_join("missing", ","), F.lit(",")))
+
+
+@query(
+    """
+WITH shapes (kind, field, types, place) AS (VALUES
+    ('A', 'key', ['bigint'], 0), ('A', 'amount', ['bigint', 'double'], 1), ('A', 'note', ['double', 'string'], 2),
+    ('N', 'key', ['bigint'], 0), ('N', 'amount', ['bigint', 'double'], 1), ('N', 'late', ['boolean'], 3),
+    ('R', 'key', ['bigint'], 0), ('R', 'note', ['double', 'string'], 2), ('R', 'reason', ['string'], 3)),
+runs AS (SELECT DISTINCT l_suppkey AS source, l_returnflag AS kind FROM lineitem),
+fields AS (SELECT source, field, place, unnest(types) AS type FROM runs JOIN shapes USING (kind))
+SELECT source, field AS "FieldNm", min(place)::INTEGER AS "OrdNo",
+       CASE WHEN count(DISTINCT type) = 1 THEN min(type) WHEN bool_or(type = 'string') THEN 'string' ELSE 'double' END AS "TypeTx"
+FROM fields GROUP BY ALL
+"""
+)
+def merged_run_schemas(spark, sf_dir):
+    """One schema per supplier from the stored fields of its runs, whose types differ with their return flag."""
+    shapes = {
+        "A": [("key", "bigint", 0), ("amount", "bigint", 1), ("amount", "double", 1), ("note", "double", 2), ("note", "string", 2)],
+        "N": [("key", "bigint", 0), ("amount", "bigint", 1), ("amount", "double", 1), ("late", "boolean", 3)],
+        "R": [("key", "bigint", 0), ("note", "double", 2), ("note", "string", 2), ("reason", "string", 3)],
+    }
+    rows = [(flag, *field) for flag, fields in shapes.items() for field in fields]
+    fields = spark.createDataFrame(rows, "l_returnflag string, FieldNm string, TypeTx string, OrdNo int")
+    runs = table(spark, sf_dir, "lineitem").select(F.col("l_suppkey").alias("source"), "l_returnflag").distinct()
+    return merged_fields(runs.join(fields, "l_returnflag"), "source")

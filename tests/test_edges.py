@@ -138,7 +138,7 @@ def test_latest_rows_need_no_sorted_aggregation(spark):
         (3, None, 1, "p", "f", None, "LOADING", at(2), at(2)), (3, None, 1, "p", "f", None, "LOADING", at(2), at(2)),
         (4, "a", 3, "p", "f", "", "COMPLETED", at(2), at(1)), (5, "b", 1, None, "f", "", "COMPLETED", at(2), None),
     ]
-    current = ledger_current(spark.createDataFrame(rows_, LEDGER_SCHEMA))
+    current = ledger_current(spark.createDataFrame([(*r, None) for r in rows_], LEDGER_SCHEMA))
     assert sorted((r["DaId"], r["StaCd"]) for r in current.collect()) == [
         (1, "COMPLETED"), (2, "FAILED"), (3, "LOADING"), (4, "COMPLETED"), (5, "COMPLETED")
     ]

@@ -36,13 +36,10 @@ TRADES = [
     ("T007", "JPY", 500000.0, "2024-01-22", "FX"), ("T008", "GBP", 35000.0, "2024-01-28", "RATES"),
 ]
 SUMMARY_SQL = """
-WITH dated AS (
-    SELECT currency, amount FROM {trades} WHERE trade_date >= DATE '{periodStart}' AND trade_date <= DATE '{periodEnd}'
-)
-SELECT currency, sum(amount) AS total_amount, count(amount) AS trade_count FROM dated GROUP BY currency
-ORDER BY total_amount DESC
+SELECT desk, max(amount) - min(amount) AS span, count(DISTINCT currency) AS currencies FROM {trades}
+WHERE datediff(DATE '{periodEnd}', trade_date) BETWEEN 0 AND 30 GROUP BY desk ORDER BY span DESC
 """
-EXPECTED = [("JPY", 500000.0, 1), ("USD", 455000.0, 3), ("EUR", 120000.0, 2), ("GBP", 95000.0, 2)]
+EXPECTED = [("FX", 440000.0, 4), ("RATES", 60000.0, 3)]
 
 
 def trades_table(spark):
@@ -122,8 +119,8 @@ def report(path, **changes):
 SCHEMAS = {"trades": "trade_id string, currency string, amount double, trade_date date, desk string"}
 
 
-def test_worked_example(spark, tmp_path):
-    """Trades by currency, in the order the query asks for."""
+def test_a_report_from_start_to_end(spark, tmp_path):
+    """Desks in the order the query asks for."""
     book, _ = loaded(spark, tmp_path)
     records = read_records(spark, str(tmp_path / "rec"))
     config = report(tmp_path / "out")
@@ -131,12 +128,12 @@ def test_worked_example(spark, tmp_path):
         spark, config, book, records, TOKENS, user="me", schemas=SCHEMAS, detail_path=str(tmp_path / "details")
     )
     assert run.status == "COMPLETED" and run.run_id == 2
-    assert run.outputs[0].name == "daily_202401_2024-01-31.csv" and run.outputs[0].rows == 4
-    schema = "currency string, total_amount double, trade_count bigint"
+    assert run.outputs[0].name == "daily_202401_2024-01-31.csv" and run.outputs[0].rows == 2
+    schema = "desk string, span double, currencies bigint"
     exported = spark.read.schema(schema).csv(run.outputs[0].destination, header=True)
     assert [tuple(r) for r in exported.collect()] == EXPECTED
     detail = spark.read.parquet(str(tmp_path / "details")).first()
-    assert (detail["SrceSysNm"], detail["RecCt"], detail["CreateUserId"]) == ("daily", 4, "me")
+    assert (detail["SrceSysNm"], detail["RecCt"], detail["CreateUserId"]) == ("daily", 2, "me")
     note = run.notification.first()
     assert (note["to"], note["subject"], note["body"]) == ("a@x.org,b@x.org", "daily/eod 202401", "until 2024-01-31")
     assert note["attachments"] == [run.outputs[0].destination]
@@ -183,7 +180,7 @@ def test_table_api_and_alias_outputs(spark, tmp_path):
     assert rows(spark.table("summary_out")) == sorted(EXPECTED, key=repr)
     assert rows(spark.table("pre_step")) == [(1,)]
     payload = json.loads(run.outputs[1].payloads.first()["payload"])
-    assert {p["currency"] for p in payload} == {"USD", "EUR", "GBP", "JPY"} and run.outputs[1].rows == 4
+    assert {p["desk"] for p in payload} == {"FX", "RATES"} and run.outputs[1].rows == 2
     assert run.outputs[2].rows == 8 and run.outputs[2].destination.endswith(".json")
     with pytest.raises(ValueError, match="unknown step type"):
         run_sql_steps(spark, (SqlStep("x", "", kind="FTP"),), Aliases(spark, "x"), TOKENS)

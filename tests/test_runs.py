@@ -120,7 +120,7 @@ def test_empty_run_and_source_facts(spark):
 
 
 def ledger(spark, *entries):
-    data = [(i, s, v, p, "", None, c, AT, datetime(2024, 2, t)) for i, s, v, p, c, t in entries]
+    data = [(i, s, v, p, "", None, c, AT, datetime(2024, 2, t), None) for i, s, v, p, c, t in entries]
     return spark.createDataFrame(data, LEDGER_SCHEMA)
 
 
