@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ledgerflow.functions.json import with_json_fields
 from ledgerflow.functions.scalars import column
 from ledgerflow.functions.tokens import compose
-from ledgerflow.operators.lookup import assert_unique_key, join_keys
+from ledgerflow.operators.lookup import join_keys, unique_rows
 from ledgerflow.result import DEAD, FAILED, ILLEGAL_ARGUMENT, IO_ERROR, ChainResult, dead_letter, payload_of
 
 # The columns the enrichment adds.
@@ -37,14 +37,14 @@ def enrich_from_responses(
     after one attempt.
     """
     result = rows if isinstance(rows, ChainResult) else ChainResult.start(rows)
-    if unique == "check":
-        assert_unique_key(responses, id_column)
     payload = payload_of(result.tagged)
     columns = result.columns
     left_key, right_key = join_keys(result.tagged, key, responses, id_column)
     side = responses.select(
         right_key.alias(_ID), column(status_column).cast("int").alias(_STATUS), column(body_column).alias(_BODY)
     )
+    if unique == "check":
+        side = unique_rows(side, _ID, id_column)
     joined = result.transform(lambda df: df.withColumn(_ID, left_key).join(side, _ID, "left"))
 
     key_text = column(key).cast("string")

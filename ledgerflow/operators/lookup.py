@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,6 +26,27 @@ def assert_unique_key(lookup: DataFrame, key: str) -> DataFrame:
     return lookup
 
 
+_REPEATED = "repeated lookup key: "
+
+
+def unique_rows(side: DataFrame, key: str, name: str) -> DataFrame:
+    """The rows of a join side, written out, with a check in the same pass that no key has two.
+
+    The table is read once; what is stored has a known size to plan with, and a join to it can still split hot keys.
+    """
+    others = [c for c in side.columns if c != key]
+    grouped = side.groupBy(column(key)).agg(F.count(F.lit(1)).alias("_n"), *[F.first(column(c)).alias(c) for c in others])
+    text = F.coalesce(column(key).cast("string"), F.lit(""))
+    checked = grouped.where(F.assert_true(F.col("_n") == 1, F.concat(F.lit(_REPEATED), text, F.lit("\n"))).isNull())
+    try:
+        return materialize(checked.select(*[column(c) for c in side.columns]), "lookup")
+    except Exception as error:
+        found = re.search(f"{_REPEATED}(.*)", str(error))
+        if found is None:
+            raise
+        raise DuplicateLookupKeyError(f"lookup key {name!r} is not unique, for example: {[found.group(1)]}") from error
+
+
 def first_by(lookup: DataFrame, key: str, order: str) -> DataFrame:
     """One row per key, the one with the smallest ``order`` value, written out.
 
@@ -64,7 +87,8 @@ def lookup_enrich(
     Unmatched rows stay, with nulls. No ``output_fields`` means every lookup column, the key included; listed columns
     the lookup lacks are skipped; a name the data already has gets the prefix ``lookup_``.
 
-    ``unique``: ``check`` fails on repeated lookup keys, ``trust`` skips that check.
+    ``unique``: ``check`` stores the needed part of the lookup and fails on repeated keys while it does, ``trust`` joins
+    the table as it is.
 
     The join strategy is the planner's: it broadcasts a lookup under its own size threshold and otherwise runs a
     sort-merge join, where adaptive execution splits hot keys (and the null key) on the data side; for that a large
@@ -78,13 +102,13 @@ def lookup_enrich(
     clash = [name for field, name in renamed.items() if name != field and name.lower() in taken]
     if clash:
         raise ValueError(f"lookup columns collide even after prefixing: {clash}")
-    if unique == "check":
-        assert_unique_key(lookup, lookup_key)
-    elif unique != "trust":
+    if unique not in ("check", "trust"):
         raise ValueError(f"unknown uniqueness mode {unique!r}")
 
     left_key, right_key = join_keys(data, data_key, lookup, lookup_key)
     values = [column(field).cast("string").alias(name) for field, name in renamed.items()]
     side = lookup.select(right_key.alias(_KEY), *values)
+    if unique == "check":
+        side = unique_rows(side, _KEY, lookup_key)
     joined = data.withColumn(_KEY, left_key).join(side, _KEY, "left")
     return joined.select(*[column(c) for c in data.columns], *[column(n) for n in renamed.values()])

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import functions as F
 
 from ledgerflow.functions.json import json_query, json_value
 from ledgerflow.functions.scalars import row_json
 from ledgerflow.operators.chain import ChainOptions, run_chain
-from ledgerflow.operators.retry import RetryPolicy, map_rows_with_retry
+from ledgerflow.operators.retry import RetryPolicy, map_batches_with_retry, map_rows_with_retry
 from ledgerflow.operators.rows import as_strings, conform_schema, filter_nulls, flatten_json, mask_pii
 from ledgerflow.operators.validation import in_range, matches_pattern, one_of, require_fields, validate_rows
 from ledgerflow.queries.registry import query, table
@@ -216,11 +218,41 @@ def _half_price(row: dict) -> dict:
     return {"o_orderkey": row["o_orderkey"], "half_price": row["o_totalprice"] / 2}
 
 
-@query("SELECT o_orderkey, o_totalprice / 2 AS half_price FROM orders WHERE o_orderstatus <> 'F'")
-def retry_ok(spark, sf_dir):
+def _half_prices(batch: pa.RecordBatch):
+    """The same for a whole batch, with an error text for each row that has none."""
+    finished = pc.equal(batch["o_orderstatus"], "F")
+    texts = pc.binary_join_element_wise("order", pc.cast(batch["o_orderkey"], pa.string()), "is finished", " ")
+    values = {"o_orderkey": batch["o_orderkey"], "half_price": pc.divide(batch["o_totalprice"], 2.0)}
+    return values, pc.if_else(finished, texts, pa.scalar(None, pa.string()))
+
+
+def _retried(spark, sf_dir, by_batch: bool):
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
     policy = RetryPolicy(max_retries=2, delay_ms=0, exponential=False)
-    return map_rows_with_retry(orders, _half_price, "o_orderkey bigint, half_price double", policy).ok
+    schema = "o_orderkey bigint, half_price double"
+    if by_batch:
+        return map_batches_with_retry(orders, _half_prices, schema, policy)
+    return map_rows_with_retry(orders, _half_price, schema, policy)
+
+
+@query("SELECT o_orderkey, o_totalprice / 2 AS half_price FROM orders WHERE o_orderstatus <> 'F'")
+def retry_ok(spark, sf_dir):
+    return _retried(spark, sf_dir, by_batch=True).ok
+
+
+@query(
+    """
+SELECT o_orderstatus = 'F' AS failed, count(*) AS n, round(sum(o_totalprice / 2) FILTER (o_orderstatus <> 'F'), 2) AS half,
+       max(CASE WHEN o_orderstatus = 'F' THEN 3 END) AS attempts
+FROM orders GROUP BY 1
+"""
+)
+def retry_rows(spark, sf_dir):
+    """A function of single rows, both outcomes from one pass."""
+    tagged = _retried(spark, sf_dir, by_batch=False).tagged
+    return tagged.groupBy(F.col("_failed").alias("failed")).agg(
+        F.count("*").alias("n"), F.round(F.sum("half_price"), 2).alias("half"), F.max("_dead.attemptCount").alias("attempts")
+    )
 
 
 @query(
@@ -231,7 +263,5 @@ FROM orders WHERE o_orderstatus = 'F'
 """
 )
 def retry_dead(spark, sf_dir):
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
-    policy = RetryPolicy(max_retries=2, delay_ms=0, exponential=False)
-    result = map_rows_with_retry(orders, _half_price, "o_orderkey bigint, half_price double", policy)
+    result = _retried(spark, sf_dir, by_batch=True)
     return result.dead.select("errorMessage", "errorClass", "attemptCount")

@@ -1,0 +1,82 @@
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+import pytest
+from conftest import rows
+
+from ledgerflow.operators.enrich import enrich_from_responses
+from ledgerflow.operators.lookup import DuplicateLookupKeyError, lookup_enrich
+from ledgerflow.operators.retry import RetryPolicy, map_batches_with_retry, map_rows_with_retry
+
+POLICY = RetryPolicy(max_retries=2, delay_ms=0, exponential=False)
+
+
+def test_only_failed_rows_are_tried_again(spark):
+    df = spark.range(0, 1000, 1, 2)
+
+    def flaky(batch):
+        first = batch.num_rows > 200
+        bad = pc.equal(pc.bit_wise_and(batch["id"], 3), 0) if first else pc.equal(batch["id"], 8)
+        sizes = pa.array(np.full(batch.num_rows, batch.num_rows))
+        return {"id": batch["id"], "size": sizes}, pc.if_else(bad, pa.scalar("busy"), pa.scalar(None, pa.string()))
+
+    result = map_batches_with_retry(df, flaky, "id bigint, size int", POLICY)
+    ok = result.ok.collect()
+    assert sorted(r["id"] for r in ok) == [i for i in range(1000) if i != 8]
+    assert {r["size"] for r in ok if r["id"] % 4 == 0} == {125} and {r["size"] for r in ok if r["id"] % 4} == {500}
+    letter = result.dead.first()
+    assert (letter["errorMessage"], letter["attemptCount"], letter["payload"]) == ("busy", 3, '{"id": 8}')
+
+
+def test_a_raising_row_does_not_take_its_batch_along(spark):
+    def picky(batch):
+        if pc.any(pc.equal(batch["id"], 13)).as_py():
+            raise KeyError("thirteen")
+        return {"id": batch["id"], "text": pc.cast(batch["id"], pa.string())}, pa.nulls(batch.num_rows)
+
+    result = map_batches_with_retry(spark.range(0, 64, 1, 1), picky, "id bigint, text string", POLICY)
+    assert sorted(r["id"] for r in result.ok.collect()) == [i for i in range(64) if i != 13]
+    letter = result.dead.first()
+    assert (letter["errorMessage"], letter["errorClass"], letter["attemptCount"]) == ("'thirteen'", "builtins.KeyError", 3)
+
+
+def test_columns_must_fit_and_empty_input(spark):
+    wrong = lambda batch: ({"id": pc.cast(batch["id"], pa.string()), "v": pa.array(["x"] * batch.num_rows)}, pa.nulls(batch.num_rows))
+    result = map_batches_with_retry(spark.range(3), wrong, "id bigint, v double", RetryPolicy(0, 0))
+    assert result.ok.count() == 0 and {r["attemptCount"] for r in result.dead.collect()} == {1}
+    assert map_batches_with_retry(spark.range(0), wrong, "id bigint, v double").tagged.count() == 0
+
+
+def test_rows_of_a_batch_with_a_misfit(spark):
+    def half(row):
+        return {"id": row["id"], "v": "text" if row["id"] == 3 else row["id"] / 2}
+
+    result = map_rows_with_retry(spark.range(0, 6, 1, 1), half, "id bigint, v double", POLICY)
+    assert rows(result.ok) == [(0, 0.0), (1, 0.5), (2, 1.0), (4, 2.0), (5, 2.5)]
+    assert result.dead.first()["attemptCount"] == 3
+
+
+
+def test_a_checked_lookup_is_read_once(spark, tmp_path):
+    path = str(tmp_path / "prices")
+    spark.createDataFrame([(None, "n"), ("b", "B"), ("c", "C")], "k string, v string").write.parquet(path)
+    tracker = spark.sparkContext.statusTracker()
+    lookup = spark.read.parquet(path)
+    spark.sparkContext.setJobGroup("lookup", "lookup")
+    try:
+        found = lookup_enrich(spark.createDataFrame([("",), ("b",), (None,)], "key string"), lookup, "k", "key", ["v"])
+        assert len(tracker.getJobIdsForGroup("lookup")) <= 2
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert rows(found) == [("", "n"), ("b", "B"), (None, None)]
+    assert all("prices" not in f for f in found.inputFiles())
+
+
+def test_repeated_keys_fail_with_an_example(spark):
+    data = spark.createDataFrame([("b",)], "key string")
+    twice = spark.createDataFrame([("b", 1), ("b", 2)], "k string, v int")
+    with pytest.raises(DuplicateLookupKeyError, match=r"'k' is not unique, for example: \['b'\]"):
+        lookup_enrich(data, twice, "k", "key")
+    answers = spark.createDataFrame([("b", 200, "{}"), ("b", 200, "{}")], "id string, status int, body string")
+    with pytest.raises(DuplicateLookupKeyError, match="'id' is not unique"):
+        enrich_from_responses(data, answers, "key")
