@@ -12,7 +12,10 @@ from ledgerflow.sinks.files import write_dead_letters
 from ledgerflow.sinks.messages import as_messages
 from ledgerflow.sinks.outcomes import read_outcomes, tagged_rows
 from ledgerflow.sinks.router import SinkSpec
-from ledgerflow.sinks.tables import write_table
+from ledgerflow.streaming.publish import FILE_FORMATS, BatchPublisher, publish_to_table
+
+#: Name of a chain's counters in the progress of its query.
+METRICS = "chain"
 
 
 def _start(writer, available_now: bool) -> StreamingQuery:
@@ -28,11 +31,11 @@ def stream_outcomes(
     registry: TransformRegistry | None = None,
     available_now: bool = False,
 ) -> tuple[StreamingQuery, T.StructType]:
-    """Stream both outputs into one file sink partitioned by outcome: one read, exactly once.
+    """Stream both outputs into one file sink partitioned by outcome: one read, exactly once, with counters.
 
     Returns the query and the schema of accepted rows, for ``read_outcomes``.
     """
-    result = run_chain(stream, spec, options, registry)
+    result, _ = run_chain(stream, spec, options, registry).observed(METRICS)
     writer = (
         tagged_rows(result)
         .writeStream.format("parquet")
@@ -44,6 +47,15 @@ def stream_outcomes(
     return _start(writer, available_now), result.tagged.select(*result.columns).schema
 
 
+def _send(publisher: BatchPublisher, messages: DataFrame, batch_id: int, sink: SinkSpec) -> None:
+    options = {k: v for k, v in sink.options.items() if k != "path"}
+    if sink.message_format in FILE_FORMATS and "path" in sink.options:
+        publisher.publish(messages, batch_id, sink.options["path"], sink.message_format, **options)
+    elif not publisher.done(batch_id):
+        messages.write.format(sink.message_format).options(**sink.options).save()
+        publisher.commit(batch_id, 0)
+
+
 def stream_chain(
     stream: DataFrame,
     spec: str,
@@ -56,11 +68,16 @@ def stream_chain(
 ) -> StreamingQuery:
     """Stream accepted rows to a file, table or message sink and dead letters to files.
 
-    Each micro-batch is computed once and cached for its two writes. File writes go to a folder per batch that a retry
-    replaces, so a repeated batch leaves no duplicates; table and message writes are at least once.
+    Each micro-batch is computed once and cached for its two writes, and its counters are in the query's progress under
+    ``METRICS``. File writes go to a folder per batch that a retry replaces; tables of files, and messages written as
+    files, take each batch once by ``BatchPublisher``. So a repeated batch leaves no duplicates. Messages to a broker
+    are at least once: a batch in the log is not sent again, but one that was stopped while it was sent is.
     """
-    result = run_chain(stream, spec, options, registry)
+    result, _ = run_chain(stream, spec, options, registry).observed(METRICS)
     kind = sink.sink_type.upper()
+    if kind not in ("GCS", "BQ", "PUBSUB"):
+        raise ValueError(f"unknown sink type {sink.sink_type!r}")
+    publisher = BatchPublisher(stream.sparkSession, f"{checkpoint.rstrip('/')}/published")
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         tagged = batch.persist()
@@ -69,9 +86,9 @@ def stream_chain(
             if kind == "GCS":
                 ok.write.mode("overwrite").option("ignoreNullFields", "false").json(f"{sink.path}/batch_id={batch_id}")
             elif kind == "BQ":
-                write_table(ok, sink.table, "APPEND")
+                publish_to_table(publisher, ok, batch_id, sink.table)
             else:
-                as_messages(ok).write.format(sink.message_format).options(**sink.options).save()
+                _send(publisher, as_messages(ok), batch_id, sink)
             if dead_letter_path:
                 dead = tagged.where(F.col("outcome") == "dead").select("dead.*")
                 write_dead_letters(dead, f"{dead_letter_path}/batch_id={batch_id}", mode="overwrite")
