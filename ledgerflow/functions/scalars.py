@@ -29,12 +29,13 @@ def has_unique_text(kind: T.DataType) -> bool:
 
 
 def to_text(col: Column, kind: T.DataType | None = None) -> Column:
-    """Text of a value. A timestamp is ISO 8601 in UTC, so that it doesn't depend on the session's time zone."""
+    """Text of a value. A timestamp is an instant in milliseconds, in ISO 8601 and UTC whatever the session's time zone."""
     if isinstance(kind, T.TimestampType):
-        seconds = (F.unix_micros(col) / F.lit(1_000_000).cast("decimal(8,0)")).cast("decimal(18,6)")
-        zero = F.lit(0)
+        millis = F.unix_millis(col)
+        zero, seconds = F.lit(0), F.floor(millis / F.lit(1000).cast("decimal(4,0)")).cast("decimal(18,6)")
         utc = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(zero, zero, zero, seconds)
-        return F.concat(F.replace(utc.cast("string"), F.lit(" "), F.lit("T")), F.lit("Z"))
+        whole = F.replace(utc.cast("string"), F.lit(" "), F.lit("T"))
+        return F.concat(whole, F.lit("."), F.lpad(F.pmod(millis, F.lit(1000)).cast("string"), 3, "0"), F.lit("Z"))
     return col.cast("string")
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerflow.functions.json import with_json_fields
-from ledgerflow.functions.scalars import column
+from ledgerflow.functions.scalars import column, to_text, type_of
 from ledgerflow.functions.tokens import compose
 from ledgerflow.operators.lookup import join_keys, unique_rows
 from ledgerflow.result import DEAD, FAILED, ILLEGAL_ARGUMENT, IO_ERROR, ChainResult, dead_letter, payload_of
@@ -47,7 +47,7 @@ def enrich_from_responses(
         side = unique_rows(side, _ID, id_column)
     joined = result.transform(lambda df: df.withColumn(_ID, left_key).join(side, _ID, "left"))
 
-    key_text = column(key).cast("string")
+    key_text = to_text(column(key), type_of(result.tagged, key))
     no_key = dead_letter(payload, compose(NULL_KEY, key=key), ILLEGAL_ARGUMENT, 0)
     status = F.coalesce(F.col(_STATUS).cast("string"), F.lit("(no response)"))
     failed_call = dead_letter(payload, compose(BAD_STATUS, status=status, key=key_text), IO_ERROR, 1)

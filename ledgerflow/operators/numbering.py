@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerflow.operators.sorting import POSITION
+from ledgerflow.operators.sorting import POSITION, positioned
 from ledgerflow.session import materialize
 
 _WITHIN = (1 << 33) - 1
@@ -19,7 +19,7 @@ def number_rows(df: DataFrame, order: list[Column], name: str = "row_no") -> Dat
     position breaks ties, so equal keys may span ranges.
     """
     place = F.monotonically_increasing_id().bitwiseAND(F.lit(_WITHIN))
-    ordered = df.withColumn(POSITION, F.monotonically_increasing_id()).orderBy(*order, POSITION).drop(POSITION)
+    ordered = positioned(df).orderBy(*order, POSITION).drop(POSITION)
     placed = materialize(ordered.withColumns({"_part": F.spark_partition_id(), "_pos": place}), "numbered")
     counts = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)

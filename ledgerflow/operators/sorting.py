@@ -10,6 +10,22 @@ from ledgerflow.functions.scalars import column, text_form
 POSITION = "_position"
 
 
+def with_input_position(df: DataFrame) -> DataFrame:
+    """Rows of files with their place in the input: file, start of the block, place in the block.
+
+    It is taken where the files are read, so ``sort_rows`` and ``number_rows`` keep equal rows in the order of the files
+    after any filter, join or repartition in between. Use it on the frame that a reader returns.
+    """
+    within = F.monotonically_increasing_id()
+    place = F.struct(F.col("_metadata.file_path"), F.col("_metadata.file_block_start"), within.alias("row"))
+    return df.withColumn(POSITION, place)
+
+
+def positioned(df: DataFrame) -> DataFrame:
+    """The frame with a position: the input's, if it has one, else one made from its partitions as they are."""
+    return df if POSITION in df.columns else df.withColumn(POSITION, F.monotonically_increasing_id())
+
+
 def sort_rows(
     df: DataFrame, fields: list[str], descending: bool = False, scope: str = "partition", typed: bool = False
 ) -> DataFrame:
@@ -17,8 +33,8 @@ def sort_rows(
 
     ``scope='partition'`` sorts each partition without a shuffle; ``'global'`` is a range-partitioned sort.
     The default compares text forms (``"10"`` before ``"9"``, null first as the empty string); ``typed`` compares
-    native values. Equal rows stay in input order. That input position is the last sort key, so a global sort also
-    splits a value that holds a large share of the rows over several ranges.
+    native values. Equal rows stay in input order, see ``with_input_position``. That position is the last sort key, so a
+    global sort also splits a value that holds a large share of the rows over several ranges.
     """
     if not fields:
         return df
@@ -28,7 +44,7 @@ def sort_rows(
         keys.append(key.desc() if descending else key.asc())
     if scope not in ("partition", "global"):
         raise ValueError(f"unknown sort scope {scope!r}; use 'partition' or 'global'")
-    placed = df.withColumn(POSITION, F.monotonically_increasing_id())
+    placed = positioned(df)
     ordered = placed.sortWithinPartitions(*keys, POSITION) if scope == "partition" else placed.orderBy(*keys, POSITION)
     return ordered.drop(POSITION)
 

@@ -6,13 +6,20 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
-from ledgerflow.operators.rows import filter_nulls, mask_pii
-from ledgerflow.operators.sorting import sort_rows
+from ledgerflow.functions.tokens import RunTokens, resolve_run_date
+from ledgerflow.operators.lookup import DuplicateLookupKeyError, lookup_enrich
+from ledgerflow.operators.numbering import number_rows
+from ledgerflow.operators.rows import check_headers, filter_nulls, mask_pii
+from ledgerflow.operators.sorting import sort_rows, with_input_position
+from ledgerflow.operators.validation import in_range, schema_contains, validate_rows
 from ledgerflow.plans.records import run_rows, to_records
 from ledgerflow.queries.registry import query, table
 from ledgerflow.session import scratch_path
 from ledgerflow.sinks.files import export_report
+from ledgerflow.sinks.router import SinkSpec, write_sink
 from ledgerflow.sources.csv import read_csv_source
+from ledgerflow.sources.router import SourceSpec, read_source
+from ledgerflow.sources.tables import table_facts
 
 
 @query(
@@ -78,3 +85,130 @@ def sort_order_kept(spark, sf_dir):
     after = stored.select("part", (F.col("at") - 1).alias("at"), F.col("key").alias("next"))
     paired = stored.join(after, ["part", "at"], "left")
     return paired.agg(F.count("*").alias("row_count"), F.count_if(F.col("next") < F.col("key")).alias("out_of_order"))
+
+
+@query(
+    """
+SELECT o_orderkey, row_number() OVER (ORDER BY o_orderpriority, o_orderstatus, o_orderkey) AS row_no FROM orders
+"""
+)
+def sort_file_order(spark, sf_dir):
+    """Two files, dealt anew after reading: equal rows are numbered in the order of the files."""
+    path = scratch_path(spark, "two-files")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority", "o_orderstatus")
+    orders.repartitionByRange(2, "o_orderkey").sortWithinPartitions("o_orderkey").write.parquet(path)
+    placed = with_input_position(spark.read.schema(orders.schema).parquet(path)).repartition(7)
+    numbered = number_rows(placed, [F.col("o_orderpriority"), F.col("o_orderstatus")])
+    return numbered.select("o_orderkey", "row_no")
+
+
+@query(
+    """
+SELECT c_custkey, sha256(strftime(TIMESTAMP '2024-01-01' + to_milliseconds(c_custkey * 1499), '%Y-%m-%dT%H:%M:%S.%g') || 'Z') AS at
+FROM customer
+"""
+)
+def mask_timestamps(spark, sf_dir):
+    """Masked instants: the hash is of their text in milliseconds."""
+    start = F.unix_millis(F.lit("2024-01-01 00:00:00Z").cast("timestamp"))
+    customers = table(spark, sf_dir, "customer")
+    stamped = customers.select("c_custkey", F.timestamp_millis(start + F.col("c_custkey") * 1499).alias("at"))
+    return mask_pii(stamped, ("at",)).ok
+
+
+_COUNTED = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "pages")
+
+
+@query(" UNION ALL ".join(f"SELECT '{name}' AS name, true AS found, count(*) AS row_count FROM {name}" for name in _COUNTED) + " UNION ALL SELECT 'absent', false, -1")  # noqa: E501
+def table_row_counts(spark, sf_dir):
+    """Facts about tables, from the footers of their files."""
+    facts = {name: table_facts(spark, f"{sf_dir}/{name}.parquet") for name in (*_COUNTED, "absent")}
+    rows = [(name, fact.exists, fact.row_count) for name, fact in facts.items()]
+    return spark.createDataFrame(rows, "name string, found boolean, row_count bigint")
+
+
+@query(
+    """
+SELECT 'file' AS source, CAST(c_custkey AS VARCHAR) AS id, c_mktsegment AS what FROM customer
+UNION ALL SELECT 'lines', CAST(s_suppkey AS VARCHAR), s_name FROM supplier
+UNION ALL SELECT 'pages', CAST(p_partkey AS VARCHAR), p_brand FROM part
+"""
+)
+def routed_sources(spark, sf_dir):
+    """Sources opened by type: a CSV file whose path is a template, raw lines, and landed pages."""
+    base = scratch_path(spark, "routed")
+    tokens = RunTokens(period_id="202401", run_date=resolve_run_date(" 2024-01-31 "))
+    named = f"{base}/in/customers_20240131_202401-2024-01-31.csv"
+    customers = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
+    export_report(customers, named, "CSV")
+    spec = SourceSpec("FILE", path=f"{base}/in", prefix="customers_{dateCompact}_", suffix="{periodId}-{date}.csv")
+    files = read_source(spark, spec, tokens, mode="load")
+    write_sink(table(spark, sf_dir, "supplier").select("s_suppkey", "s_name"), SinkSpec("GCS", path=f"{base}/lines"))
+    lines = read_source(spark, SourceSpec("GCS", path=f"{base}/lines"), tokens)
+    bodies = table(spark, sf_dir, "part").groupBy((F.col("p_partkey") % 50).cast("int").alias("page")).agg(
+        F.to_json(F.struct(F.collect_list(F.struct("p_partkey", "p_brand")).alias("data"))).alias("body")
+    )
+    bodies.write.parquet(f"{base}/pages")
+    spec = SourceSpec(
+        "API", path=f"{base}/pages", data_array_field="data", pagination_enabled=True, pagination_strategy="PAGE_NUMBER"
+    )
+    pages = read_source(spark, spec, tokens, mode="load")
+    field = lambda name: F.get_json_object("raw_json", f"$.{name}")
+    return (
+        files.select(F.lit("file").alias("source"), F.col("c_custkey").alias("id"), F.col("c_mktsegment").alias("what"))
+        .unionByName(lines.select(F.lit("lines").alias("source"), field("s_suppkey").alias("id"), field("s_name").alias("what")))
+        .unionByName(pages.select(F.lit("pages").alias("source"), field("p_partkey").alias("id"), field("p_brand").alias("what")))
+    )
+
+
+@query(
+    """
+SELECT 'table' AS sink, n_nationkey AS id, n_name AS what FROM nation
+UNION ALL SELECT 'table', n_nationkey, n_name FROM nation
+UNION ALL SELECT 'messages', c_custkey, c_name FROM customer
+UNION ALL SELECT 'files', s_suppkey, s_name FROM supplier
+"""
+)
+def routed_sinks(spark, sf_dir):
+    """Sinks chosen by type: a table that is extended, messages, and files; all are read back."""
+    base = scratch_path(spark, "sinks")
+    name = "ledgerflow_sinks.nations_" + base[-32:]
+    spark.sql(f"CREATE SCHEMA IF NOT EXISTS ledgerflow_sinks LOCATION '{base}-tables'")
+    spark.sql(f"CREATE TABLE {name} (n_nationkey INT, n_name STRING) USING parquet LOCATION '{base}/table'")
+    nations = table(spark, sf_dir, "nation").select("n_name", "n_nationkey")
+    for disposition in ("TRUNCATE", "APPEND"):
+        write_sink(nations, SinkSpec("BQ", table=name, disposition=disposition))
+    customers = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
+    write_sink(customers, SinkSpec("PUBSUB", message_format="text", options={"path": f"{base}/messages"}))
+    write_sink(table(spark, sf_dir, "supplier").select("s_suppkey", "s_name"), SinkSpec("gcs", path=f"{base}/files"))
+    read = lambda sink, schema: spark.read.text(f"{base}/{sink}").select(
+        F.lit(sink).alias("sink"), F.from_json("value", schema).alias("m")
+    ).select("sink", "m.*")
+    return (
+        spark.table(name).select(F.lit("table").alias("sink"), F.col("n_nationkey").cast("bigint").alias("id"), F.col("n_name").alias("what"))
+        .unionByName(read("messages", "c_custkey bigint, c_name string").toDF("sink", "id", "what"))
+        .unionByName(read("files", "s_suppkey bigint, s_name string").toDF("sink", "id", "what"))
+    )
+
+
+@query(
+    """
+SELECT 'missing field: region; missing field: grade' || CASE WHEN s_acctbal < 0 THEN '; field ''s_acctbal'' below' ELSE '' END AS why,
+       count(*) AS n FROM supplier GROUP BY 1
+UNION ALL SELECT 'header region', 1
+UNION ALL SELECT 'DuplicateLookupKeyError l_suppkey', 1
+"""
+)
+def refused_inputs(spark, sf_dir):
+    """What fails and why: rows without expected columns, a header that is not there, a lookup with repeated keys."""
+    suppliers = table(spark, sf_dir, "supplier")
+    letters = validate_rows(suppliers, [schema_contains("s_suppkey", "region", "grade"), in_range("s_acctbal", 0, 1e9)]).dead
+    below = F.when(F.col("errorMessage").contains("s_acctbal"), F.lit("; field 's_acctbal' below")).otherwise(F.lit(""))
+    why = F.concat(F.regexp_extract("errorMessage", "^missing field: region; missing field: grade", 0), below)
+    counted = letters.groupBy(why.alias("why")).agg(F.count("*").alias("n"))
+    found = [f"header {name}" for name in check_headers(suppliers, ["s_name", "region"])]
+    try:
+        lookup_enrich(suppliers, table(spark, sf_dir, "lineitem"), "l_suppkey", "s_suppkey", ["l_quantity"])
+    except DuplicateLookupKeyError as error:
+        found.append(f"{type(error).__name__} {str(error).split(chr(39))[1]}")
+    return counted.unionByName(spark.createDataFrame([(text, 1) for text in found], "why string, n bigint"))

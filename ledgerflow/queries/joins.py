@@ -10,6 +10,7 @@ from ledgerflow.operators.lookup import first_by, lookup_enrich
 from ledgerflow.operators.steps import apply_steps, parse_steps
 from ledgerflow.plans.periods import with_period
 from ledgerflow.queries.registry import query, table
+from ledgerflow.session import materialize
 
 
 @query(
@@ -202,4 +203,5 @@ def period_lookup(spark, sf_dir):
     master = decoded.select(
         "PerId", "p.PerDt", "p.MoNo", fiscal_year_label(F.col("p.PerDt")).alias("YrNo"), "p.PerTypeCd"
     )
-    return with_period(orders, master)
+    # stored, so that adaptive execution can split a period that holds many of the orders
+    return with_period(orders, materialize(master, "periods"))

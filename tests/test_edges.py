@@ -103,7 +103,7 @@ def test_timestamps_have_one_text_in_every_zone(spark, zone):
         spark.conf.set("spark.sql.session.timeZone", zone)
         df = spark.sql("SELECT timestamp_seconds(1704067200) AS at UNION ALL SELECT timestamp_millis(-1500)")
         found = group_by(df, ["at"], [Aggregation("*", "COUNT", "n")])
-        assert rows(found) == [("1969-12-31T23:59:58.5Z", 1), ("2024-01-01T00:00:00Z", 1)]
+        assert rows(found) == [("1969-12-31T23:59:58.500Z", 1), ("2024-01-01T00:00:00.000Z", 1)]
         masked = rows(mask_pii(df, ("at",)).ok)
         assert masked == sorted((hashlib.sha256(k.encode()).hexdigest(),) for k, _ in rows(found))
     finally:

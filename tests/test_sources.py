@@ -244,3 +244,20 @@ def test_batches_keep_order_and_size(spark):
     with pytest.raises(ValueError):
         json_batches(df, 0)
     assert "Exchange" not in json_batches(df, 3)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_counts_come_from_footers_and_statistics(spark, tmp_path):
+    from ledgerflow.sources.tables import footer_count, footer_settings
+
+    path = str(tmp_path / "counted")
+    spark.range(100).write.parquet(path)
+    assert table_facts(spark, path).row_count == 100
+    with footer_settings(spark):
+        plan = footer_count(spark, path)._jdf.queryExecution().executedPlan().toString()
+    assert "PushedAggregation: [COUNT(*)]" in plan
+    spark.sql(f"CREATE TABLE analyzed USING parquet LOCATION '{path}'")
+    assert table_facts(spark, "analyzed").row_count == 100
+    spark.sql("ANALYZE TABLE analyzed COMPUTE STATISTICS")
+    spark.range(5).write.mode("append").parquet(path)  # behind the catalog's back
+    assert table_facts(spark, "analyzed").row_count == 100
+    spark.sql("DROP TABLE analyzed")
