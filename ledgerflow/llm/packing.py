@@ -1,10 +1,11 @@
 """Best-fit packing of tokenized documents by swap-based local search.
 
-Tokens come from a byte-level BPE vocabulary file of the ``tokenizers`` library. The vocabulary's own pattern splits a
-text into pieces that are encoded on their own, so a task keeps the ids of some hundred
-thousand pieces it has met and calls the tokenizer's model for new ones only. The file's added tokens are cut out first
-and have their own ids, as in the tokenizer as loaded; with ``plain`` the special ones among them are text like any other, as
-with the tokenizer's ``encode_special_tokens``. Each document's ids end with id 0;
+Tokens come from a byte-level BPE vocabulary file of the ``tokenizers`` library. Where its ids are in the order of its
+merges, as usual, ``tiktoken`` encodes whole texts by the same vocabulary as ranks, which gives the same ids at less cost.
+Other files, and texts whose runs of blanks are too long for that library, go the other way: the vocabulary's own pattern
+splits a text into pieces that are encoded on their own, and a task keeps the ids of some hundred thousand pieces it has
+met and calls the tokenizer's model for new ones only. The file's added tokens have their own ids, as in the tokenizer as
+loaded; with ``plain`` the special ones among them are text like any other, as with ``encode_special_tokens``. Each document's ids end with id 0;
 a document longer than a sequence is cut into full pieces, of which the first may be shorter.
 
 The pieces are dealt to groups of about ``GROUP_PIECES`` by a running number, so that no key can make a group large; each
@@ -20,6 +21,7 @@ order of the pieces, so a rerun of a lost task gives the same sequences; an empt
 
 from __future__ import annotations
 
+import json
 import zlib
 from array import array
 from collections.abc import Callable, Iterator
@@ -61,6 +63,22 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in printable} | {b: chr(256 + i) for i, b in enumerate(others)}
 
 
+def _ranks(path: str) -> dict[bytes, int] | None:
+    """The vocabulary's tokens as bytes with their ids, if merging by least id is what its merges say."""
+    with open(path, encoding="utf-8") as file:
+        model = json.load(file)["model"]
+    bytes_of = {letter: byte for byte, letter in _byte_letters().items()}
+    found = {}
+    for token, i in model["vocab"].items():
+        if all(letter in bytes_of for letter in token):
+            found[bytes(bytes_of[letter] for letter in token)] = i
+    pairs = [merge.split(" ") if isinstance(merge, str) else merge for merge in model["merges"]]
+    merged = [model["vocab"].get(a + b) for a, b in pairs]
+    single = max((i for token, i in found.items() if len(token) == 1), default=-1)
+    in_order = all(i is not None for i in merged) and all(a < b for a, b in zip([single, *merged], merged))
+    return found if in_order and len(merged) + 256 >= len(found) and not model.get("ignore_merges") else None
+
+
 class _Known(dict):
     """Ids of strings by a function, kept in two generations, so that frequent strings outlive rare ones."""
 
@@ -82,7 +100,7 @@ class _Known(dict):
 class Encoder:
     """Ids of whole texts, equal to the tokenizer's own: its pattern splits the text, its model encodes each piece."""
 
-    def __init__(self, path: str, pattern: str | None = None, plain: bool = True) -> None:
+    def __init__(self, path: str, pattern: str | None = None, plain: bool = True, ranked: bool = True) -> None:
         import public_tokenizers
         import regex
         from tokenizers import Tokenizer
@@ -99,6 +117,16 @@ class Encoder:
         self._letters = _byte_letters()
         self._split = regex.compile(pattern or public_tokenizers.PATTERN).findall
         self._ids = _Known(self._encode, CACHED_PIECES).__getitem__
+        self._allowed = set(self._added)
+        ranks = _ranks(path) if ranked else None
+        self._ranked = ranks and self._by_ranks(ranks, pattern or public_tokenizers.PATTERN, added)
+
+    @staticmethod
+    def _by_ranks(ranks: dict[bytes, int], pattern: str, added: dict):
+        import tiktoken
+
+        special = {t.content: i for i, t in added.items()}
+        return tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens=special)
 
     def _encode(self, piece: str) -> bytes:
         tokens = self._tokenize(piece.encode().decode("latin-1").translate(self._letters))
@@ -108,6 +136,11 @@ class Encoder:
         return b"".join(map(self._ids, self._split(text)))
 
     def __call__(self, text: str) -> np.ndarray:
+        if self._ranked:
+            try:
+                return self._ranked.encode_to_numpy(text, allowed_special=self._allowed, disallowed_special=())
+            except ValueError:  # a run of blanks beyond what the library's pattern matches at once
+                pass
         if self._cut is None or not any(name in text for name in self._added):
             return np.frombuffer(self._part(text), "<u4")
         parts = self._cut(text)  # texts and added tokens in turn
@@ -239,13 +272,15 @@ class _Bins:
                     return True
         return False
 
-    def local_search(self, tried: int = 64, patience: int = 60) -> None:
-        """Dissolve the emptiest bins while that succeeds; each step raises the sum of squared fills."""
-        failures = 0
+    def local_search(self, tried: int = 64) -> None:
+        """Dissolve the emptiest bins until all open ones have failed since the last change.
+
+        Each step raises the sum of squared fills.
+        """
         done: set[int] = set()
         lowest = -(-sum(self.sizes) // self.capacity)
         bins = sum(1 for x in self.items if x)
-        while failures < patience and bins > lowest:
+        while bins > lowest:
             gap = (self.mask & ((1 << self.capacity) - 1)).bit_length() - 1
             source = -1
             while gap > 0:
@@ -263,11 +298,10 @@ class _Bins:
                 if self.gap[source] > before:  # others have changed, so bins that failed may succeed now
                     done.clear()
                 done.add(source)
-                failures += 1
             else:
                 self._hide(source)
                 bins -= 1
-                failures = 0
+                done.clear()
 
 
 def pack(sizes: np.ndarray, capacity: int = SEQUENCE) -> tuple[np.ndarray, np.ndarray]:

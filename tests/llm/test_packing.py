@@ -28,7 +28,7 @@ def test_ids_equal_the_tokenizer(tokenizer):
 
 def test_cache_generations_do_not_matter(tokenizer, monkeypatch):
     monkeypatch.setattr(packing, "CACHED_PIECES", 7)
-    encode = packing.Encoder(packing.vocabulary_path())
+    encode = packing.Encoder(packing.vocabulary_path(), ranked=False)
     for text in [prose(i, 80, 30) for i in range(10)]:
         assert encode(text).tolist() == tokenizer.encode(text, add_special_tokens=False).ids
 
@@ -108,3 +108,27 @@ def test_query_and_stage_use_the_tokenizer_as_loaded(spark, tmp_path, stage):
         ids = [*loaded.encode(text, add_special_tokens=False).ids, 0]
         expected.append((doc, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
     assert sorted((r.doc_id, r.length, r.ids_crc32) for r in found.collect()) == expected
+
+
+@pytest.mark.parametrize("plain", [True, False])
+def test_both_ways_of_encoding_agree(plain):
+    path = packing.vocabulary_path()
+    fast, slow = (packing.Encoder(path, plain=plain, ranked=ranked) for ranked in (True, False))
+    assert fast._ranked and not slow._ranked
+    texts = [*AWKWARD, *LITERALS, *(prose(i, 300, 3000) for i in range(5)), " " * 2_000_000 + "b", "ab" * 700_000]
+    for text in texts:
+        assert np.array_equal(fast(text), slow(text)), repr(text[:40])
+
+
+def test_vocabularies_whose_ids_are_not_ranks(tmp_path):
+    import json
+
+    with open(packing.vocabulary_path(), encoding="utf-8") as file:
+        saved = json.load(file)
+    saved["model"]["merges"][100:102] = saved["model"]["merges"][100:102][::-1]
+    path = tmp_path / "other.json"
+    path.write_text(json.dumps(saved), encoding="utf-8")
+    assert packing._ranks(str(path)) is None and packing._ranks(packing.vocabulary_path())
+    loaded, encode = Tokenizer.from_file(str(path)), packing.Encoder(str(path), plain=False)
+    for text in (prose(1, 200), *AWKWARD):
+        assert encode(text).tolist() == loaded.encode(text, add_special_tokens=False).ids
