@@ -22,9 +22,8 @@ two texts share begins at one shingle and weighs no more than what either has fr
 if that bound proves it less than ``SIMILARITY``. So every pair that shares a band is verified, proved unlike, or already
 in one component.
 
-Cases: a null text is empty; texts without words are alike only if equal, and form no class then either: each is its
-own (there is nothing in them to compare); repeated rows and equal texts share a class; a class is named by its
-smallest id, null ids only if it has no other.
+Cases: a null text is empty, and each empty text is a class of its own; texts without words are alike only if equal;
+repeated rows and equal texts share a class; a class is named by its smallest id, null ids only if it has no other.
 """
 
 from __future__ import annotations
@@ -407,15 +406,17 @@ def near_duplicate_classes(docs: DataFrame, doc_id: str = "doc_id", text: str =
         links = stored(_verified(rest, _with_texts(texts, source, sketched, _ends(rest)), idf), "other-links")
         if not links.isEmpty():
             roots = components(links.union(roots.where("node <> root").toDF("a", "b")))
-    # texts without words are classes of their own rows
-    own = F.when(F.col("words"), F.col("node"))
+    # empty texts are classes of their own rows
+    own = F.when(F.col("node") != F.unhex(F.md5(F.lit("").cast("binary"))), F.col("node"))
     rows = sketched.select("doc_id", "node", own.alias("key")).join(
         roots.withColumnRenamed("node", "key"), "key", "left"
     ).select("doc_id", "node", F.coalesce("root", "key").alias("class_root"))
     rows = stored(rows, "class-rows")
-    leads = (
+    # stored, so that adaptive execution can split a class that holds many of the rows
+    leads = stored(
         rows.where("class_root IS NOT NULL").groupBy("class_root")
-        .agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "node")).alias("lead"), F.count("*").alias("n"))
+        .agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "node")).alias("lead"), F.count("*").alias("n")),
+        "class-leads",
     )
     found = rows.join(leads, "class_root", "left")
     keeps = F.col("class_root").isNull() | (

@@ -1,20 +1,17 @@
-"""Intermediate tables in the folder that all executors share."""
+"""Intermediate tables in the folder that all executors share; an open ``scratch_scope`` deletes them at its end."""
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 
+from ledgerflow.session import scratch_path
+
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def shared_path(spark: SparkSession, label: str) -> str:
     """A fresh path in the folder of ``spark.checkpoint.dir``."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
-    return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    return scratch_path(spark, label)
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:

@@ -162,3 +162,11 @@ def test_prefixes_of_alike_texts_meet():
                 met = [(listed[i][k], listed[j][k]) for k in listed[i].keys() & listed[j].keys()]
                 assert any(x[2] and min(x[0], y[0]) * 1.8 >= 0.8 * (x[1] + y[1]) - 1e-3 for x, y in met)
     assert alike > 16
+
+
+def test_copies_of_a_text_without_words_are_one_class(spark):
+    docs = [(1, "-----"), (2, "-----"), (3, "!!! ###"), (4, ""), (5, None), (6, ""), (7, "-----")]
+    found = near_dup.near_duplicate_classes(frame(spark, docs)).collect()
+    assert {r.doc_id: (r.class_id, r.class_size) for r in found} == {
+        1: (1, 3), 2: (1, 3), 7: (1, 3), 3: (3, 1), 4: (4, 1), 5: (5, 1), 6: (6, 1)
+    }

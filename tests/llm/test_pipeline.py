@@ -81,3 +81,23 @@ def test_extra_columns_and_empty_tables(spark, tmp_path):
         assert result.columns == wide.columns and result.count() > 0
         assert stage(spark, empty, sf_dir).count() == 0
     assert corpus_pipeline.STAGES[-1][1](spark, empty, sf_dir).count() == 0
+
+
+def test_one_of_rows_with_equal_id_and_text_stays_whatever_their_order(spark, tmp_path):
+    text = "one two three four five six seven"
+    rows = [(1, text, lang, source, 5) for lang in ("de", None, "en") for source in ("x", "a")]
+    kept = set()
+    for order in (rows, rows[::-1], rows[3:] + rows[:3]):
+        docs = spark.createDataFrame(order, "doc_id bigint, text string, lang string, source string, n_chars bigint").repartition(3)
+        kept.add(tuple(map(tuple, corpus_pipeline.near_duplicates(spark, docs, str(tmp_path)).collect())))
+    assert len(kept) == 1 and len(next(iter(kept))) == 1
+
+
+def test_a_run_leaves_its_last_stage_only(spark, sf_dir):
+    import os
+
+    folder = spark.conf.get("spark.checkpoint.dir")
+    before = set(os.listdir(folder))
+    corpus_pipeline.run(spark, sf_dir).count()
+    left = set(os.listdir(folder)) - before
+    assert len(left) == 1 and next(iter(left)).startswith("stage-packing")
