@@ -8,8 +8,8 @@
 
 All but the last return the columns they got, whatever further columns there are, and work on every document that the
 stage before kept. Cases: empty tables pass through; without usable labels the first stage keeps everything; null and
-empty texts are judged as the empty text; repeated rows are one near-duplicate class, of which one row stays, but rows
-without any word are never duplicates.
+empty texts are judged as the empty text; repeated rows are one near-duplicate class, of which one row stays, but null
+and empty texts are never duplicates.
 """
 
 from __future__ import annotations
@@ -17,12 +17,13 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerflow.llm import decontaminate, line_crf, near_dup, packing, pii
-from ledgerflow.llm.storage import shared_path
+from ledgerflow.llm.storage import discard
 from ledgerflow.llm.text import slices
+from ledgerflow.session import scratch_path, scratch_scope
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -61,8 +62,11 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     found = keyed.join(kept, (F.col("node") == F.col("kept_node")) & own_id.eqNullSafe(F.col("kept_id")))
     single = found.where("rows = 1 OR wordless").select(*names)
     if not kept.where("rows > 1 AND NOT wordless").isEmpty():
+        # of rows with one id and text the first by its other columns stays, so a rerun keeps the same one
+        rest = F.to_json(F.struct(*[F.col(c) for c in names if c != text]))
+        place = Window.partitionBy("same_id", "node").orderBy(rest)
         again = found.where("rows > 1 AND NOT wordless").withColumn("same_id", own_id)
-        single = single.union(again.dropDuplicates(["same_id", "node"]).select(*names))
+        single = single.union(again.withColumn("place", F.row_number().over(place)).where("place = 1").select(*names))
     return single.toDF(*docs.columns)
 
 
@@ -110,8 +114,12 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    written: list[DataFrame] = []
     for name, stage in STAGES:
-        path = shared_path(spark, f"stage-{name}")
-        stage(spark, docs, sf_dir).write.parquet(path)
+        path = scratch_path(spark, f"stage-{name}", keep=True)
+        with scratch_scope(spark):  # what a stage stores on its way goes when its result is written
+            stage(spark, docs, sf_dir).write.parquet(path)
+        discard(*written)
         docs = spark.read.parquet(path)
+        written = [docs]
     return docs
