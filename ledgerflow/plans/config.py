@@ -165,6 +165,8 @@ class OutputSpec:
     endpoint: str | None = None
     #: Rows of one request payload of an API output; a payload holds the rows of one partition at most.
     payload_rows: int = 1000
+    #: Bytes of one request payload, if the service has a bound; a row that is larger by itself is sent alone.
+    payload_bytes: int | None = None
 
 
 @dataclass(frozen=True)

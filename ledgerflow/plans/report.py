@@ -18,7 +18,7 @@ from ledgerflow.functions.tokens import RunTokens, render_sql, to_spark_sql
 from ledgerflow.operators.batches import json_batches
 from ledgerflow.plans.config import DatasourceRef, OutputSpec, ReportConfig, SqlStep
 from ledgerflow.plans.control import COMPLETED, FAILED
-from ledgerflow.plans.ledger import Ledger, completed_runs, missing_sources
+from ledgerflow.plans.ledger import Ledger, completed_runs
 from ledgerflow.plans.notify import report_notification
 from ledgerflow.plans.params import fetch_parameters
 from ledgerflow.plans.periods import find_period
@@ -75,13 +75,10 @@ class Aliases:
         return self.spark.table(self._names[alias])
 
 
-def check_sources(config: ReportConfig, ledger: DataFrame) -> None:
+def check_sources(config: ReportConfig, runs: dict[tuple, int]) -> None:
     """Every required source must have a COMPLETED run for the period; all that lack one are listed."""
     required = [(d.datasource, config.period_id, d.subprocess) for d in config.datasources if d.required]
-    if not required:
-        return
-    wanted = ledger.sparkSession.createDataFrame(required, "SrceNm string, PerId string, SubNm string")
-    missing = [f"{r['SrceNm']}/{r['SubNm']}" for r in missing_sources(wanted, ledger).orderBy("SrceNm").collect()]
+    missing = sorted(f"{source}/{subprocess}" for source, period, subprocess in required if (source, period, subprocess) not in runs)
     if missing:
         raise SourcesMissingError(f"not COMPLETED for period {config.period_id}: {missing}")
 
@@ -90,20 +87,19 @@ def alias_views(
     aliases: Aliases,
     refs: tuple[DatasourceRef, ...],
     period_id: str,
-    ledger: DataFrame,
+    runs: dict[tuple, int],
     records: DataFrame,
     schemas: dict[str, str] | None = None,
     run_schemas: DataFrame | None = None,
 ) -> None:
-    """Alias each source to the rows of its latest completed run: its fields as columns, and the stored JSON.
+    """Alias each source to the rows of its latest completed run, see ``completed_runs``: its fields as columns, and the
+    stored JSON.
 
     Optional sources without a completed run get no alias. The fields of a source are those that ``schemas`` gives as
     DDL, else those that ``run_schemas`` holds for the run, else found in the data by one pass over the run.
     """
-    wanted = [(r.datasource, period_id, r.subprocess) for r in refs]
-    run_ids = completed_runs(ledger, wanted)
     for ref in refs:
-        run_id = run_ids.get((ref.datasource, period_id, ref.subprocess))
+        run_id = runs.get((ref.datasource, period_id, ref.subprocess))
         if run_id is None:
             if ref.required:
                 raise SourcesMissingError(f"no COMPLETED run of {ref.datasource!r} for period {period_id}")
@@ -174,7 +170,7 @@ def export_output(df: DataFrame, output: OutputSpec, config: ReportConfig, token
         copy_table(observed, output.table)
         return OutputResult(output.table, output.table, counted.get.get("rows"))
     # stored, so that the rows are computed once, and counted while that happens; the receiver deletes them
-    batches = materialize(json_batches(observed, output.payload_rows), "payloads", keep=True)
+    batches = materialize(json_batches(observed, output.payload_rows, output.payload_bytes), "payloads", keep=True)
     return OutputResult(output.endpoint or "", output.endpoint or "", counted.get.get("rows"), payloads=batches)
 
 
@@ -230,12 +226,10 @@ def _run_report(
     """
     if periods is not None:
         find_period(periods, config.period_id)
-    current = ledger.current(config.period_id)
-    done = current.where(
-        (F.col("SrceNm") == config.name) & (F.col("PerId") == config.period_id) & (F.col("StaCd") == COMPLETED)
-        & (F.col("SubNm").isNull() | (F.col("SubNm") == config.subprocess))
-    )
-    if not config.override and not done.isEmpty():
+    own = (config.name, config.period_id, config.subprocess)
+    needed = [(d.datasource, config.period_id, d.subprocess) for d in config.datasources]
+    runs = completed_runs(ledger.current(config.period_id), [own, *needed])
+    if not config.override and own in runs:
         log.info("report %s is already completed for period %s", config.name, config.period_id)
         return ReportRun(None, COMPLETED)
 
@@ -244,8 +238,8 @@ def _run_report(
     aliases = Aliases(spark, config.name)
     try:
         run_sql_steps(spark, config.preprocessing, aliases, tokens)
-        check_sources(config, current)
-        alias_views(aliases, config.datasources, config.period_id, current, records, schemas, run_schemas)
+        check_sources(config, runs)
+        alias_views(aliases, config.datasources, config.period_id, runs, records, schemas, run_schemas)
         run_sql_steps(spark, config.steps, aliases, tokens)
         outputs = export_outputs(aliases, config, tokens)
         details = output_details(spark, config.name, outputs, user, now())

@@ -207,6 +207,18 @@ def json_batch_payloads(spark, sf_dir):
     return batches.select(F.explode(parsed).alias("r"), in_bounds.alias("in_bounds")).select("r.*", "in_bounds")
 
 
+@query("SELECT doc_id, md5(text) AS digest, true AS in_bounds FROM documents")
+def json_byte_payloads(spark, sf_dir):
+    """Payloads bounded by bytes, of texts of very different lengths: only single rows are above the bound."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    batches = json_batches(docs, 100, max_bytes=20_000)
+    fits = F.octet_length("payload") <= 20_000
+    in_bounds = (fits & ~F.col("oversized")) | (~fits & F.col("oversized") & (F.col("row_count") == 1))
+    parsed = F.from_json("payload", "array<struct<doc_id:bigint,text:string>>")
+    rows = batches.select(F.explode(parsed).alias("r"), in_bounds.alias("in_bounds"))
+    return rows.select("r.doc_id", F.md5("r.text").alias("digest"), "in_bounds")
+
+
 @query(
     """
 SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, o_orderpriority, 'CSV' AS kind FROM orders

@@ -4,7 +4,6 @@ from datetime import date, datetime
 from decimal import Decimal
 
 import pytest
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerflow.functions.tokens import RunTokens
@@ -14,7 +13,7 @@ from ledgerflow.plans.control import ControlRule, Validation
 from ledgerflow.plans.ledger import Ledger, completed_runs, missing_sources
 from ledgerflow.plans.load import load_period
 from ledgerflow.plans.records import control_metrics, read_records, run_totals, to_records
-from ledgerflow.plans.report import alias_views, Aliases, run_report
+from ledgerflow.plans.report import run_report
 from ledgerflow.plans.schemas import merged_fields, read_run_schemas, schema_folder, schema_rows, stored_schema, write_run_schemas
 from ledgerflow.sources.router import SourceSpec
 

@@ -261,3 +261,14 @@ def test_counts_come_from_footers_and_statistics(spark, tmp_path):
     spark.range(5).write.mode("append").parquet(path)  # behind the catalog's back
     assert table_facts(spark, "analyzed").row_count == 100
     spark.sql("DROP TABLE analyzed")
+
+
+def test_payloads_are_bounded_by_bytes(spark):
+    df = spark.createDataFrame([("é" * n,) for n in (1, 3, 2, 40, 1, 1, 0)], "s string").coalesce(1)
+    found = [(r["row_count"], len(r["payload"].encode()), r["oversized"]) for r in json_batches(df, 10, max_bytes=40).collect()]
+    assert [n for n, *_ in found] == [3, 1, 3] and [o for *_, o in found] == [False, True, False]  # 40, 90 and 32 bytes
+    assert all(size <= 40 or oversized for _, size, oversized in found)
+    exact = len(b'[{"s":"\xc3\xa9"},{"s":"\xc3\xa9\xc3\xa9\xc3\xa9"}]')
+    assert json_batches(df.limit(2), 10, max_bytes=exact).count() == 1 and json_batches(df.limit(2), 10, max_bytes=exact - 1).count() == 2
+    with pytest.raises(ValueError):
+        json_batches(df, 1, max_bytes=1)
