@@ -19,8 +19,9 @@ never paired.
 The rest: where a bucket still holds texts of several components, its pairs across components follow. A bucket of up to
 ``WHOLE`` texts gives all of them. The texts of larger ones meet by prefixes: with shingles from rare to frequent, what
 two texts share begins at one shingle and weighs no more than what either has from there on, so a pair is left out only
-if that bound proves it less than ``SIMILARITY``. So every pair that shares a band is verified, proved unlike, or already
-in one component.
+if that bound proves it less than ``SIMILARITY``. What is left from a shingle on bounds the weight of the other text from
+both sides, so texts meet at a shingle and a cell of both weights, components before their texts. So every pair that
+shares a band is verified, proved unlike, or already in one component.
 
 Cases: a null text is empty, and each empty text is a class of its own; texts without words are alike only if equal;
 repeated rows and equal texts share a class; a class is named by its smallest id, null ids only if it has no other.
@@ -53,6 +54,9 @@ WHOLE = 32
 SHINGLE_CELLS = 1 << 20
 #: What rounding may move a bound by, of the weight of the texts.
 SLACK = 1e-6
+#: The ratio of the ends of a weight cell; an alike pair's weights are at most 12 of these apart.
+WEIGHT_CELL = 1.02
+_CELL_ENDS = np.cumprod(np.full(2000, WEIGHT_CELL))  # up to 10^17; no weight is under 1
 
 
 def _lower_words(texts: pa.Array) -> tuple[Words, np.ndarray]:
@@ -271,35 +275,66 @@ def prefixes(found: Profile, n: int, counts: np.ndarray) -> tuple[np.ndarray, ..
     return text[used], key[used], rest[used], total[used], short[used]
 
 
+def spots(found: Profile, n: int, counts: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(text, spot, rest, total, light) of the places where an alike pair can begin to share.
+
+    A spot is a shingle, a weight cell of the pair's lighter text and one of its heavier; ``light`` says which of the two
+    the text would be. From a shingle on, the lighter text of an alike pair has ``rest``, so the heavier one weighs no
+    more than ``rest * (1 + SIMILARITY) / SIMILARITY - total``, and the lighter one no more than the same of the heavier.
+    """
+    text, key, rest, total, short = prefixes(found, n, counts)
+    live = counts[(key % np.uint64(SHINGLE_CELLS)).astype(np.int64)] > 1  # a shingle of one text begins no pair
+    text, key, rest, total, short = text[live], key[live], rest[live], total[live], short[live]
+
+    def cell(weight: np.ndarray) -> np.ndarray:
+        return np.searchsorted(_CELL_ENDS, weight, "right")
+
+    bound = (rest * (1 + SIMILARITY) / (SIMILARITY - SLACK) - total) * (1 + SLACK)
+    own, most = cell(total), cell(bound)
+    # the heavier text's cells for a light one, the lighter text's for a heavy one
+    low = np.concatenate([own[short], cell(total * (SIMILARITY - 4 * SLACK))])
+    high = np.concatenate([most[short], np.minimum(own, most)])
+    light = np.concatenate([np.ones(int(short.sum()), bool), np.zeros(len(own), bool)])
+    row = np.concatenate([np.flatnonzero(short), np.arange(len(own))])
+    times = np.maximum(high - low + 1, 0)
+    other = np.repeat(low, times) + np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+    row, light = np.repeat(row, times), np.repeat(light, times)
+    first, second = np.where(light, own[row], other), np.where(light, other, own[row])
+    spot = mix(key[row] + mix(((first << 32) + second).astype(np.uint64)))
+    return text[row], spot, rest[row], total[row], light
+
+
 def _prefix_pairs(members: DataFrame, texts: DataFrame, idf) -> DataFrame:
     """Pairs (a, b) of the members of different components that their prefixes don't prove unlike."""
     own = stored(texts.join(members, "node").select("text", "node", "component"), "large-bucket-texts")
     counts = own.sparkSession.sparkContext.broadcast(shingle_counts(own, idf))
     schema = T.StructType([
-        T.StructField("node", T.BinaryType()), T.StructField("component", T.LongType()), T.StructField("shingle", T.LongType()),
-        T.StructField("rest", T.DoubleType()), T.StructField("total", T.DoubleType()), T.StructField("short", T.BooleanType()),
+        T.StructField("node", T.BinaryType()), T.StructField("component", T.LongType()), T.StructField("spot", T.LongType()),
+        T.StructField("rest", T.DoubleType()), T.StructField("total", T.DoubleType()), T.StructField("light", T.BooleanType()),
     ])
 
     def begin(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
-                text, key, *others = prefixes(profile(part.column(0), idf.value), part.num_rows, counts.value)
+                text, spot, *others = spots(profile(part.column(0), idf.value), part.num_rows, counts.value)
                 kept = [part.column(i).take(pa.array(text)) for i in (1, 2)]
-                yield pa.RecordBatch.from_arrays([*kept, pa.array(key.view(np.int64)), *map(pa.array, others)], schema.names)
+                yield pa.RecordBatch.from_arrays([*kept, pa.array(spot.view(np.int64)), *map(pa.array, others)], schema.names)
 
     found = stored(own.mapInArrow(begin, schema), "prefixes")
-    # components meet before their texts do, so a shingle of one large component costs no pair of its texts
-    lists = found.groupBy("shingle", "component").agg(F.max("short").alias("short"))
-    open_ = lists.groupBy("shingle").agg(F.count("*").alias("n"), F.max("short").alias("any")).where("n > 1 AND any")
-    lists = stored(lists.join(open_.select("shingle"), "shingle"), "prefix-components")
-    light = lists.where("short").select("shingle", F.col("component").alias("component_a"))
-    meet = light.join(lists.select("shingle", F.col("component").alias("component_b")), "shingle")
-    meet = meet.where("component_a <> component_b")
+    # components meet before their texts do, so a spot of one large component costs no pair of its texts
+    lists = found.groupBy("spot", "component").agg(F.max("light").alias("light"), F.min("light").alias("only"))
+    lists = lists.select("spot", "component", "light", (~F.col("only")).alias("heavy"))
+    ends = (F.min("component").alias("low"), F.max("component").alias("high"), F.max("light").alias("l"), F.max("heavy").alias("h"))
+    open_ = lists.groupBy("spot").agg(*ends).where("low <> high AND l AND h")
+    lists = stored(lists.join(open_.select("spot"), "spot"), "prefix-components")
+    lighter = lists.where("light").select("spot", F.col("component").alias("component_a"))
+    meet = lighter.join(lists.where("heavy").select("spot", F.col("component").alias("component_b")), "spot")
+    meet = stored(meet.where("component_a <> component_b"), "prefix-meets")
     left, right = (
-        found.select(*keys, *(F.col(c).alias(f"{c}_{side}") for c in ("node", "component", "rest", "total")))
-        for side, keys in (("a", ["shingle", "short"]), ("b", ["shingle"]))
+        found.where(role).select("spot", *(F.col(c).alias(f"{c}_{side}") for c in ("node", "component", "rest", "total")))
+        for side, role in (("a", "light"), ("b", "NOT light"))
     )
-    both = left.where("short").join(meet, ["shingle", "component_a"]).join(right, ["shingle", "component_b"])
+    both = left.join(meet, ["spot", "component_a"]).join(right, ["spot", "component_b"])
     shared = F.least("rest_a", "rest_b") * (1 + SIMILARITY)
     alike = (F.col("total_a") <= F.col("total_b")) & (shared >= (SIMILARITY - SLACK) * (F.col("total_a") + F.col("total_b")))
     return both.where(alike).select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b"))

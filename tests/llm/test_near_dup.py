@@ -153,17 +153,31 @@ def test_prefixes_of_alike_texts_meet():
     counts = np.bincount((found.key % np.uint64(near_dup.SHINGLE_CELLS)).astype(int), minlength=near_dup.SHINGLE_CELLS)
     text, key, rest, total, short = near_dup.prefixes(found, len(texts), counts)
     listed = {i: {k: (r, w, s) for k, r, w, s in zip(key[text == i], rest[text == i], total[text == i], short[text == i])} for i in range(len(texts))}
+    at, spot, _, _, light = near_dup.spots(found, len(texts), counts)
+    lighter, heavier = ({i: {*spot[(at == i) & (light == role)]} for i in range(len(texts))} for role in (True, False))
     alike = 0
     for i in range(len(texts)):
         for j in range(len(texts)):
             a, b = Counter(shingles(texts[i])), Counter(shingles(texts[j]))
             if i != j and sum(a.values()) <= sum(b.values()) and similarity(a, b) >= 0.8:
                 alike += 1
+                assert lighter[i] & heavier[j]
                 met = [(listed[i][k], listed[j][k]) for k in listed[i].keys() & listed[j].keys()]
                 assert any(x[2] and min(x[0], y[0]) * 1.8 >= 0.8 * (x[1] + y[1]) - 1e-3 for x, y in met)
     assert alike > 16
 
 
+def test_spots_grow_with_the_texts_not_with_pairs():
+    idf = np.ones(near_dup.WORD_BUCKETS, np.float32)
+    found = near_dup.profile(pa.array(family(7, 200, 20, 60, 16)), idf)
+    counts = np.bincount((found.key % np.uint64(near_dup.SHINGLE_CELLS)).astype(int), minlength=near_dup.SHINGLE_CELLS)
+    text, *_, light = near_dup.spots(found, 200, counts)
+    begun = near_dup.prefixes(found, 200, counts)[0]
+    assert len(text) <= 24 * len(begun)
+    # texts alike in their common passage only begin to share it too late for the bound
+    assert len({*text[light].tolist()}) <= 40
+
+
 def test_copies_of_a_text_without_words_are_one_class(spark):
     docs = [(1, "-----"), (2, "-----"), (3, "!!! ###"), (4, ""), (5, None), (6, ""), (7, "-----")]
     found = near_dup.near_duplicate_classes(frame(spark, docs)).collect()
