@@ -80,61 +80,3 @@ def compose(template: str, **parts: Column | str) -> Column:
         elif value:
             columns.append(F.lit(value))
     return F.concat(*columns)
-
-
-# Warehouse type names and their Spark names.
-_TYPE_NAMES = {
-    "FLOAT64": "DOUBLE",
-    "INT64": "BIGINT",
-    "BOOL": "BOOLEAN",
-    "BYTES": "BINARY",
-    "NUMERIC": "DECIMAL(38,9)",
-}
-# Function calls whose name or argument form differs.
-_CALLS = [
-    (re.compile(r"\bTO_JSON_STRING\s*\(\s*(\w+)\s*\)", re.I), r"to_json(struct(\1.*), map('ignoreNullFields', 'false'))"),
-    (re.compile(r"\bTO_JSON_STRING\s*\(", re.I), "to_json("),
-    (re.compile(r"\bSAFE_CAST\s*\(", re.I), "TRY_CAST("),
-    (re.compile(r"@(\w+)"), r":\1"),
-]
-_LITERAL = re.compile(
-    r"""('(?:[^'\\]|\\.|'')*'|"(?:[^"\\]|\\.)*"|`[^`]*`|--[^\n]*|/\*.*?\*/)""", re.S
-)
-_DOTTED_NAME = re.compile(r"`[\w-]+(?:\.[\w$-]+)+`")
-_CAST = re.compile(r"\b(?:SAFE_|TRY_)?CAST\s*\(", re.I)
-_CAST_TYPE = re.compile(rf"\bAS\s+({'|'.join(_TYPE_NAMES)})\s*$", re.I)
-
-
-def _cast_types(text: str) -> str:
-    """Rename the target types of casts; the same words elsewhere are names and stay."""
-    # quoted text and comments as blanks, so that parentheses and words there do not count
-    bare = _LITERAL.sub(lambda m: " " * len(m[0]), text)
-    edits = []
-    for call in _CAST.finditer(bare):
-        depth, at = 1, call.end()
-        while at < len(bare) and depth:
-            depth += {"(": 1, ")": -1}.get(bare[at], 0)
-            at += 1
-        found = _CAST_TYPE.search(bare[call.end() : at - 1]) if not depth else None
-        if found:
-            edits.append((call.end() + found.start(1), call.end() + found.end(1), _TYPE_NAMES[found[1].upper()]))
-    for start, end, name in sorted(edits, reverse=True):
-        text = text[:start] + name + text[end:]
-    return text
-
-
-def to_spark_sql(text: str) -> str:
-    """Rewrite the warehouse forms that report templates use; quoted text and comments are left alone.
-
-    Target types of casts, ``SAFE_CAST``, ``TO_JSON_STRING``, ``@name`` parameters, and dotted names in one pair of
-    backticks. ``JSON_VALUE`` and ``JSON_QUERY`` are SQL functions, see ``functions.json.register_json_functions``.
-    """
-    parts = _LITERAL.split(_cast_types(text))
-    for i, part in enumerate(parts):
-        if _DOTTED_NAME.fullmatch(part):
-            parts[i] = ".".join(f"`{p}`" for p in part.strip("`").split("."))
-        elif i % 2 == 0:
-            for pattern, replacement in _CALLS:
-                part = pattern.sub(replacement, part)
-            parts[i] = part
-    return "".join(parts)

@@ -14,7 +14,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerflow.functions.json import register_json_functions
-from ledgerflow.functions.tokens import RunTokens, render_sql, to_spark_sql
+from ledgerflow.functions.sql_forms import to_spark_sql
+from ledgerflow.functions.tokens import RunTokens, render_sql
 from ledgerflow.operators.batches import json_batches
 from ledgerflow.plans.config import DatasourceRef, OutputSpec, ReportConfig, SqlStep
 from ledgerflow.plans.control import COMPLETED, FAILED

@@ -7,7 +7,8 @@ from datetime import date
 
 from pyspark.sql import functions as F
 
-from ledgerflow.functions.tokens import RunTokens, to_spark_sql
+from ledgerflow.functions.sql_forms import to_spark_sql
+from ledgerflow.functions.tokens import RunTokens
 from ledgerflow.plans.config import DatasourceRef, EmailSpec, OutputSpec, ReportConfig, SqlStep
 from ledgerflow.plans.notify import notification_rows
 from ledgerflow.plans.records import read_records
@@ -71,6 +72,34 @@ def sql_bound_parameters(spark, sf_dir):
     return spark.sql(text, args=args, orders=table(spark, sf_dir, "orders"))
 
 
+@query(
+    """
+SELECT CAST(date_trunc('month', l_shipdate) AS DATE) AS "month of shipment", count(*) AS n_lines,
+       count(*) FILTER (WHERE date_diff('day', DATE '1995-06-17', CAST(l_shipdate AS DATE)) > 20) AS n_late,
+       sum(CAST(l_quantity AS BIGINT)) AS quantity,
+       round(sum(l_extendedprice) / nullif(sum(l_quantity) - 100, 0), 6) AS unit_price,
+       max(CAST(l_shipdate + INTERVAL 3 MONTH AS DATE)) AS last_claim, min(CAST(l_shipdate - INTERVAL 14 DAY AS DATE)) AS first_pick,
+       max(l_orderkey // 7) AS weeks, bool_or(starts_with(l_returnflag, 'R')) AS returned
+FROM lineitem WHERE l_returnflag <> 'CAST(l_quantity AS INT64)' GROUP BY 1
+"""
+)
+def sql_nested_forms(spark, sf_dir):
+    """Warehouse forms inside each other, beside comments, quoted names and quoted text that look like them."""
+    text = to_spark_sql(
+        """
+        SELECT DATE_TRUNC(l_shipdate, MONTH) AS `month of shipment`, COUNT(*) AS n_lines, -- COUNTIF(is kept here
+               COUNTIF(DATE_DIFF(l_shipdate, DATE '1995-06-17', DAY) > 20) AS n_late,
+               SUM(CAST(SAFE_CAST(CAST(l_quantity AS STRING) AS FLOAT64) AS INT64)) AS quantity,
+               ROUND(SAFE_DIVIDE(SUM(l_extendedprice), SUM(l_quantity) - @less), 6) AS unit_price,
+               MAX(DATE_ADD(l_shipdate, INTERVAL 1 QUARTER)) AS last_claim,
+               MIN(DATE_SUB(l_shipdate, INTERVAL (1 + 1) WEEK)) AS first_pick, /* DIV(a, ( */
+               MAX(DIV(l_orderkey, 7)) AS weeks, LOGICAL_OR(STARTS_WITH(l_returnflag, 'R')) AS returned
+        FROM {lineitem} WHERE l_returnflag <> 'CAST(l_quantity AS INT64)' GROUP BY 1
+        """
+    )
+    return spark.sql(text, args={"less": 100}, lineitem=table(spark, sf_dir, "lineitem"))
+
+
 #: How customers buy: for each priority, who orders repeatedly and how long they stay.
 _LOYALTY_SQL = """
 SELECT priority, count(*) AS customers, count_if(n > 1) AS returning, avg(datediff(last_day, first_day)) AS mean_days,

@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerflow.functions.json import register_json_functions
-from ledgerflow.functions.tokens import RunTokens, render_sql, to_spark_sql
+from ledgerflow.functions.sql_forms import to_spark_sql
+from ledgerflow.functions.tokens import RunTokens, render_sql
 from ledgerflow.sources.csv import read_csv_source
 from ledgerflow.sources.pages import DEFAULT_PAGE_SIZE, explode_pages, trim_pages
 from ledgerflow.sources.paths import resolve_path

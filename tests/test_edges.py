@@ -8,7 +8,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from ledgerflow.functions.business_days import effective_date
-from ledgerflow.functions.tokens import to_spark_sql
+from ledgerflow.functions.sql_forms import to_spark_sql
 from ledgerflow.operators.chain import ChainOptions, run_chain
 from ledgerflow.operators.grouping import Aggregation, group_by
 from ledgerflow.operators.retry import RetryPolicy, map_rows_with_retry

@@ -6,7 +6,8 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from ledgerflow.functions.json import json_query, json_value, register_json_functions
-from ledgerflow.functions.tokens import RunTokens, render_sql, to_spark_sql
+from ledgerflow.functions.sql_forms import to_spark_sql
+from ledgerflow.functions.tokens import RunTokens, render_sql
 from ledgerflow.plans.config import (
     ConfigError,
     DatasourceRef,
@@ -212,6 +213,42 @@ def test_warehouse_sql_forms(spark):
     assert json.loads(row["t"])["n"] == 3 and str(row["day"]) == "2024-01-31"
 
 
+@pytest.mark.parametrize(
+    ("text", "form"),
+    [
+        ("SELECT PARSE_DATE('%F', d) FROM t", "PARSE_DATE"),
+        ("SELECT f(1, DATE_DIFF(a, b, MONTH))", "DATE_DIFF by MONTH"),
+        ("SELECT DATE_TRUNC(a, WEEK)", "DATE_TRUNC to WEEK"),
+        ("SELECT DATE_ADD(a, INTERVAL 2 HOUR)", "DATE_ADD by HOUR"),
+        ("SELECT SAFE.SUBSTR(a, -1)", "SAFE.SUBSTR"),
+        ("SELECT CAST(a AS STRING FORMAT 'YYYY')", "FORMAT"),
+        ("SELECT (a", "open"),
+        ("SELECT a) FROM (b", "closing"),
+    ],
+)
+def test_refused_warehouse_forms(text, form):
+    with pytest.raises(ValueError, match=form):
+        to_spark_sql(text)
+
+
+def test_nested_warehouse_forms(spark):
+    assert to_spark_sql("CAST(f(CAST(a AS INT64)) AS ARRAY<FLOAT64>), CAST ( b AS NUMERIC(10, 2) )") == (
+        "CAST(f(CAST(a AS BIGINT)) AS ARRAY<DOUBLE>), CAST ( b AS DECIMAL(10, 2) )"
+    )
+    # names, quoted text, comments and functions of a schema are not forms; Spark's own calls stay
+    same = (
+        "SELECT format, `PARSE_DATE(x`, 'UNNEST(' AS u, s.countif(x), date_add(d, 3), date_trunc('MONTH', d), last_day(d),\n"
+        "  max(int64) OVER (PARTITION BY bool) -- SAFE.F(\nFROM (SELECT * FROM t) /* ( */ WHERE x IN (1, 2)"
+    )
+    assert to_spark_sql(same) == same
+    text = (
+        "SELECT DATE_SUB(DATE '2024-03-31', INTERVAL 1 MONTH) a, DATE_ADD(DATE '2024-02-29', INTERVAL -1 YEAR) b, "
+        "DATE_TRUNC(DATE '2024-02-29', ISOWEEK) c, LAST_DAY(DATE '2024-02-03', MONTH) d, DIV(7, 1 + 1) + 1 e, SAFE_DIVIDE(1, 0) f"
+    )
+    found = spark.sql(to_spark_sql(text)).first()
+    assert [str(v) for v in found] == ["2024-02-29", "2023-02-28", "2024-02-26", "2024-02-29", "4", "None"]
+
+
 def test_json_paths_tell_text_from_objects(spark):
     df = spark.createDataFrame([('{"a": {"b": 1}, "s": "{x", "n": null}',), ("bad",)], "j string")
     got = df.select(
