@@ -5,9 +5,9 @@ the lines before and after it. Two states and their transitions form the chain;
 probability of being good, and the mean of these, weighted by length, is the document's score. In training the lines of
 a document carry its label.
 
-The weights are fitted on at most ``TRAIN_DOCS`` labelled documents, chosen by a hash of their id; their features are
-made in the tasks that read the texts, so what reaches the driver is bounded by that number and ``TRAIN_LINES`` lines
-of each. Scoring covers every line of every document.
+The weights are fitted on at most ``TRAIN_DOCS`` labelled documents, chosen by a hash of their id, of up to ``TRAIN_LONGEST``
+lines each and ``TRAIN_LINES`` in all; these bound what reaches the driver, and rows are chosen by them, never parts of a
+text. Features are made in the tasks that read the texts. Scoring covers every line of every document.
 
 Cases: a null or empty text, and one without words, is a chain of one empty line; labels that are null, or of documents
 not there, teach nothing; without labels of both kinds every score is 0.5; repeated documents are each scored on their
@@ -27,9 +27,9 @@ from pyspark.sql import types as T
 
 from ledgerflow.llm.text import BLANK_WORDS, Fingerprints, Words, blob, map_texts, pick, slices
 
-#: Labelled documents that the weights are fitted on at most, and lines of each (long documents are thinned evenly).
+#: Labelled documents that the weights are fitted on at most, lines of the longest, and lines of all of them.
 TRAIN_DOCS = 6_000
-TRAIN_LINES = 60
+TRAIN_LONGEST, TRAIN_LINES = 1_000, 240_000
 #: From this score on a document is predicted good.
 GOOD = 0.7
 
@@ -235,11 +235,12 @@ def fit(features: np.ndarray, labels: np.ndarray, first: np.ndarray, rounds: int
     inner[first[:-1]] = False
     at = np.flatnonzero(inner)
     np.add.at(seen, (line_labels[at - 1], line_labels[at]), 1)
-    x = features.astype(np.float64)
+    x = features.astype(np.float32)
     step, moment = np.zeros(len(model.weights) + 4), np.zeros(len(model.weights) + 4)
     for k in range(1, rounds + 1):
-        good, pairs, _ = marginals(x @ model.weights, model.moves, first)
-        slope = np.concatenate([x.T @ (balance * (line_labels - good)), (seen - pairs).ravel()]) / len(line_labels)
+        good, pairs, _ = marginals((x @ model.weights.astype(np.float32)).astype(np.float64), model.moves, first)
+        error = (balance * (line_labels - good)).astype(np.float32)
+        slope = np.concatenate([error @ x, (seen - pairs).ravel()]) / len(line_labels)
         slope -= 1e-4 * np.concatenate([model.weights, model.moves.ravel()])
         step = 0.9 * step + 0.1 * slope
         moment = 0.99 * moment + 0.01 * slope**2
@@ -257,9 +258,14 @@ def remainder(doc_id: str, modulus: int) -> Column:
 
 
 def training_rows(
-    docs: DataFrame, labels: DataFrame, label: str, learn: Column, bound: int, text: str = "text"
+    docs: DataFrame, labels: DataFrame, label: str, learn: Column, bound: int, size: Column, longest: int, volume: int,
+    text: str = "text",
 ) -> DataFrame:
-    """(text, label) of at most about ``bound`` labelled documents: the whole set, or a share of it by a hash of the id."""
+    """(text, label) of at most about ``bound`` labelled documents: the whole set, or a share of it by a hash of the id.
+
+    Of these, in the order of that hash, the ones whose ``size`` (of the column ``text``) is at most ``longest``, while
+    all together are at most ``volume``; the smallest of a label that would have none. Their texts are whole.
+    """
     known = (
         pick(labels, "doc_id", label)
         .toDF("doc_id", "label")
@@ -268,9 +274,25 @@ def training_rows(
         .distinct()
     )
     share = bound / max(bound, known.count())
-    chosen = known.where(F.pmod(F.xxhash64("doc_id", F.lit(label)), F.lit(1_000_000)) < int(share * 1_000_000))
+    place = F.xxhash64("doc_id", F.lit(label))
+    chosen = known.where(F.pmod(place, F.lit(1_000_000)) < int(share * 1_000_000))
     # at most about ``bound`` rows of two numbers
-    return pick(docs, "doc_id", text).join(F.broadcast(chosen), "doc_id").select(F.col(text).alias("text"), "label")
+    source = pick(docs, "doc_id", text).toDF("doc_id", "text")
+    found = source.join(F.broadcast(chosen), "doc_id").withColumn("size", F.coalesce(size, F.lit(0)).cast("long"))
+    sizes = found.groupBy("doc_id", "label", place.alias("place")).agg(F.sum("size").alias("size")).collect()
+    sizes.sort(key=lambda r: (r.place, r.doc_id, r.label))
+    kept, total = [], 0
+    for row in sizes:
+        if row.size <= longest and total + row.size <= volume:
+            kept.append((row.doc_id, row.label))
+            total += row.size
+    for value in {r.label for r in sizes} - {v for _, v in kept}:
+        least = min((r for r in sizes if r.label == value), key=lambda r: r.size)
+        kept.append((least.doc_id, value))
+    if len(kept) < len(sizes):
+        few = docs.sparkSession.createDataFrame(kept, chosen.schema)
+        found = source.join(F.broadcast(few), "doc_id")
+    return found.select("text", "label")
 
 
 def train(docs: DataFrame, labels: DataFrame, learn: Column, label: str = "quality", text: str = "text") -> Model:
@@ -289,13 +311,14 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, label: str = "quali
                 found, weights = [], []
                 for d in range(part.num_rows):
                     low, high = lines.first[d], lines.first[d + 1]
-                    step = -(-(high - low) // TRAIN_LINES)
-                    found.append(lines.features[low:high:step].astype(np.float16).tobytes())
-                    weights.append(lines.weight[low:high:step].astype(np.float32).tobytes())
+                    found.append(lines.features[low:high].astype(np.float16).tobytes())
+                    weights.append(lines.weight[low:high].astype(np.float32).tobytes())
                 columns = [part.column(1), pa.array(found, pa.binary()), pa.array(weights, pa.binary())]
                 yield pa.RecordBatch.from_arrays(columns, schema.names)
 
-    rows = training_rows(docs, labels, label, learn, TRAIN_DOCS, text).mapInArrow(measure, schema).collect()
+    size = F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit(""))) + 1
+    chosen = training_rows(docs, labels, label, learn, TRAIN_DOCS, size, TRAIN_LONGEST, TRAIN_LINES, text)
+    rows = chosen.mapInArrow(measure, schema).collect()
     rows.sort(key=lambda r: (r.label, r.lines))
     if not rows:
         return fit(np.zeros((0, FEATURES)), np.zeros(0, int), np.zeros(1, int))

@@ -6,8 +6,9 @@ response of each filter, cut off at zero, goes into a logistic output. The thres
 labelled documents that training left aside, and the score is shifted so that it is 0.5 there. The language is read off
 the text's own common words; the table's ``lang`` is never used.
 
-Training takes at most ``TRAIN_TOXIC`` and ``TRAIN_CLEAN`` labelled documents, chosen by a hash of their id, and of each
-at most ``TRAIN_WORDS`` words in evenly spaced stretches. Scoring covers every word of every document.
+Training takes at most ``TRAIN_TOXIC`` and ``TRAIN_CLEAN`` labelled documents, chosen by a hash of their id, of up to
+``TRAIN_LONGEST`` bytes each and ``TRAIN_BYTES`` of either kind; rows are chosen by these bounds, never parts of a text.
+Training, thresholds and scoring cover every word of their documents.
 
 Cases: a null or empty text has only padding and gets the score of that; labels that are null, or of documents not
 there, teach nothing; without labels of both kinds every score is 0.25, so nothing is called toxic; repeated
@@ -30,7 +31,8 @@ from ledgerflow.llm.line_crf import remainder, training_rows
 from ledgerflow.llm.text import ALNUM_WORDS, LOWER, Fingerprints, Words, blob, map_texts, pick, slices
 
 TRAIN_TOXIC, TRAIN_CLEAN = 3_000, 5_000
-TRAIN_WORDS, TRAIN_STRETCH = 2_000, 100
+#: Bytes of the longest training text, and of all toxic or all clean ones.
+TRAIN_LONGEST, TRAIN_BYTES = 1 << 20, 24 << 20
 BUCKETS = 1 << 16
 SIZE = 12
 WIDTHS = (1, 2, 3)
@@ -253,10 +255,7 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, label: str = "toxic
                 tokens = tokens_of(part.column(0))
                 columns: list[list[bytes]] = [[], []]
                 for d in range(part.num_rows):
-                    at = np.arange(tokens.first[d], tokens.first[d + 1])
-                    if len(at) > TRAIN_WORDS:
-                        starts = np.linspace(0, len(at) - TRAIN_STRETCH, TRAIN_WORDS // TRAIN_STRETCH).astype(int)
-                        at = np.unique((starts[:, None] + np.arange(TRAIN_STRETCH)).ravel()) + at[0]
+                    at = slice(tokens.first[d], tokens.first[d + 1])
                     columns[0].append(tokens.words[at].tobytes())
                     columns[1].append(tokens.heads[at].tobytes())
                 arrays = [part.column(1), pa.array(tokens.language.astype(np.int32))]
@@ -265,7 +264,8 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, label: str = "toxic
     known = pick(labels, "doc_id", label)
     rows = []
     for value, bound in ((1, TRAIN_TOXIC), (0, TRAIN_CLEAN)):
-        chosen = training_rows(docs, known.where(F.col(label) == value), label, learn, bound, text)
+        of = known.where(F.col(label) == value)
+        chosen = training_rows(docs, of, label, learn, bound, F.octet_length("text"), TRAIN_LONGEST, TRAIN_BYTES, text)
         rows += chosen.mapInArrow(measure, schema).collect()
     rows.sort(key=lambda r: (r.label, r.words))
     first = np.concatenate([[0], np.cumsum([len(r.words) // 4 for r in rows])]).astype(np.int64)

@@ -4,6 +4,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerflow.llm import line_crf
@@ -74,3 +75,23 @@ def test_without_labels_and_without_rows(spark):
     docs = frame(spark, [(1, "some text"), (2, None)])
     assert {r.score for r in line_crf.classify_quality(docs, frame(spark, [], LABELS)).collect()} == {0.5}
     assert line_crf.classify_quality(frame(spark, [], DOCS), frame(spark, [(1, 1, 0)], LABELS)).collect() == []
+
+
+def test_training_rows_are_chosen_whole_within_their_bounds(spark):
+    docs = frame(spark, [(i, "line\n" * (i % 7)) for i in range(60)] + [(60, "x\n" * 500), (61, None)])
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)] + [(60, 1), (61, 0), (99, 1)], "doc_id long, quality int")
+    lines = F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit(""))) + 1
+
+    def chosen(bound, longest, volume):
+        found = line_crf.training_rows(docs, labels, "quality", F.lit(True), bound, lines, longest, volume)
+        return sorted(((r.text, r.label) for r in found.collect()), key=repr)
+
+    whole = {(r.text, None) for r in docs.collect()}
+    everything = chosen(100, 1_000, 10_000)
+    assert len(everything) == 62 and {(t, None) for t, _ in everything} == whole
+    assert ("x\n" * 500, 1) not in (short := chosen(100, 100, 10_000)) and len(short) == 61
+    few = chosen(100, 100, 40)
+    assert 0 < sum((t or "").count("\n") + 1 for t, _ in few) <= 41 and all((t, None) in whole for t, _ in few)
+    assert few == chosen(100, 100, 40)
+    # no label is left without a document
+    assert {label for _, label in chosen(100, 0, 0)} == {0, 1}
