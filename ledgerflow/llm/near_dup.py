@@ -20,8 +20,9 @@ The rest: where a bucket still holds texts of several components, its pairs acro
 ``WHOLE`` texts gives all of them. The texts of larger ones meet by prefixes: with shingles from rare to frequent, what
 two texts share begins at one shingle and weighs no more than what either has from there on, so a pair is left out only
 if that bound proves it less than ``SIMILARITY``. What is left from a shingle on bounds the weight of the other text from
-both sides, so texts meet at a shingle and a cell of both weights, components before their texts. So every pair that
-shares a band is verified, proved unlike, or already in one component.
+both sides, so texts meet at a shingle and a cell of both weights. Shingles that only one component begins with are left
+out first, and the texts of one shingle, component and cell meet the others as one group before they do so themselves. So
+every pair that shares a band is verified, proved unlike, or already in one component.
 
 Cases: a null text is empty, and each empty text is a class of its own; texts without words are alike only if equal;
 repeated rows and equal texts share a class; a class is named by its smallest id, null ids only if it has no other.
@@ -275,12 +276,13 @@ def prefixes(found: Profile, n: int, counts: np.ndarray) -> tuple[np.ndarray, ..
     return text[used], key[used], rest[used], total[used], short[used]
 
 
-def spots(found: Profile, n: int, counts: np.ndarray) -> tuple[np.ndarray, ...]:
-    """(text, spot, rest, total, light) of the places where an alike pair can begin to share.
+def ranges(found: Profile, n: int, counts: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(text, shingle, rest, total, cell, light_to, heavy_from, heavy_to) of the shingles where an alike pair can begin to share.
 
-    A spot is a shingle, a weight cell of the pair's lighter text and one of its heavier; ``light`` says which of the two
-    the text would be. From a shingle on, the lighter text of an alike pair has ``rest``, so the heavier one weighs no
-    more than ``rest * (1 + SIMILARITY) / SIMILARITY - total``, and the lighter one no more than the same of the heavier.
+    ``cell`` is the text's weight cell. As the lighter text of a pair it meets heavier ones of cells up to ``light_to``, as
+    the heavier one it meets lighter ones from ``heavy_from`` to ``heavy_to``; an end below its start stands for none. From
+    a shingle on, the lighter text of an alike pair has ``rest``, so the heavier one weighs no more than
+    ``rest * (1 + SIMILARITY) / SIMILARITY - total``, and the lighter one no more than the same of the heavier.
     """
     text, key, rest, total, short = prefixes(found, n, counts)
     live = counts[(key % np.uint64(SHINGLE_CELLS)).astype(np.int64)] > 1  # a shingle of one text begins no pair
@@ -291,50 +293,94 @@ def spots(found: Profile, n: int, counts: np.ndarray) -> tuple[np.ndarray, ...]:
 
     bound = (rest * (1 + SIMILARITY) / (SIMILARITY - SLACK) - total) * (1 + SLACK)
     own, most = cell(total), cell(bound)
+    light_to, heavy_from = np.where(short, most, -1), cell(total * (SIMILARITY - 4 * SLACK))
+    return text, key, rest, total, own, light_to, heavy_from, np.minimum(own, most)
+
+
+def meeting_places(
+    key: np.ndarray, own: np.ndarray, light_to: np.ndarray, heavy_from: np.ndarray, heavy_to: np.ndarray
+) -> tuple[np.ndarray, ...]:
+    """(row, spot, light): a spot is a shingle, a weight cell of the pair's lighter text and one of its heavier.
+
+    ``light`` says which of the two the row would be.
+    """
     # the heavier text's cells for a light one, the lighter text's for a heavy one
-    low = np.concatenate([own[short], cell(total * (SIMILARITY - 4 * SLACK))])
-    high = np.concatenate([most[short], np.minimum(own, most)])
-    light = np.concatenate([np.ones(int(short.sum()), bool), np.zeros(len(own), bool)])
-    row = np.concatenate([np.flatnonzero(short), np.arange(len(own))])
+    low, high = np.concatenate([own, heavy_from]), np.concatenate([light_to, heavy_to])
+    row, light = np.tile(np.arange(len(own)), 2), np.repeat([True, False], len(own))
     times = np.maximum(high - low + 1, 0)
     other = np.repeat(low, times) + np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
     row, light = np.repeat(row, times), np.repeat(light, times)
     first, second = np.where(light, own[row], other), np.where(light, other, own[row])
-    spot = mix(key[row] + mix(((first << 32) + second).astype(np.uint64)))
+    return row, mix(key[row] + mix(((first << 32) + second).astype(np.uint64))), light
+
+
+def spots(found: Profile, n: int, counts: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(text, spot, rest, total, light) of the places where an alike pair can begin to share."""
+    text, key, rest, total, *cells = ranges(found, n, counts)
+    row, spot, light = meeting_places(key, *cells)
     return text[row], spot, rest[row], total[row], light
 
 
-def _prefix_pairs(members: DataFrame, texts: DataFrame, idf) -> DataFrame:
-    """Pairs (a, b) of the members of different components that their prefixes don't prove unlike."""
-    own = stored(texts.join(members, "node").select("text", "node", "component"), "large-bucket-texts")
+def _open_prefixes(own: DataFrame, idf) -> DataFrame:
+    """A row for each text and shingle where it can begin to share with a text of another component."""
     counts = own.sparkSession.sparkContext.broadcast(shingle_counts(own, idf))
     schema = T.StructType([
-        T.StructField("node", T.BinaryType()), T.StructField("component", T.LongType()), T.StructField("spot", T.LongType()),
-        T.StructField("rest", T.DoubleType()), T.StructField("total", T.DoubleType()), T.StructField("light", T.BooleanType()),
+        T.StructField("node", T.BinaryType()), T.StructField("component", T.LongType()), T.StructField("shingle", T.LongType()),
+        T.StructField("rest", T.DoubleType()), T.StructField("total", T.DoubleType()), T.StructField("cell", T.LongType()),
+        T.StructField("light_to", T.LongType()), T.StructField("heavy_from", T.LongType()), T.StructField("heavy_to", T.LongType()),
     ])
 
     def begin(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
-                text, spot, *others = spots(profile(part.column(0), idf.value), part.num_rows, counts.value)
+                text, key, *others = ranges(profile(part.column(0), idf.value), part.num_rows, counts.value)
                 kept = [part.column(i).take(pa.array(text)) for i in (1, 2)]
-                yield pa.RecordBatch.from_arrays([*kept, pa.array(spot.view(np.int64)), *map(pa.array, others)], schema.names)
+                yield pa.RecordBatch.from_arrays([*kept, pa.array(key.view(np.int64)), *map(pa.array, others)], schema.names)
 
     found = stored(own.mapInArrow(begin, schema), "prefixes")
-    # components meet before their texts do, so a spot of one large component costs no pair of its texts
-    lists = found.groupBy("spot", "component").agg(F.max("light").alias("light"), F.min("light").alias("only"))
-    lists = lists.select("spot", "component", "light", (~F.col("only")).alias("heavy"))
-    ends = (F.min("component").alias("low"), F.max("component").alias("high"), F.max("light").alias("l"), F.max("heavy").alias("h"))
-    open_ = lists.groupBy("spot").agg(*ends).where("low <> high AND l AND h")
-    lists = stored(lists.join(open_.select("spot"), "spot"), "prefix-components")
-    lighter = lists.where("light").select("spot", F.col("component").alias("component_a"))
-    meet = lighter.join(lists.where("heavy").select("spot", F.col("component").alias("component_b")), "spot")
-    meet = stored(meet.where("component_a <> component_b"), "prefix-meets")
+    # what only one component begins with joins nothing, however many texts that has
+    ends = (F.min("component").alias("low"), F.max("component").alias("high"), F.max(F.col("light_to") >= F.col("cell")).alias("light"))
+    open_ = found.groupBy("shingle").agg(*ends).where("low <> high AND light")
+    return stored(found.join(open_.select("shingle"), "shingle", "left_semi"), "open-prefixes")
+
+
+def _group_spots(found: DataFrame) -> DataFrame:
+    """(shingle, component, cell, spot, light): the spots of the texts of each shingle, component and weight cell together."""
+    ends = (F.max("light_to").alias("light_to"), F.min("heavy_from").alias("heavy_from"), F.max("heavy_to").alias("heavy_to"))
+    groups = found.groupBy("shingle", "component", "cell").agg(*ends)
+    schema = T.StructType([
+        T.StructField("shingle", T.LongType()), T.StructField("component", T.LongType()), T.StructField("cell", T.LongType()),
+        T.StructField("spot", T.LongType()), T.StructField("light", T.BooleanType()),
+    ])
+
+    def lay_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            key, _, *cells = (c.to_numpy() for c in batch.columns)
+            row, spot, light = meeting_places(key.view(np.uint64), *cells)
+            kept = [batch.column(i).take(pa.array(row)) for i in range(3)]
+            yield pa.RecordBatch.from_arrays([*kept, pa.array(spot.view(np.int64)), pa.array(light)], schema.names)
+
+    return groups.mapInArrow(lay_out, schema)
+
+
+def _prefix_pairs(members: DataFrame, texts: DataFrame, idf) -> DataFrame:
+    """Pairs (a, b) of the members of different components that their prefixes don't prove unlike."""
+    found = _open_prefixes(stored(texts.join(members, "node").select("text", "node", "component"), "large-bucket-texts"), idf)
+    # groups meet before their texts do, so a spot of one large component costs no pair of its texts
+    lists = stored(_group_spots(found), "prefix-groups")
+    ends = (F.min("component").alias("low"), F.max("component").alias("high"), F.max("light").alias("some"), F.min("light").alias("only"))
+    open_ = lists.groupBy("spot").agg(*ends).where("low <> high AND some AND NOT only")
+    lists = stored(lists.join(open_.select("spot"), "spot", "left_semi"), "open-groups")
     left, right = (
-        found.where(role).select("spot", *(F.col(c).alias(f"{c}_{side}") for c in ("node", "component", "rest", "total")))
+        lists.where(role).select("spot", "shingle", *(F.col(c).alias(f"{c}_{side}") for c in ("component", "cell")))
         for side, role in (("a", "light"), ("b", "NOT light"))
     )
-    both = left.join(meet, ["spot", "component_a"]).join(right, ["spot", "component_b"])
+    meet = stored(left.join(right, ["spot", "shingle"]).where("component_a <> component_b").drop("spot"), "prefix-meets")
+    left, right = (
+        found.where(role).select("shingle", *(F.col(c).alias(f"{c}_{side}") for c in ("node", "component", "cell", "rest", "total")))
+        for side, role in (("a", "light_to >= cell"), ("b", "heavy_to >= heavy_from"))
+    )
+    both = left.join(meet, ["shingle", "component_a", "cell_a"]).join(right, ["shingle", "component_b", "cell_b"])
     shared = F.least("rest_a", "rest_b") * (1 + SIMILARITY)
     alike = (F.col("total_a") <= F.col("total_b")) & (shared >= (SIMILARITY - SLACK) * (F.col("total_a") + F.col("total_b")))
     return both.where(alike).select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b"))

@@ -184,3 +184,39 @@ def test_copies_of_a_text_without_words_are_one_class(spark):
     assert {r.doc_id: (r.class_id, r.class_size) for r in found} == {
         1: (1, 3), 2: (1, 3), 7: (1, 3), 3: (3, 1), 4: (4, 1), 5: (5, 1), 6: (6, 1)
     }
+
+
+def test_a_large_component_makes_rows_by_its_texts_and_places_by_its_weights(spark, monkeypatch):
+    base, rng = prose(70, 200, 100_000).split(), random.Random(70)
+    texts, component = [], []
+    for i in range(120):  # near copies, already one component
+        texts.append(" ".join([*base[:190], *(f"edit{i}x{k}" for k in range(10 + i % 3))]))
+        component.append(1)
+    for i in range(6):  # some of these belong to it, and to each other
+        texts.append(" ".join([*base[: 120 + 12 * i], *(f"far{i}x{k}" for k in range(70 - 12 * i))]))
+        component.append(2 + i)
+    texts.append(" ".join([*base[:90], *prose(71, 110, 100_000).split()]))
+    component.append(9)
+    order = rng.sample(range(len(texts)), len(texts))
+    rows = [(i.to_bytes(2, "big"), component[i], texts[i]) for i in order]
+    own = spark.createDataFrame(rows, "node binary, component long, text string")
+    made, store = Counter(), near_dup.stored
+
+    def spy(df, label):
+        found = store(df, label)
+        made[label] += found.count()
+        return found
+
+    monkeypatch.setattr(near_dup, "stored", spy)
+    idf = np.ones(near_dup.WORD_BUCKETS, np.float32)
+    pairs = near_dup._prefix_pairs(own.drop("text"), own.drop("component"), spark.sparkContext.broadcast(idf))
+    listed = [(int.from_bytes(r.a, "big"), int.from_bytes(r.b, "big")) for r in pairs.collect()]
+    found = [dict(shingles(t)) for t in texts]
+    across = [(i, j) for j in range(len(texts)) for i in range(j) if component[i] != component[j]]
+    alike = {p for p in across if similarity(found[p[0]], found[p[1]]) >= 0.8}
+    assert len({p for p in alike if p[1] >= 120}) > 100
+    assert alike <= {*listed} <= {*across}
+    profile = near_dup.profile(pa.array(texts), idf)
+    counts = np.bincount((profile.key % np.uint64(near_dup.SHINGLE_CELLS)).astype(int), minlength=near_dup.SHINGLE_CELLS)
+    begun = near_dup.prefixes(profile, len(texts), counts)[0]
+    assert max(made.values()) <= len(begun)
