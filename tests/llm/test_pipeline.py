@@ -2,11 +2,12 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from ledgerflow.llm import packing, pii
+from ledgerflow.llm import near_dup, packing, pii
 from tests.llm.helpers import prose
 from tests.llm.test_line_crf import LABELS
 from tests.llm.test_line_crf import text as lines
@@ -101,3 +102,24 @@ def test_a_run_leaves_its_last_stage_only(spark, sf_dir):
     corpus_pipeline.run(spark, sf_dir).count()
     left = set(os.listdir(folder)) - before
     assert len(left) == 1 and next(iter(left)).startswith("stage-packing")
+
+
+def test_near_duplicate_stage_makes_rows_by_the_texts_of_large_groups(spark, tmp_path, monkeypatch):
+    common, made, store = prose(80, 300, 100_000).split(), {}, near_dup.stored
+    copies = [" ".join([*common, *(f"own{k}" for k in range(26)), *(f"edit{i}x{k}" for k in range(4))]) for i in range(150)]
+    others = [" ".join([*common, *(f"other{i}x{k}" for k in range(26))]) for i in range(60)]
+    texts = [t for pair in zip(copies, others + copies[:90]) for t in pair]
+    docs = spark.createDataFrame([(i, t, "en", "src", len(t)) for i, t in enumerate(texts)], DOCUMENTS)
+
+    def spy(df, label):
+        found = store(df, label)
+        made[label] = made.get(label, 0) + found.count()
+        return found
+
+    monkeypatch.setattr(near_dup, "stored", spy)
+    kept = {r.text for r in corpus_pipeline.near_duplicates(spark, docs, str(tmp_path)).collect()}
+    assert kept == {copies[0], *others}
+    distinct = sorted({*texts})
+    profile = near_dup.profile(pa.array(distinct), near_dup.word_weights(docs))
+    counts = np.bincount((profile.key % np.uint64(near_dup.SHINGLE_CELLS)).astype(int), minlength=near_dup.SHINGLE_CELLS)
+    assert 0 < made["prefixes"] <= len(near_dup.prefixes(profile, len(distinct), counts)[0])
