@@ -27,7 +27,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -100,7 +100,8 @@ def _buckets(prints: DataFrame) -> DataFrame:
     rows = tables.withColumn("shared", F.col("print").bitwiseAND(F.col("mask")))
     sizes = rows.groupBy("mask", "shared").agg(F.count("*").alias("n"), F.min("print").alias("low"), F.max("print").alias("high"))
     found = stored(sizes.where("n > 1"), "simhash-buckets")
-    members = stored(rows.join(found, ["mask", "shared"]), "simhash-members")
+    # the planner's estimate leaves out what explode multiplies, so it would broadcast the rows
+    members = stored(rows.hint("merge").join(found, ["mask", "shared"]), "simhash-members")
     discard(found)
     return members
 
@@ -163,8 +164,9 @@ def _midpoint_links(prints: DataFrame) -> DataFrame:
     first = prints.select("print", both.alias("i")).withColumn("value", _flipped(F.col("print"), F.col("i")))
     second = first.select("print", "i", "value", both.alias("j")).where("i < j")
     around = second.select("print", _flipped(F.col("value"), F.col("j")).alias("value")).union(prints.select("print", "print"))
-    least = around.groupBy("value").agg(F.min("print").alias("a"), F.max("print").alias("b")).where("a <> b")
-    return around.join(least.select("value", "a"), "value").where("a <> print").select("a", F.col("print").alias("b")).distinct()
+    # a window and no join: the planner takes the rows around for as few as the fingerprints, and would broadcast them
+    least = F.min("print").over(Window.partitionBy("value"))
+    return around.select(least.alias("a"), F.col("print").alias("b")).where("a <> b").distinct()
 
 
 def components_of(prints: DataFrame) -> DataFrame | None:

@@ -4,6 +4,7 @@ import numpy as np
 import xxhash
 
 from ledgerflow.llm import queries, simhash
+from ledgerflow.llm.storage import stored
 from tests.llm.helpers import clashing, frame, prose
 
 BLANKS = " \t\n\x0b\x0c\r"
@@ -93,6 +94,26 @@ def test_large_buckets_lose_no_link(spark, monkeypatch):
     assert len(set(want.values())) > 20
 
 
+def test_exploded_rows_reach_no_driver(spark, monkeypatch):
+    """A small stored table is one that the planner would broadcast, with all the rows that are made of each fingerprint."""
+    plans = []
+
+    def planned(df, label):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return stored(df, label)
+
+    monkeypatch.setattr(simhash, "WHOLE", 3)
+    monkeypatch.setattr(simhash, "stored", planned)
+    prints = cluster(5, 0x0123456789ABCDEF, 90, 0, 9) | cluster(6, 0, 40, 5, 30)
+    want = roots(prints)
+    table = stored(spark.createDataFrame([(p,) for p in prints], "print bigint"), "prints")
+    got = {r.node: r.root for r in simhash.components_of(table).collect()}
+    assert {p: got.get(p, p) for p in prints} == want
+    exploded = [p for p in plans if "Generate explode" in p]
+    assert max(p.count("Generate explode") for p in exploded) > 1  # that of the midpoints is among them
+    assert [p for p in exploded if "BroadcastExchange" in p] == []
+
+
 def test_every_close_pair_shares_a_block():
     rng = random.Random(8)
     masks = [m % (1 << 64) for m in simhash.block_masks(simhash.BLOCKS, simhash.SHARED)]
